@@ -7,7 +7,9 @@ to 6 decimals on both sides before comparison; dates are DATE on both sides.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +27,14 @@ ORACLE: dict[str, str] = {}
 START, END, EXCHANGE = "1995-01-01", "2000-12-31", ""
 
 
+def _round6(c, places: int = 6):
+    r = F.round(c, places)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # -0.0 -> 0.0
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round double columns for a stable comparison with the oracle."""
-    return df.select(*[F.round(F.col(f.name), places).alias(f.name)
+    """Round double columns (and fold -0.0 into 0.0) for a stable comparison."""
+    return df.select(*[_round6(F.col(f.name), places).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -57,9 +64,24 @@ def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
 
-def oracle_sql() -> dict[str, str]:
+_TYPES_FILE = Path(__file__).with_name("oracle_doubles.json")
+
+
+def _round_wrap(sql: str, doubles: list[str]) -> str:
+    """Round the oracle's DOUBLE columns exactly like :func:`rounded` on the Spark side."""
+    if not doubles:
+        return sql
+    reps = ", ".join(f'CASE WHEN ROUND("{c}", 6) = 0 THEN 0.0 ELSE ROUND("{c}", 6) END AS "{c}"'
+                     for c in doubles)
+    return f"SELECT * REPLACE ({reps}) FROM ({sql}) AS _oracle"
+
+
+def oracle_sql(raw: bool = False) -> dict[str, str]:
     _load_all()
-    return dict(ORACLE)
+    if raw:
+        return dict(ORACLE)
+    doubles = json.loads(_TYPES_FILE.read_text()) if _TYPES_FILE.exists() else {}
+    return {k: _round_wrap(v, doubles.get(k, [])) for k, v in ORACLE.items()}
 
 
 __all__ = ["QUERIES", "ORACLE", "register", "R", "W_", "fx", "START", "END", "EXCHANGE",

@@ -17,23 +17,43 @@ from pyspark.sql import functions as F
 from panelkit.operators.ordered import ordered_scan
 from panelkit.sources.io import read_table
 
-_CACHE_KEY = "_panelkit_tables"
+_MEMO: dict[tuple, DataFrame] = {}
 
 
+def memo(fn):
+    """Reuse the (lazy, already analysed) DataFrame per session and directory.
+
+    DataFrames are immutable plans, so sharing them is safe; it saves re-listing files
+    and re-analysing the same plan when several queries start from one proxy.
+    """
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(spark, d, *args):
+        key = (id(spark), spark.sparkContext.applicationId, fn.__name__, d.rstrip("/"), args)
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, d.rstrip("/"), *args)
+        return _MEMO[key]
+    return wrapper
+
+
+@memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _null_if(cond, value):
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
+@memo
 def _orders(spark, d):
     return table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice",
         F.to_date("o_orderdate").alias("odate"), "o_orderpriority")
 
 
+@memo
 def _cust_span(spark, d):
     span = _orders(spark, d).groupBy("o_custkey").agg(
         F.min("odate").alias("first_date"), F.max("odate").alias("last_date"))
@@ -41,6 +61,7 @@ def _cust_span(spark, d):
     return c.join(span, c.c_custkey == span.o_custkey, "inner")
 
 
+@memo
 def ipo(spark: SparkSession, d: str) -> DataFrame:
     """IPO file: one row per firm, IPO date = first order date."""
     c = _cust_span(spark, d)
@@ -53,6 +74,7 @@ def ipo(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("g"), k.cast("string")).alias("gvkey"))
 
 
+@memo
 def delist(spark: SparkSession, d: str) -> DataFrame:
     """Delist file: firms whose last order precedes 2001-01-01."""
     c = _cust_span(spark, d).filter(F.col("last_date") < F.lit("2001-01-01").cast("date"))
@@ -64,11 +86,13 @@ def delist(spark: SparkSession, d: str) -> DataFrame:
         (F.lit(100) + F.col("c_nationkey")).cast("int").alias("dlstcd"))
 
 
+@memo
 def delist_events(spark: SparkSession, d: str) -> DataFrame:
     """Delisting events table (permno, dlstdt, dlstcd)."""
     return delist(spark, d).select("permno", F.col("delist_date").alias("dlstdt"), "dlstcd")
 
 
+@memo
 def names(spark: SparkSession, d: str) -> DataFrame:
     """Names history: one interval per order, ending at the firm's next order date."""
     o = _orders(spark, d).select(
@@ -83,6 +107,7 @@ def names(spark: SparkSession, d: str) -> DataFrame:
         (k % 4).cast("int").alias("exchcd"), (10 + k % 3).cast("int").alias("shrcd"))
 
 
+@memo
 def link(spark: SparkSession, d: str) -> DataFrame:
     """Company-to-firm link history with type/primacy codes and validity dates."""
     k = F.col("c_custkey")
@@ -94,6 +119,7 @@ def link(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 3 == 0, F.lit("2000-06-30").cast("date")).alias("linkenddt"))
 
 
+@memo
 def company(spark: SparkSession, d: str) -> DataFrame:
     """Company master with its IPO date (missing for every 11th firm)."""
     i = ipo(spark, d)
@@ -101,6 +127,7 @@ def company(spark: SparkSession, d: str) -> DataFrame:
                     _null_if(F.col("permno") % 11 == 0, F.col("ipo_date")).alias("ipodate"))
 
 
+@memo
 def _month_stats(spark, d):
     return _orders(spark, d).groupBy(
         F.col("o_custkey").alias("permno"), F.last_day("odate").alias("public_date")).agg(
@@ -109,6 +136,7 @@ def _month_stats(spark, d):
         F.min("o_totalprice").alias("mn"), F.count(F.lit(1)).alias("n"))
 
 
+@memo
 def panel(spark: SparkSession, d: str) -> DataFrame:
     """Monthly firm panel (the fetched finance file) with ratio columns."""
     m = _month_stats(spark, d)
@@ -124,12 +152,14 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
         _null_if(k % 8 == 0, n.cast("double") + (k % 10).cast("double") / 10).alias("de_ratio"))
 
 
+@memo
 def ratios(spark: SparkSession, d: str) -> DataFrame:
     """Monthly ratio table (no revenue, no Tobin's Q: those are computed)."""
     return panel(spark, d).select("permno", "public_date", "roa", "roe", "npm",
                                   "quick_ratio", "de_ratio")
 
 
+@memo
 def _year_stats(spark, d):
     return _orders(spark, d).groupBy(
         F.col("o_custkey").alias("cust"), F.year("odate").alias("y")).agg(
@@ -138,6 +168,7 @@ def _year_stats(spark, d):
         F.max("o_totalprice").alias("mx"), F.min("o_totalprice").alias("mn"))
 
 
+@memo
 def funda(spark: SparkSession, d: str) -> DataFrame:
     """Annual statements keyed by company and fiscal-year-end date."""
     y = _year_stats(spark, d)
@@ -153,6 +184,7 @@ def funda(spark: SparkSession, d: str) -> DataFrame:
         F.lit("STD").alias("datafmt"), F.lit("D").alias("popsrc"), F.lit("C").alias("consol"))
 
 
+@memo
 def ccmfunda(spark: SparkSession, d: str) -> DataFrame:
     """Merged annual price table; covers three firms in four."""
     y = _year_stats(spark, d).filter(F.col("cust") % 4 != 0)
@@ -164,6 +196,7 @@ def ccmfunda(spark: SparkSession, d: str) -> DataFrame:
         _null_if(k % 4 == 0, mn / 120011).alias("pstk"))
 
 
+@memo
 def fundq(spark: SparkSession, d: str) -> DataFrame:
     """Quarterly statements with quarterly revenue."""
     q = _orders(spark, d).groupBy(
@@ -180,6 +213,7 @@ def fundq(spark: SparkSession, d: str) -> DataFrame:
         F.lit("STD").alias("datafmt"), F.lit("D").alias("popsrc"), F.lit("C").alias("consol"))
 
 
+@memo
 def msf(spark: SparkSession, d: str) -> DataFrame:
     """Monthly stock file: shares outstanding in thousands."""
     m = _month_stats(spark, d)
@@ -191,6 +225,7 @@ def _cust_of(gvkey_col: str = "gvkey"):
     return F.substring(F.col(gvkey_col), 2, 64).cast("bigint")
 
 
+@memo
 def source_variants(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Ranked alternative libraries holding the same table with different coverage."""
     fa = funda(spark, d)
@@ -210,6 +245,7 @@ def source_variants(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     }
 
 
+@memo
 def facts_by_source(spark: SparkSession, d: str) -> list[DataFrame]:
     """Three ranked sources of the monthly panel for the per-firm fallback."""
     p = panel(spark, d)

@@ -28,7 +28,7 @@ def norm(v):
             return None
         if math.isinf(v) or v.is_integer():
             return v if math.isinf(v) else int(v)
-        return round(v, 6)
+        return v  # both sides already round to 6 places in the query text
     if hasattr(v, "isoformat"):
         return str(v)[:10] if type(v).__name__ in ("date", "Timestamp", "datetime") else str(v)
     if hasattr(v, "item"):
