@@ -120,5 +120,10 @@ def string_normalise(x) -> Column:
 
 
 def percent_label(rate, n) -> Column:
-    """X16: '12.3%' and the sample size on a second line, like the bar annotations."""
-    return F.format_string("%.1f%%\n(n=%d)", _c(rate) * 100, _c(n))
+    """X16: '12.3%' and the sample size on a second line, like the bar annotations.
+
+    The percentage is rounded half-to-even first, as Python's format does for exact ties.
+    """
+    rate = _c(rate)
+    return F.when(rate.isNotNull(),
+                  F.format_string("%.1f%%\n(n=%d)", F.bround(rate * 100, 1), _c(n)))
