@@ -55,17 +55,17 @@ def tiebreak_exprs(df: DataFrame, used: set[str]) -> list[Column]:
 
 def sequence(df: DataFrame, by: Sequence[str], order: OrderSpec,
              num_partitions: int | None = None) -> DataFrame:
-    """Range-partition on (by, order, tie-break); add ``_pid`` and ``_pos`` columns."""
+    """Range-partition on (by, order, tie-break); add ``__os_pid`` and ``__os_pos`` columns."""
     order_exprs, order_names = _order_exprs(order)
     keys = ([F.col(b).asc() for b in by] + order_exprs
             + tiebreak_exprs(df, set(by) | order_names))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
-    return (ranged.withColumn("_mid", mid)
-            .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS).cast("int"))
-            .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
-            .drop("_mid"))
+    return (ranged.withColumn("__os_mid", mid)
+            .withColumn("__os_pid", F.shiftright(F.col("__os_mid"), _POS_BITS).cast("int"))
+            .withColumn("__os_pos", F.col("__os_mid").bitwiseAND(F.lit(_POS_MASK)))
+            .drop("__os_mid"))
 
 
 def ordered_scan(df: DataFrame, by: Sequence[str], order: OrderSpec, *,
@@ -95,40 +95,40 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: OrderSpec, *,
     by = list(by)
     out_cols = list(df.columns)
     seq = sequence(df, by, order, num_partitions)
-    seg_key = ["_pid"] + by
+    seg_key = ["__os_pid"] + by
 
-    pos = F.col("_pos")
-    aggs = [F.min(pos).alias("_seg_start"), F.max(pos).alias("_seg_end"),
-            F.count(F.lit(1)).alias("_seg_n")]
+    pos = F.col("__os_pos")
+    aggs = [F.min(pos).alias("__os_seg_start"), F.max(pos).alias("__os_seg_end"),
+            F.count(F.lit(1)).alias("__os_seg_n")]
     for out, src in prev_nonnull.items():
-        aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), pos)).alias(f"_sl_{out}"))
+        aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), pos)).alias(f"__os_sl_{out}"))
     for out, src in next_nonnull.items():
-        aggs.append(F.min_by(F.col(src), F.when(F.col(src).isNotNull(), pos)).alias(f"_sf_{out}"))
+        aggs.append(F.min_by(F.col(src), F.when(F.col(src).isNotNull(), pos)).alias(f"__os_sf_{out}"))
     for out, src in lag.items():
-        aggs.append(F.max_by(F.col(src), pos).alias(f"_lr_{out}"))
+        aggs.append(F.max_by(F.col(src), pos).alias(f"__os_lr_{out}"))
     for out, src in lead.items():
-        aggs.append(F.min_by(F.col(src), pos).alias(f"_fr_{out}"))
+        aggs.append(F.min_by(F.col(src), pos).alias(f"__os_fr_{out}"))
     for out, src in cumsum.items():
-        aggs.append(F.sum(F.col(src)).alias(f"_ss_{out}"))
+        aggs.append(F.sum(F.col(src)).alias(f"__os_ss_{out}"))
     seg = seq.groupBy(*seg_key).agg(*aggs)
 
     # Carry across segments; per group at most one row per partition.
-    wg = W.partitionBy(*by).orderBy("_pid")
+    wg = W.partitionBy(*by).orderBy("__os_pid")
     before = wg.rowsBetween(W.unboundedPreceding, -1)
     after = wg.rowsBetween(1, W.unboundedFollowing)
-    carry = [*seg_key, "_seg_start", "_seg_end",
-             F.coalesce(F.sum("_seg_n").over(before), F.lit(0)).alias("_rank_off"),
-             F.sum("_seg_n").over(W.partitionBy(*by)).alias("_grp_n")]
+    carry = [*seg_key, "__os_seg_start", "__os_seg_end",
+             F.coalesce(F.sum("__os_seg_n").over(before), F.lit(0)).alias("__os_rank_off"),
+             F.sum("__os_seg_n").over(W.partitionBy(*by)).alias("__os_grp_n")]
     for out in prev_nonnull:
-        carry.append(F.last(f"_sl_{out}", True).over(before).alias(f"_cp_{out}"))
+        carry.append(F.last(f"__os_sl_{out}", True).over(before).alias(f"__os_cp_{out}"))
     for out in next_nonnull:
-        carry.append(F.first(f"_sf_{out}", True).over(after).alias(f"_cn_{out}"))
+        carry.append(F.first(f"__os_sf_{out}", True).over(after).alias(f"__os_cn_{out}"))
     for out in lag:
-        carry.append(F.lag(f"_lr_{out}").over(wg).alias(f"_cl_{out}"))
+        carry.append(F.lag(f"__os_lr_{out}").over(wg).alias(f"__os_cl_{out}"))
     for out in lead:
-        carry.append(F.lead(f"_fr_{out}").over(wg).alias(f"_cd_{out}"))
+        carry.append(F.lead(f"__os_fr_{out}").over(wg).alias(f"__os_cd_{out}"))
     for out in cumsum:
-        carry.append(F.coalesce(F.sum(f"_ss_{out}").over(before), F.lit(0)).alias(f"_co_{out}"))
+        carry.append(F.coalesce(F.sum(f"__os_ss_{out}").over(before), F.lit(0)).alias(f"__os_co_{out}"))
     carry_df = seg.select(*carry)
     if few_groups:
         carry_df = F.broadcast(carry_df)
@@ -136,37 +136,37 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: OrderSpec, *,
     # Inside a segment: a window over the segment only (bounded by a range partition).
     within_cols = []
     if prev_nonnull or next_nonnull or lag or lead or cumsum:
-        ws = W.partitionBy(*seg_key).orderBy("_pos")
+        ws = W.partitionBy(*seg_key).orderBy("__os_pos")
         for out, src in prev_nonnull.items():
-            within_cols.append(F.last(src, True).over(ws.rowsBetween(W.unboundedPreceding, -1)).alias(f"_wp_{out}"))
+            within_cols.append(F.last(src, True).over(ws.rowsBetween(W.unboundedPreceding, -1)).alias(f"__os_wp_{out}"))
         for out, src in next_nonnull.items():
-            within_cols.append(F.first(src, True).over(ws.rowsBetween(1, W.unboundedFollowing)).alias(f"_wn_{out}"))
+            within_cols.append(F.first(src, True).over(ws.rowsBetween(1, W.unboundedFollowing)).alias(f"__os_wn_{out}"))
         for out, src in lag.items():
-            within_cols.append(F.lag(src).over(ws).alias(f"_wl_{out}"))
+            within_cols.append(F.lag(src).over(ws).alias(f"__os_wl_{out}"))
         for out, src in lead.items():
-            within_cols.append(F.lead(src).over(ws).alias(f"_wd_{out}"))
+            within_cols.append(F.lead(src).over(ws).alias(f"__os_wd_{out}"))
         for out, src in cumsum.items():
-            within_cols.append(F.sum(src).over(ws.rowsBetween(W.unboundedPreceding, 0)).alias(f"_wc_{out}"))
+            within_cols.append(F.sum(src).over(ws.rowsBetween(W.unboundedPreceding, 0)).alias(f"__os_wc_{out}"))
         seq = seq.select("*", *within_cols)
 
     joined = seq.join(carry_df, on=seg_key, how="inner")
-    first_row = pos == F.col("_seg_start")
-    last_row = pos == F.col("_seg_end")
+    first_row = pos == F.col("__os_seg_start")
+    last_row = pos == F.col("__os_seg_end")
     final = [F.col(c) for c in out_cols]
     for out in prev_nonnull:
-        final.append(F.coalesce(F.col(f"_wp_{out}"), F.col(f"_cp_{out}")).alias(out))
+        final.append(F.coalesce(F.col(f"__os_wp_{out}"), F.col(f"__os_cp_{out}")).alias(out))
     for out in next_nonnull:
-        final.append(F.coalesce(F.col(f"_wn_{out}"), F.col(f"_cn_{out}")).alias(out))
+        final.append(F.coalesce(F.col(f"__os_wn_{out}"), F.col(f"__os_cn_{out}")).alias(out))
     for out in lag:
-        final.append(F.when(first_row, F.col(f"_cl_{out}")).otherwise(F.col(f"_wl_{out}")).alias(out))
+        final.append(F.when(first_row, F.col(f"__os_cl_{out}")).otherwise(F.col(f"__os_wl_{out}")).alias(out))
     for out in lead:
-        final.append(F.when(last_row, F.col(f"_cd_{out}")).otherwise(F.col(f"_wd_{out}")).alias(out))
+        final.append(F.when(last_row, F.col(f"__os_cd_{out}")).otherwise(F.col(f"__os_wd_{out}")).alias(out))
     for out in cumsum:
-        final.append((F.col(f"_co_{out}") + F.col(f"_wc_{out}")).alias(out))
+        final.append((F.col(f"__os_co_{out}") + F.col(f"__os_wc_{out}")).alias(out))
     if rank:
-        final.append((F.col("_rank_off") + pos - F.col("_seg_start")).alias(rank))
+        final.append((F.col("__os_rank_off") + pos - F.col("__os_seg_start")).alias(rank))
     if size:
-        final.append(F.col("_grp_n").alias(size))
+        final.append(F.col("__os_grp_n").alias(size))
     return joined.select(*final)
 
 

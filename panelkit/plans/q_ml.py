@@ -1 +1,155 @@
-"""Queries (filled in below)."""
+"""Queries: preprocessing statistics, metrics and the fitted model."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelkit.functions import cleaning as C
+from panelkit.operators import ml as ML
+from panelkit.operators import split as S
+from panelkit.plans.q_features import yearly
+from panelkit.plans.q_split import split_sql, split_yearly
+from panelkit.plans.registry import fx, register
+from panelkit.session import checkpoint_dir
+
+
+def _features(cols):
+    return [f for f in C.yearly_feature_names() if f in cols]
+
+
+@fx.memo
+def train_rows(spark, d):
+    data, _ = S.ensure_two_classes(split_yearly(spark, d), "y_next_year")
+    return S.split_filter(data, S.TRAIN)
+
+
+def _feature_names_static():
+    from panelkit.plans.q_features import FEATS, SLOPE, STD
+    return _features([f"{c}_last" for c in FEATS] + [f"{c}_mean" for c in FEATS]
+                     + [f"{c}_std" for c in STD] + [f"{c}_slope" for c in SLOPE]
+                     + ["obs_count_in_year"])
+
+
+_F = _feature_names_static()
+_TRAIN = "(SELECT * FROM sp WHERE split = 'train')"
+
+
+def _median_sql(f):
+    return (f"SELECT '{f}' AS feature, quantile_cont(CAST({f} AS DOUBLE), 0.5) AS median "
+            f"FROM {_TRAIN} t HAVING COUNT({f}) > 0")
+
+
+def _std_sql(f):
+    x = f"COALESCE(CAST(t.{f} AS DOUBLE), q.m)"
+    return (f"SELECT '{f}' AS feature, AVG({x}) AS mean, CASE WHEN STDDEV_POP({x}) = 0 THEN 1.0 "
+            f"ELSE STDDEV_POP({x}) END AS std FROM {_TRAIN} t, (SELECT quantile_cont(CAST({f} AS "
+            f"DOUBLE), 0.5) AS m FROM {_TRAIN} u) q")
+
+
+@register("impute_median", split_sql(" UNION ALL ".join(_median_sql(f) for f in _F)))
+def q_impute_median(spark, d):
+    tr = train_rows(spark, d)
+    return ML.train_medians(tr, _features(tr.columns))
+
+
+@register("standardize", split_sql(" UNION ALL ".join(_std_sql(f) for f in _F)))
+def q_standardize(spark, d):
+    tr = train_rows(spark, d)
+    med = {r["feature"]: r["median"] for r in ML.train_medians(tr, _features(tr.columns)).collect()}
+    return ML.scaler_stats(tr, med)
+
+
+@register("balanced_weights", split_sql(
+    "SELECT y_next_year, COUNT(*) AS n, SUM(COUNT(*)) OVER () / (2.0 * COUNT(*)) AS weight "
+    f"FROM {_TRAIN} t GROUP BY y_next_year"))
+def q_balanced_weights(spark, d):
+    return ML.class_weights(train_rows(spark, d), "y_next_year")
+
+
+_RULE = "CAST(CASE WHEN roa_mean < -0.4 THEN 1 ELSE 0 END AS INTEGER)"
+
+
+@register("evaluate", split_sql(
+    f"""SELECT split, n, accuracy, prec AS precision, rec AS recall,
+    COALESCE(2 * prec * rec / NULLIF(prec + rec, 0), 0.0) AS f1 FROM (
+      SELECT split, n, ok / n AS accuracy,
+        COALESCE(tp / NULLIF(CAST(tp + fp AS DOUBLE), 0), 0.0) AS prec,
+        COALESCE(tp / NULLIF(CAST(tp + fn AS DOUBLE), 0), 0.0) AS rec FROM (
+        SELECT split, COUNT(*) AS n, SUM(CASE WHEN y_next_year = p THEN 1 ELSE 0 END) AS ok,
+          SUM(CASE WHEN y_next_year = 1 AND p = 1 THEN 1 ELSE 0 END) AS tp,
+          SUM(CASE WHEN y_next_year = 0 AND p = 1 THEN 1 ELSE 0 END) AS fp,
+          SUM(CASE WHEN y_next_year = 1 AND p = 0 THEN 1 ELSE 0 END) AS fn
+        FROM (SELECT split, y_next_year, {_RULE} AS p FROM sp WHERE split <> 'train') t
+        GROUP BY split) c) m"""))
+def q_evaluate(spark, d):
+    """M6 on a fixed rule (roa mean below -0.4 predicts a delisting) per held-out split."""
+    sp = split_yearly(spark, d).filter(F.col("split") != "train")
+    pred = sp.withColumn("prediction", F.when(F.col("roa_mean") < -0.4, 1).otherwise(0))
+    return ML.evaluate(pred, "y_next_year", by=["split"])
+
+
+@register("roc_auc", split_sql(
+    """SELECT split, CASE WHEN p > 0 AND n - p > 0 THEN (rs - p * (p + 1) / 2) / (p * (n - p)) END
+    AS roc_auc FROM (SELECT split, SUM(pos * (cum - cnt + (cnt + 1) / 2)) AS rs, SUM(pos) AS p,
+    SUM(cnt) AS n FROM (SELECT *, SUM(cnt) OVER (PARTITION BY split ORDER BY s ROWS BETWEEN
+    UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM (SELECT split, s,
+    CAST(SUM(CASE WHEN y_next_year = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+    CAST(COUNT(*) AS DOUBLE) AS cnt FROM (SELECT split, -roa_mean AS s, y_next_year FROM sp
+    WHERE roa_mean IS NOT NULL) a GROUP BY split, s) b) c GROUP BY split) e"""))
+def q_roc_auc(spark, d):
+    """M7 (tie-aware, rank based) of the score -roa_mean per split."""
+    sp = split_yearly(spark, d).select("split", "y_next_year", (-F.col("roa_mean")).alias("s"))
+    return ML.roc_auc(sp, "y_next_year", "s", by=["split"])
+
+
+@fx.memo
+def fitted(spark, d):
+    tr = train_rows(spark, d)
+    return ML.fit(tr, _features(tr.columns), "y_next_year", ML.build_model_config())
+
+
+def _held(spark, d):
+    data, _ = S.ensure_two_classes(split_yearly(spark, d), "y_next_year")
+    return data.filter(F.col("split").isin(S.VAL, S.TEST))
+
+
+@register("logistic_fit")
+def q_logistic_fit(spark, d):
+    """M4 (rows-only): coefficients of the class-balanced L2 logistic regression."""
+    m = fitted(spark, d)
+    rows = m.weights() + [("intercept", m.intercept())]
+    return spark.createDataFrame(rows, "feature string, coef double")
+
+
+@register("predict")
+def q_predict(spark, d):
+    """M5 (rows-only): class and probability for every val / test firm-year."""
+    return fitted(spark, d).predict(_held(spark, d)).select(
+        "permno", "public_year", "split", "y_next_year", "prediction", "proba")
+
+
+@register("top_k_weights")
+def q_top_k_weights(spark, d):
+    """O3 (rows-only): 15 largest |coefficients| plus the intercept."""
+    m = fitted(spark, d)
+    rows = ML.top_k_weights(m, 15) + [("intercept", m.intercept())]
+    return spark.createDataFrame(rows, "feature string, coef double")
+
+
+@register("model_save_load")
+def q_model_save_load(spark, d):
+    """S6 (rows-only): save the fitted pipeline to the shared folder, load it, score."""
+    import uuid
+    m = fitted(spark, d)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    m.save(path)
+    back = ML.FittedModel.load(spark, path)
+    return back.predict(_held(spark, d)).select("permno", "public_year", "split", "prediction")
+
+
+@register("model_run")
+def q_model_run(spark, d):
+    """M9 (rows-only): the whole training stage on the labelled panel; val/test metrics."""
+    from panelkit.plans.q_labels import labelled
+    from panelkit.plans.stages import train_and_evaluate
+    return train_and_evaluate(labelled(spark, d)).metrics
