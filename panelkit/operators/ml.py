@@ -166,18 +166,20 @@ def fit(train: DataFrame, features: Sequence[str], label: str,
         cfg: ModelConfig | None = None) -> FittedModel:
     """M1-M4 on the training rows; the fit input is checkpointed (iterative reads)."""
     cfg = cfg or ModelConfig()
-    med = _dict(train_medians(train, features), "feature", "median")
+    # One reliable checkpoint of the (firm-year sized) training rows: the statistics below
+    # and every optimizer pass then read it instead of recomputing the upstream plan.
+    data = cut_lineage(train.select(*features, label))
+    med = _dict(train_medians(data, features), "feature", "median")
     feats = [f for f in features if f in med]           # all-NULL in train -> dropped
     med = {f: med[f] for f in feats}
-    st = {r["feature"]: (r["mean"], r["std"]) for r in scaler_stats(train, med).collect()}
-    cw = class_weights(train, label, cfg.class_weight == "balanced").collect()  # one row per class
+    st = {r["feature"]: (r["mean"], r["std"]) for r in scaler_stats(data, med).collect()}
+    cw = class_weights(data, label, cfg.class_weight == "balanced").collect()  # one row per class
     wts = {r[label]: r["weight"] for r in cw}
     total_w = sum(r["weight"] * r["n"] for r in cw)
     w_expr = F.lit(1.0)
     for k, w in wts.items():
         w_expr = F.when(F.col(label) == F.lit(k), F.lit(float(w))).otherwise(w_expr)
-    data = cut_lineage(train.select(*feats, F.col(label).cast("double").alias("_label"),
-                                    w_expr.alias("_weight")))
+    data = data.select(*feats, F.col(label).cast("double").alias("_label"), w_expr.alias("_weight"))
     stages = [SQLTransformer(statement=preprocess_sql(med, st)),
               VectorAssembler(inputCols=[f"{f}__z" for f in feats], outputCol="features"),
               LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_weight",

@@ -34,7 +34,11 @@ def split_sql(body, extra=()):
 
 @fx.memo
 def split_yearly(spark, d):
-    return S.firm_level_split(yearly(spark, d), "permno", None, "public_year", (R_TRAIN, R_VAL, R_TEST))
+    """The split firm-year table, checkpointed once per session (it feeds the class
+    checks, the fit and the scoring)."""
+    from panelkit.session import cut_lineage
+    return cut_lineage(S.firm_level_split(yearly(spark, d), "permno", None, "public_year",
+                                          (R_TRAIN, R_VAL, R_TEST)))
 
 
 @register("earliest_key_per_firm", split_sql("SELECT permno, sk AS _sort_key FROM fk"))

@@ -24,6 +24,7 @@ from panelkit.operators import ml as ML
 from panelkit.operators import panel as P
 from panelkit.operators import split as S
 from panelkit.operators import universe as U
+from panelkit.session import cut_lineage
 
 
 def fetch_ipos(names: DataFrame, start: str, end: str, exchange: str | None = "NYSE",
@@ -86,7 +87,9 @@ def train_and_evaluate(panel: DataFrame, cfg: ML.ModelConfig | None = None,
         dropped += C.constant_columns(X, [f for f in feats if f not in dropped])
     feats = [f for f in feats if f not in dropped]
     ipo_col = "ipodate" if "ipodate" in yearly.columns else None
-    data = S.firm_level_split(X, "permno", ipo_col, "public_year", ratios)
+    # The firm-year table is small next to the panel; checkpoint it once (shared folder)
+    # before the class checks, the fit and the scoring all read it.
+    data = cut_lineage(S.firm_level_split(X, "permno", ipo_col, "public_year", ratios))
     data, moved = S.ensure_two_classes(data, "y_next_year")
     model = ML.fit(S.split_filter(data, S.TRAIN), feats, "y_next_year", cfg)
     held = data.filter(F.col("split").isin(S.VAL, S.TEST))

@@ -17,6 +17,9 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Skip PySpark's per-call Python stack capture (error-context only): it costs several
+    # JVM round trips per DataFrame call while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

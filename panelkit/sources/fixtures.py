@@ -37,6 +37,26 @@ def memo(fn):
     return wrapper
 
 
+def materialized(fn):
+    """Write a proxy once per session as parquet in the shared checkpoint folder, then
+    read it back: the proxies stand in for vendor tables, so queries should scan them
+    like tables (column pruning, pushed filters, size statistics for AQE) instead of
+    re-deriving them from ``orders`` in every plan."""
+    import functools
+    import uuid
+
+    @functools.wraps(fn)
+    def wrapper(spark, d, *args):
+        from panelkit.session import checkpoint_dir
+        built = fn(spark, d, *args)
+        if spark.conf.get("panelkit.fixtures.materialize", "true") != "true":
+            return built
+        path = f"{checkpoint_dir(spark).rstrip('/')}/fixtures/{fn.__name__}-{uuid.uuid4().hex}"
+        built.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return memo(wrapper)
+
+
 @memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
@@ -61,7 +81,7 @@ def _cust_span(spark, d):
     return c.join(span, c.c_custkey == span.o_custkey, "inner")
 
 
-@memo
+@materialized
 def ipo(spark: SparkSession, d: str) -> DataFrame:
     """IPO file: one row per firm, IPO date = first order date."""
     c = _cust_span(spark, d)
@@ -74,7 +94,7 @@ def ipo(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("g"), k.cast("string")).alias("gvkey"))
 
 
-@memo
+@materialized
 def delist(spark: SparkSession, d: str) -> DataFrame:
     """Delist file: firms whose last order precedes 2001-01-01."""
     c = _cust_span(spark, d).filter(F.col("last_date") < F.lit("2001-01-01").cast("date"))
@@ -92,7 +112,7 @@ def delist_events(spark: SparkSession, d: str) -> DataFrame:
     return delist(spark, d).select("permno", F.col("delist_date").alias("dlstdt"), "dlstcd")
 
 
-@memo
+@materialized
 def names(spark: SparkSession, d: str) -> DataFrame:
     """Names history: one interval per order, ending at the firm's next order date."""
     o = _orders(spark, d).select(
@@ -107,7 +127,7 @@ def names(spark: SparkSession, d: str) -> DataFrame:
         (k % 4).cast("int").alias("exchcd"), (10 + k % 3).cast("int").alias("shrcd"))
 
 
-@memo
+@materialized
 def link(spark: SparkSession, d: str) -> DataFrame:
     """Company-to-firm link history with type/primacy codes and validity dates."""
     k = F.col("c_custkey")
@@ -119,7 +139,7 @@ def link(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 3 == 0, F.lit("2000-06-30").cast("date")).alias("linkenddt"))
 
 
-@memo
+@materialized
 def company(spark: SparkSession, d: str) -> DataFrame:
     """Company master with its IPO date (missing for every 11th firm)."""
     i = ipo(spark, d)
@@ -136,7 +156,7 @@ def _month_stats(spark, d):
         F.min("o_totalprice").alias("mn"), F.count(F.lit(1)).alias("n"))
 
 
-@memo
+@materialized
 def panel(spark: SparkSession, d: str) -> DataFrame:
     """Monthly firm panel (the fetched finance file) with ratio columns."""
     m = _month_stats(spark, d)
@@ -168,7 +188,7 @@ def _year_stats(spark, d):
         F.max("o_totalprice").alias("mx"), F.min("o_totalprice").alias("mn"))
 
 
-@memo
+@materialized
 def funda(spark: SparkSession, d: str) -> DataFrame:
     """Annual statements keyed by company and fiscal-year-end date."""
     y = _year_stats(spark, d)
@@ -184,7 +204,7 @@ def funda(spark: SparkSession, d: str) -> DataFrame:
         F.lit("STD").alias("datafmt"), F.lit("D").alias("popsrc"), F.lit("C").alias("consol"))
 
 
-@memo
+@materialized
 def ccmfunda(spark: SparkSession, d: str) -> DataFrame:
     """Merged annual price table; covers three firms in four."""
     y = _year_stats(spark, d).filter(F.col("cust") % 4 != 0)
@@ -196,7 +216,7 @@ def ccmfunda(spark: SparkSession, d: str) -> DataFrame:
         _null_if(k % 4 == 0, mn / 120011).alias("pstk"))
 
 
-@memo
+@materialized
 def fundq(spark: SparkSession, d: str) -> DataFrame:
     """Quarterly statements with quarterly revenue."""
     q = _orders(spark, d).groupBy(
@@ -213,7 +233,7 @@ def fundq(spark: SparkSession, d: str) -> DataFrame:
         F.lit("STD").alias("datafmt"), F.lit("D").alias("popsrc"), F.lit("C").alias("consol"))
 
 
-@memo
+@materialized
 def msf(spark: SparkSession, d: str) -> DataFrame:
     """Monthly stock file: shares outstanding in thousands."""
     m = _month_stats(spark, d)
