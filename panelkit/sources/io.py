@@ -71,7 +71,7 @@ def _resolve(spark: SparkSession, src: Source) -> DataFrame:
         return src
     if callable(src):
         return src()
-    if spark.catalog.tableExists(src):
+    if "/" not in src and spark.catalog.tableExists(src):   # a catalog table name
         return spark.table(src)
     return read_table(spark, src)
 
