@@ -170,3 +170,24 @@ def q_to_numeric_clean(spark, d):
             .otherwise(F.col("roa").cast("string")).alias("roa"))
     return lab.select("permno", "public_year", "public_month", text).select(
         "permno", "public_year", "public_month", C.to_numeric_clean("roa"))
+
+
+@register("stable_sort", lab_sql(
+    """SELECT permno, public_year, arg_max(roa, {'m': q, 'v': roa}) FILTER (WHERE roa IS NOT NULL)
+    AS roa_last FROM (SELECT permno, public_year, CAST(CEIL(public_month / 3.0) * 3 AS INTEGER) AS q,
+    CASE WHEN isinf(roa) THEN NULL ELSE roa END AS roa FROM lab) t GROUP BY permno, public_year"""))
+def q_stable_sort(spark, d):
+    """O4: 'last' with ties in the month order (months folded to quarter ends) is made
+    deterministic by an explicit tie-break (the larger value), not by input order."""
+    lab = labelled(spark, d).withColumn(
+        "q", (F.ceil(F.col("public_month") / 3.0) * 3).cast("int"))
+    return lab.groupBy("permno", "public_year").agg(FE.last_nonnull("roa", "q").alias("roa_last"))
+
+
+@register("semi_membership", lab_sql(
+    "SELECT l.* FROM lab l WHERE EXISTS (SELECT 1 FROM yearly y WHERE y.permno = l.permno "
+    "AND y.public_year = l.public_year)", _YEARLY))
+def q_semi_membership(spark, d):
+    """Keep panel rows whose (firm, year) is in a kept set (here: the labelled firm-years)."""
+    kept = yearly(spark, d).select("permno", "public_year")
+    return labelled(spark, d).join(kept, on=["permno", "public_year"], how="left_semi")

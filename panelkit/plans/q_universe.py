@@ -199,3 +199,14 @@ def q_delist_within_years(spark, d):
 def q_order_by(spark, d):
     """O1: final output ordering (ipo date, delist date, permno)."""
     return U.delist_within_years(fx.ipo(spark, d), fx.delist(spark, d), 5)
+
+
+@register("write_table", W_("SELECT * FROM ipo", "ipo"))
+def q_write_table(spark, d):
+    """Write a result partitioned for pruning into the shared folder, read it back."""
+    import uuid
+
+    from panelkit.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}/ipo.parquet"
+    written = io.write_table(fx.ipo(spark, d), path, partition_by=["exchcd"])
+    return io.read_table(spark, written).select(*fx.ipo(spark, d).columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,18 @@ from pyspark.sql.utils import AnalysisException
 _READERS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc"}
 
 
+def _local_path(path: str) -> str | None:
+    """Filesystem path for local paths and ``file:`` URIs; None for other schemes."""
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):   # hdfs:, s3a:, abfss:, ...
+        return None
+    return path
+
+
 def _is_local_missing(path: str) -> bool:
-    return "://" not in path and not os.path.exists(path)
+    local = _local_path(path)
+    return local is not None and not os.path.exists(local)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
