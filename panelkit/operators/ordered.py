@@ -15,7 +15,8 @@ that task becomes the job. The scan here never does that:
 
 The tie-break appends every remaining orderable column, so the order is total up to rows
 that are identical in every column (whose relative order cannot change any output).
-Group columns must not hold nulls (pandas ``groupby`` drops such rows as well).
+A NULL group key forms its own group (callers that follow pandas ``groupby`` drop such
+rows first).
 """
 
 from __future__ import annotations
@@ -129,7 +130,9 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: OrderSpec, *,
         carry.append(F.lead(f"__os_fr_{out}").over(wg).alias(f"__os_cd_{out}"))
     for out in cumsum:
         carry.append(F.coalesce(F.sum(f"__os_ss_{out}").over(before), F.lit(0)).alias(f"__os_co_{out}"))
-    carry_df = seg.select(*carry)
+    # Rename the carry keys so the join can be null-safe (a NULL group is a group).
+    carry_df = seg.select(*carry).withColumnsRenamed(
+        {k: f"__os_ck{i}" for i, k in enumerate(seg_key)})
     if few_groups:
         carry_df = F.broadcast(carry_df)
 
@@ -149,7 +152,11 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: OrderSpec, *,
             within_cols.append(F.sum(src).over(ws.rowsBetween(W.unboundedPreceding, 0)).alias(f"__os_wc_{out}"))
         seq = seq.select("*", *within_cols)
 
-    joined = seq.join(carry_df, on=seg_key, how="inner")
+    cond = None
+    for i, k in enumerate(seg_key):
+        c = F.col(k).eqNullSafe(F.col(f"__os_ck{i}"))
+        cond = c if cond is None else cond & c
+    joined = seq.join(carry_df, on=cond, how="inner")
     first_row = pos == F.col("__os_seg_start")
     last_row = pos == F.col("__os_seg_end")
     final = [F.col(c) for c in out_cols]

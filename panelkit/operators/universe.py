@@ -107,11 +107,13 @@ def delist_latest(delist_events: DataFrame, names: DataFrame, exchange: str | No
     return first_by(rows, ["permno"], ["delist_date"], descending=True)
 
 
-def delist_within_years(ipo_df: DataFrame, delist_df: DataFrame, years: int = 5) -> DataFrame:
+def delist_within_years(ipo_df: DataFrame, delist_df: DataFrame, years: int = 5,
+                        ordered: bool = True) -> DataFrame:
     """Firms delisted within ``years`` calendar years after the IPO.
 
     Inner join on permno (no uniqueness enforced: trap T6); name and ticker prefer the
-    IPO side; keep ipo <= delist <= ipo + years; ordered by ipo date, delist date, permno.
+    IPO side; keep ipo <= delist <= ipo + years; ordered by ipo date, delist date, permno
+    (``ordered=False`` skips the global sort when the result only feeds a join).
     """
     i = C.standardize_ipo(ipo_df)
     d = C.standardize_delist(delist_df)
@@ -123,4 +125,5 @@ def delist_within_years(ipo_df: DataFrame, delist_df: DataFrame, years: int = 5)
            coalesce_pref("ticker", "ticker_delist").alias("ticker"), F.col("ipo_date"),
            F.col("delist_date")]
     out += [F.col(c) for c in ("exchcd", "shrcd") if c in m.columns]
-    return m.select(*out).orderBy("ipo_date", "delist_date", "permno")
+    res = m.select(*out)
+    return res.orderBy("ipo_date", "delist_date", "permno") if ordered else res

@@ -37,7 +37,7 @@ def lab_sql(body: str, extra=None) -> str:
 
 
 def events(spark, d):
-    return U.delist_within_years(fx.ipo(spark, d), fx.delist(spark, d), 5)
+    return U.delist_within_years(fx.ipo(spark, d), fx.delist(spark, d), 5, ordered=False)
 
 
 @fx.memo

@@ -59,6 +59,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage by writing a table into the shared checkpoint folder.
+
+    One job writes parquet (an eager ``checkpoint()`` of an unpersisted plan runs it twice:
+    once to count, once to save); reading it back gives a columnar scan with pruning and
+    statistics. Types parquet cannot hold fall back to a reliable ``checkpoint()``.
+    Never a local checkpoint: the files survive the loss of any executor.
+    """
+    import uuid
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    try:
+        df.write.mode("overwrite").parquet(path)
+    except Exception:  # noqa: BLE001 - e.g. a type parquet cannot store
+        return df.checkpoint(eager=True)
+    return spark.read.parquet(path)

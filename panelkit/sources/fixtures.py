@@ -37,6 +37,16 @@ def memo(fn):
     return wrapper
 
 
+_TABLES: set[str] = {"table"}
+
+
+def reset_derived() -> None:
+    """Forget memoised derived results (labelled panel, split table, fitted model, ...),
+    keeping the driver tables and the materialised proxy tables."""
+    for key in [k for k in _MEMO if k[2] not in _TABLES]:
+        del _MEMO[key]
+
+
 def materialized(fn):
     """Write a proxy once per session as parquet in the shared checkpoint folder, then
     read it back: the proxies stand in for vendor tables, so queries should scan them
@@ -45,6 +55,8 @@ def materialized(fn):
     import functools
     import uuid
 
+    _TABLES.add(fn.__name__)
+
     @functools.wraps(fn)
     def wrapper(spark, d, *args):
         from panelkit.session import checkpoint_dir

@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The workload reads finite tables only: there are no event streams, watermarks, time
+windows, late data or per-key state to carry between micro-batches. Every stage is a batch
+plan, and a new period of statements is processed by re-running the stage (the panel
+can be written partitioned by ``public_year`` for partition pruning). No streaming operator
+is invented here.
+"""
