@@ -231,6 +231,82 @@ def panel_stages(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
     return st
 
 
-def build_panel(ipo: DataFrame, src: FactSources, **kw) -> DataFrame:
-    """The fetched monthly panel: J5 -> S4 -> J6, J7 -> W7 -> J8 -> X9, W5, W6 -> J9 -> F9."""
-    return panel_stages(ipo, src, **kw)["panel"]
+def _fact_union(src: FactSources) -> DataFrame:
+    """Every statement source of every fact kind in one table, tagged (kind, priority)."""
+    kinds = [("assets", src.assets, True, "at", {"total_assets": "at"}),
+             ("revenue", src.revenue, True, "revtq", {"revtq": "revtq"}),
+             ("price", src.price, True, None, {"prcc_c": "prcc_c", "pstk": "pstk"}),
+             ("liab", src.liabilities, True, "lt", {"total_liabilities": "lt"})]
+    value_cols = ["total_assets", "revtq", "prcc_c", "pstk", "total_liabilities"]
+    parts = []
+    for kind, sources, std, not_null, values in kinds:
+        for prio, item in enumerate(sources):
+            s, use_std = item if isinstance(item, tuple) else (item, std)
+            f = C.std_format_filter(s) if use_std else s
+            if not_null:
+                f = f.filter(F.col(not_null).isNotNull())
+            cols = [F.col(values[v]).cast("double").alias(v) if v in values
+                    else F.lit(None).cast("double").alias(v) for v in value_cols]
+            parts.append(f.select("gvkey", "datadate", F.lit(kind).alias("_kind"),
+                                  F.lit(prio).alias("_prio"), *cols))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
+                max_years: int = MAX_YEARS, fill: str = "pad") -> DataFrame:
+    """The fetched monthly panel, planned for scale (same result as the step-by-step
+    :func:`panel_stages`, which the oracle check confirms):
+
+    * one small firm-window table (link x IPO window) and ONE interval join for all
+      statement facts of all kinds and sources, then ONE per-(firm, kind) fallback;
+    * the first unbroken run of years (W7) right after the window join -- left joins never
+      change the (firm, year) set, so the filter commutes with them;
+    * facts pre-joined per key (exact-date: assets x revenue; month-end: price x
+      liabilities x shares; full outer joins keep the per-key products of the reference's
+      sequential merges), so the large panel side takes two left joins instead of five.
+    """
+    events = ipo.select("permno", "ipo_date")
+    lk = src.link.filter(F.col("linktype").isin(*C.LINK_TYPES) & F.col("linkprim").isin(*C.LINK_PRIMS))
+    firm_window = lk.select("gvkey", F.col("lpermno").alias("permno"), "linkdt", "linkenddt").join(
+        events, on="permno", how="inner")
+    facts = _fact_union(src).withColumnRenamed("gvkey", "_fg")
+    d = F.col("datadate")
+    cond = ((F.col("_fg") == F.col("gvkey")) & (d >= F.col("linkdt"))
+            & (F.col("linkenddt").isNull() | (d <= F.col("linkenddt")))
+            & (d >= F.col("ipo_date")) & (d <= F.date_add(F.col("ipo_date"), days)))
+    linked = facts.join(firm_window, cond, "inner").select(
+        "permno", "datadate", "_kind", "_prio", "total_assets", "revtq", "prcc_c", "pstk",
+        "total_liabilities")
+    chosen = linked.groupBy("permno", "_kind").agg(F.min("_prio").alias("_prio"))
+    facts = linked.join(chosen, on=["permno", "_kind", "_prio"], how="left_semi")
+
+    def kind(k, cols):
+        return facts.filter(F.col("_kind") == k).select("permno", "datadate", *cols)
+
+    exact = kind("assets", ["total_assets"]).join(
+        kind("revenue", ["revtq"]), on=["permno", "datadate"], how="full_outer").withColumnRenamed(
+        "datadate", "public_date")
+    shares = fallback_by_key(
+        [event_window_join(events, s.select("permno", F.col("date").alias("datadate"), "shrout"),
+                           "datadate", days).drop("ipo_date") for s in src.shares], "permno")
+
+    def by_month(df, cols):
+        return df.select("permno", month_end("datadate").alias("_mm"), *cols)
+
+    monthly = (by_month(kind("price", ["prcc_c", "pstk"]), ["prcc_c", "pstk"])
+               .join(by_month(kind("liab", ["total_liabilities"]), ["total_liabilities"]),
+                     on=["permno", "_mm"], how="full_outer")
+               .join(by_month(shares, ["shrout"]), on=["permno", "_mm"], how="full_outer"))
+
+    base = initial_run_years(event_window_join(events, src.ratios, "public_date", days),
+                             "permno", "public_date", max_years)
+    panel = base.join(exact, on=["permno", "public_date"], how="left")
+    panel = (panel.withColumn("_mm", month_end("public_date"))
+             .join(monthly, on=["permno", "_mm"], how="left").drop("_mm"))
+    panel = add_tobins_q(panel)
+    panel = growth_scan(panel, "permno", "public_date", revenue_out="revenue_growth",
+                        pct={"total_asset_growth": "total_assets"}, fill=fill)
+    return C.conform_columns(attach_event_attrs(panel, ipo))

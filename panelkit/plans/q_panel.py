@@ -144,10 +144,17 @@ def _stage_query(key, stage):
 for _key, _stage in [("event_window_join", "window"), ("exact_date_left_join", "assets"),
                      ("quarter_left_join", "revenue"), ("initial_run_years", "years"),
                      ("month_end_left_join", "month_end"), ("tobins_q", "tobinq"),
-                     ("attach_event_attrs", "attrs"), ("panel_build", "panel")]:
+                     ("attach_event_attrs", "attrs")]:
     _stage_query(_key, _stage)
 
 
+@register("panel_build", stage_sql("panel"))
+def q_panel_build(spark, d):
+    """The whole fetch stage as planned for scale (one fact join, one fallback, two panel
+    joins); the oracle is the step-by-step definition."""
+    return P.build_panel(fx.ipo(spark, d), sources(spark, d))
+
+
 @register("conform_columns", stage_sql("panel"))
 def q_conform_columns(spark, d):
     return C.conform_columns(stages(spark, d)["attrs"])
