@@ -60,8 +60,11 @@ def sequence(df: DataFrame, by: Sequence[str], order: OrderSpec,
     order_exprs, order_names = _order_exprs(order)
     keys = ([F.col(b).asc() for b in by] + order_exprs
             + tiebreak_exprs(df, set(by) | order_names))
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE may coalesce adjacent range partitions to its advisory
+    # size: partitions stay contiguous ranges (sorted after the read), and their number
+    # follows the data size instead of a fixed setting.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
     return (ranged.withColumn("__os_mid", mid)
             .withColumn("__os_pid", F.shiftright(F.col("__os_mid"), _POS_BITS).cast("int"))
