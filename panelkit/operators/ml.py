@@ -12,7 +12,6 @@ Spark's  (1/sum w) sum_i w_i loss_i + regParam/2 |b|^2  with regParam = 1 / (C *
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -231,6 +230,3 @@ def top_k_weights(model: FittedModel, k: int = 15) -> list[tuple[str, float]]:
     """O3: the k largest |coefficient|, ties by name."""
     return sorted(model.weights(), key=lambda t: (-abs(t[1]), t[0]))[:k]
 
-
-def is_finite(v) -> bool:
-    return v is not None and not (isinstance(v, float) and (math.isnan(v) or math.isinf(v)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelkit.functions import cleaning as C
 from panelkit.operators import features as FE
 from panelkit.plans.q_labels import PANEL_COLS, lab_sql, labelled
-from panelkit.plans.registry import fx, register
+from panelkit.plans.registry import register
 
 FEATS = [c for c in C.BASE_FEATURES if c in PANEL_COLS]
 STD = [c for c in C.STD_FEATURES if c in FEATS]

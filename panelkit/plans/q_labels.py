@@ -132,7 +132,7 @@ def q_drop_all_null_rows(spark, d):
     lab = labelled(spark, d)
     blank = F.col("permno") % 50 == 0
     nulled = lab.select(*[F.when(~blank, F.col(c)).alias(c) for c in lab.columns])
-    return C.drop_all_null_rows(nulled).withColumn("permno", F.col("permno"))
+    return C.drop_all_null_rows(nulled)
 
 
 @register("drop_all_null_cols", lab_sql("SELECT * FROM lab"))
@@ -143,8 +143,8 @@ def q_drop_all_null_cols(spark, d):
 
 @register("drop_constant_cols", lab_sql("SELECT * EXCLUDE (delist_year) FROM lab WHERE permno % 4 = 1"))
 def q_drop_constant_cols(spark, d):
-    """among firms with permno % 4 = 1 ``delist_year`` is constant... if it is; the
-    oracle states the columns expected to survive."""
+    """``delist_year`` is set constant on this subset and must be dropped; every other
+    column varies there (the oracle lists the surviving columns)."""
     lab = labelled(spark, d).filter(F.col("permno") % 4 == 1).withColumn("delist_year", F.lit(0))
     return C.drop_constant_cols(lab)
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from panelkit.functions import cleaning as C
 from panelkit.operators import ml as ML
 from panelkit.operators import split as S
-from panelkit.plans.q_features import yearly
 from panelkit.plans.q_split import split_sql, split_yearly
 from panelkit.plans.registry import fx, register
 from panelkit.session import checkpoint_dir

@@ -23,7 +23,9 @@ def sources(spark, d) -> P.FactSources:
         price=[(v["ccmfunda"], False), (v["funda_compd"], True), (v["funda_comp"], True)])
 
 
+@fx.memo
 def stages(spark, d):
+    """The step-by-step fetch stages, planned once per session (queries pick one)."""
     return P.panel_stages(fx.ipo(spark, d), sources(spark, d))
 
 

@@ -48,11 +48,6 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
-def R(expr: str, alias: str | None = None) -> str:
-    """ROUND(expr, 6) AS alias -- oracle-side rounding helper."""
-    return f"ROUND({expr}, 6) AS {alias or expr}"
-
-
 def _load_all():
     # Import for side effects: each module registers its queries.
     from panelkit.plans import (q_universe, q_panel, q_labels, q_features,  # noqa: F401
@@ -84,5 +79,5 @@ def oracle_sql(raw: bool = False) -> dict[str, str]:
     return {k: _round_wrap(v, doubles.get(k, [])) for k, v in ORACLE.items()}
 
 
-__all__ = ["QUERIES", "ORACLE", "register", "R", "W_", "fx", "START", "END", "EXCHANGE",
+__all__ = ["QUERIES", "ORACLE", "register", "W_", "fx", "START", "END", "EXCHANGE",
            "queries", "oracle_sql", "rounded"]

@@ -5,7 +5,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from panelkit.functions import cleaning as C
 from panelkit.functions import scalar as X
@@ -127,7 +126,7 @@ def test_t12_label_year_and_rounding(spark):
                                "permno long, ipo_date date, delist_date date")
     out = {(r.permno, r.public_year): (r.delist, r.delist_year)
            for r in L.event_label(panel, ev).collect()}
-    # 1310 days / 365 = 3.59 -> 4 -> event year 2004 (not the delisting's own year 2003)
+    # 1309 days / 365 = 3.59 -> 4 -> event year 2004 (not the delisting's own year 2003)
     assert out == {(1, 2003): (0, 4), (1, 2004): (1, 4), (2, 2003): (0, 0)}
 
 
@@ -260,3 +259,15 @@ def test_boxplot_matches_numpy(spark):
         assert (r.q1, r.median, r.q3) == pytest.approx((q1, med, q3))
         assert (r.whisker_lo, r.whisker_hi) == pytest.approx((lo, hi))
         assert r.n_outliers == int(((x < lo) | (x > hi)).sum())
+
+
+def test_w5_revenue_column_chosen_per_firm(spark):
+    """Firm 1 has revtq, firm 2 only revt_sale: each grows on its own column."""
+    df = spark.createDataFrame(
+        [(1, D(2000, 1, 31), 10.0, 99.0), (1, D(2000, 2, 29), 12.0, 1.0),
+         (2, D(2000, 1, 31), None, 4.0), (2, D(2000, 2, 29), None, 5.0)],
+        "permno long, public_date date, revtq double, revt_sale double")
+    out = {(r.permno, r.public_date): r.revenue_growth for r in P.revenue_growth(df).collect()}
+    assert out[(1, D(2000, 2, 29))] == pytest.approx(0.2)
+    assert out[(2, D(2000, 2, 29))] == pytest.approx(0.25)
+    assert out[(1, D(2000, 1, 31))] is None and out[(2, D(2000, 1, 31))] is None

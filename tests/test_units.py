@@ -6,7 +6,6 @@ import os
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from panelkit.operators import ml as ML
 from panelkit.operators import split as S
