@@ -141,11 +141,11 @@ def q_drop_all_null_cols(spark, d):
     return C.drop_all_null_cols(lab)
 
 
-@register("drop_constant_cols", lab_sql("SELECT * EXCLUDE (delist_year) FROM lab WHERE permno % 4 = 1"))
+@register("drop_constant_cols", lab_sql("SELECT * EXCLUDE (delist_year) FROM lab"))
 def q_drop_constant_cols(spark, d):
-    """``delist_year`` is set constant on this subset and must be dropped; every other
-    column varies there (the oracle lists the surviving columns)."""
-    lab = labelled(spark, d).filter(F.col("permno") % 4 == 1).withColumn("delist_year", F.lit(0))
+    """F15 over the whole labelled panel: ``delist_year`` is made constant and must be
+    dropped; every other column varies (the oracle lists the surviving columns)."""
+    lab = labelled(spark, d).withColumn("delist_year", F.lit(0))
     return C.drop_constant_cols(lab)
 
 

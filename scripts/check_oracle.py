@@ -45,7 +45,9 @@ def canon(df: pd.DataFrame):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
-    spark = get_session("local[8]", shuffle_partitions=8)
+    import os
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("CHECK_CONF", "").split(",") if kv)
+    spark = get_session("local[8]", shuffle_partitions=8, conf=extra)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:

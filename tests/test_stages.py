@@ -8,7 +8,7 @@ from panelkit.plans import q_panel, stages
 from panelkit.sources import fixtures as fx
 
 
-def test_pipeline_end_to_end(spark):
+def test_stages_end_to_end(spark):
     d = SF_SMALL
     # 1. universe: IPOs from company + link + names, delistings, and the panel fetch
     ipo = stages.fetch_ipos(fx.names(spark, d), "1995-01-01", "2001-12-31", "",
