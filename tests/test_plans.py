@@ -46,3 +46,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     assert re.search(r"ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>", plan)
+
+
+MODEL_KEYS = {"model_run", "model_save_load", "logistic_fit", "predict", "top_k_weights"}
+
+
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - MODEL_KEYS))
+def test_no_all_pairs_join_or_python(spark, key):
+    """No query pairs all rows (nested-loop / cartesian joins) or runs Python per row."""
+    plan = _plan(QUERIES[key](spark, SF_SMALL))
+    for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
+                 "ArrowEvalPython"):
+        assert node not in plan, node
