@@ -97,3 +97,48 @@ def test_rank_and_size_bounded_carry(spark, by):
         assert (out.sort_values(["g", "t"])["r"].to_numpy() == exp.to_numpy()).all()
     else:
         assert sorted(out["r"]) == list(range(500))
+
+
+def test_operators_with_a_hot_firm(spark):
+    """Fill, growth and chronological split stay exact when one firm holds ~40% of the rows
+    and its rows are spread over several range partitions."""
+    import datetime as dt
+
+    from panelkit.operators import labels as L
+    from panelkit.operators import panel as P
+    from panelkit.operators import split as S
+    rng = np.random.default_rng(21)
+    rows = []
+    for i in range(1200):
+        firm = 0 if i < 500 else int(rng.integers(1, 40))
+        day = dt.date(1990, 1, 1) + dt.timedelta(days=int(i * 3 + rng.integers(0, 3)))
+        v = None if rng.random() < 0.35 else float(rng.uniform(0.5, 2.0))
+        rows.append((firm, day, day.year, day.month, v))
+    pdf = pd.DataFrame(rows, columns=["permno", "public_date", "public_year", "public_month", "x"])
+    pdf = pdf.drop_duplicates(["permno", "public_date"]).reset_index(drop=True)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None),
+                               "permno long, public_date date, public_year int, public_month int, x double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")        # keep 6 range partitions
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        filled = L.fill_by_group(df, ["permno"], ["public_date"], cols=["x"]).toPandas()
+        growth = P.pct_change(df.withColumnRenamed("x", "total_assets"), "total_assets", "g",
+                              fill="pad").toPandas()
+        split = S.chronological_split(df, "permno", "public_date").toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    exp = pdf.sort_values(["permno", "public_date"])
+    ex = exp.groupby("permno")["x"].transform(lambda s: s.bfill().ffill())
+    got = filled.set_index(["permno", "public_date"])["x"].reindex(
+        exp.set_index(["permno", "public_date"]).index)
+    assert np.allclose(got.to_numpy(float), ex.to_numpy(float), equal_nan=True)
+    eg = exp.groupby("permno")["x"].transform(lambda s: s.ffill() / s.ffill().shift(1) - 1)
+    gg = growth.set_index(["permno", "public_date"])["g"].reindex(
+        exp.set_index(["permno", "public_date"]).index)
+    assert np.allclose(gg.to_numpy(float), eg.to_numpy(float), equal_nan=True)
+    sizes = split.groupby(["permno", "split"]).size().unstack(fill_value=0)
+    n = sizes.sum(axis=1)
+    i1 = np.minimum(np.maximum(np.floor(n * 0.7), 0), np.maximum(n - 2, 0))
+    i2 = np.minimum(np.maximum(np.floor(n * 0.85), i1 + 1), np.maximum(n - 1, 1))
+    assert (sizes["train"] == i1).all() and (sizes["val"] == i2 - i1).all()
