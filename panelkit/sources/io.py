@@ -63,7 +63,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         reader = reader.option("header", "true")
         if schema is None:
             reader = reader.option("inferSchema", "true")
-    return reader.format(kind).load(path)
+        return reader.format(kind).load(path)
+    try:
+        return reader.format(kind).load(path)
+    except Exception:  # noqa: BLE001 - any read failure (footer, schema, permissions)
+        # unreadable primary file: fall back to a same-named CSV when there is one
+        alt = os.path.splitext(path.rstrip("/"))[0] + ".csv"
+        if _is_local_missing(alt) or alt == path:
+            raise
+        return read_table(spark, alt, schema, "csv")
 
 
 def require_columns(df: DataFrame, required: Sequence[str], what: str = "table") -> DataFrame:

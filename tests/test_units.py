@@ -149,3 +149,14 @@ def test_logistic_fit_matches_weighted_objective(spark, tmpdir_session):
     assert np.allclose(a, b)
     with pytest.raises(ValueError):
         ML.build_model_config("random_forest")
+
+
+def test_read_table_falls_back_when_primary_is_unreadable(spark, tmpdir_session):
+    base = os.path.join(tmpdir_session, "broken")
+    os.makedirs(base + ".parquet", exist_ok=True)
+    with open(os.path.join(base + ".parquet", "part-0.parquet"), "w") as fh:
+        fh.write("not parquet")
+    spark.createDataFrame([(1, "x")], "k long, v string").write.mode("overwrite").option(
+        "header", "true").csv(base + ".csv")
+    df = io.read_table(spark, base + ".parquet")
+    assert df.columns == ["k", "v"] and df.count() == 1
