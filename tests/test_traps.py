@@ -271,3 +271,16 @@ def test_w5_revenue_column_chosen_per_firm(spark):
     assert out[(1, D(2000, 2, 29))] == pytest.approx(0.2)
     assert out[(2, D(2000, 2, 29))] == pytest.approx(0.25)
     assert out[(1, D(2000, 1, 31))] is None and out[(2, D(2000, 1, 31))] is None
+
+
+def test_w9_fill_is_idempotent(spark):
+    """Filling an already filled panel changes nothing."""
+    rng = np.random.default_rng(13)
+    rows = [(int(f), 2000 + m // 12, m % 12 + 1, None if rng.random() < 0.5 else float(rng.normal()))
+            for f in range(6) for m in range(int(rng.integers(1, 30)))]
+    df = spark.createDataFrame(rows, "permno long, public_year int, public_month int, x double")
+    once = L.fill_by_group(df, ["permno"], ["public_year", "public_month"])
+    twice = L.fill_by_group(once, ["permno"], ["public_year", "public_month"])
+    key = lambda r: (r.permno, r.public_year, r.public_month)
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
+    assert sorted(once.collect(), key=key) == sorted(twice.collect(), key=key)
