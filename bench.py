@@ -59,19 +59,24 @@ def main() -> None:
 
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    jobs: dict[str, int] = {}
+    tracker = spark.sparkContext.statusTracker()
     for name in HEADLINE:
         samples = []
-        for _ in range(runs):
+        for run in range(runs):
             fx.reset_derived()      # every run recomputes its query from the tables
+            group = f"bench-{name}-{run}"
+            spark.sparkContext.setJobGroup(group, group)
             t0 = time.perf_counter()
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             samples.append(time.perf_counter() - t0)
+            jobs[name] = len(tracker.getJobIdsForGroup(group))
         cold[name] = round(samples[0], 3)
         times[name] = round(statistics.median(samples[1:] if len(samples) > 1 else samples), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else None,
-                      "cpus": cpus, "runs": runs, "setup_sec": setup, "cold": cold,
+                      "cpus": cpus, "runs": runs, "setup_sec": setup, "cold": cold, "jobs": jobs,
                       "cold_total_sec": round(sum(cold.values()), 3)}))
     spark.stop()
 
