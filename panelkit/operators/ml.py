@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelkit.operators.ordered import exact_quantiles, ordered_scan
+from panelkit.operators.ordered import approx_quantiles, exact_quantiles, ordered_scan
 from panelkit.session import cut_lineage
 
 SUPPORTED_MODELS = ("logistic_regression",)
@@ -72,10 +72,14 @@ def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.select(kv.alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
 
 
-def train_medians(train: DataFrame, features: Sequence[str]) -> DataFrame:
+def train_medians(train: DataFrame, features: Sequence[str],
+                  approx: int | None = None) -> DataFrame:
     """M1: exact median of every feature on the training rows (feature, median).
-    Features without any value are absent (they are dropped, as in the reference)."""
-    q = exact_quantiles(_long(train, features), "value", {"median": 0.5}, by=["feature"])
+    Features without any value are absent (they are dropped, as in the reference).
+    ``approx`` (an accuracy) uses mergeable sketches instead, as a scale option."""
+    long = _long(train, features)
+    q = (approx_quantiles(long, "value", {"median": 0.5}, by=["feature"], accuracy=approx)
+         if approx else exact_quantiles(long, "value", {"median": 0.5}, by=["feature"]))
     return q.select("feature", "median")
 
 

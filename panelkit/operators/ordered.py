@@ -180,6 +180,20 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: OrderSpec, *,
     return joined.select(*final)
 
 
+def approx_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
+                     by: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
+    """Scale option: quantile sketches (``percentile_approx``), merged across partitions;
+    memory per group is bounded by ``accuracy``, rank error about n / accuracy.
+    Same output columns as :func:`exact_quantiles`."""
+    by = list(by)
+    names = list(probs)
+    x = F.col(value)
+    g = df.filter(x.isNotNull()).groupBy(*by) if by else df.filter(x.isNotNull()).groupBy()
+    q = g.agg(F.count(x).alias("n"),
+              F.percentile_approx(x, [float(probs[k]) for k in names], accuracy).alias("_q"))
+    return q.select(*by, "n", *[F.col("_q")[i].alias(k) for i, k in enumerate(names)])
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
                     by: Sequence[str] = (), few_groups: bool = True) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy ``linear``) per ``by`` group.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import cleaning as C
 from panelkit.functions.scalar import ROA_BIN_EDGES, bin_label, clip, cut_bins, map_label, percent_label
-from panelkit.operators.ordered import exact_quantiles
+from panelkit.operators.ordered import approx_quantiles, exact_quantiles
 
 # Ratios of the correlation heat map, in order.
 CORR_COLUMNS = ["tobinq", "revtq", "bm", "roa", "roe", "de_ratio", "pe_op_basic"]
@@ -107,12 +107,15 @@ def histogram(df: DataFrame, col: str, bins: int = HIST_BINS,
 
 
 def boxplot_stats(df: DataFrame, value: str = "roa", label: str = "delist",
-                  whis: float = WHIS) -> DataFrame:
+                  whis: float = WHIS, approx: int | None = None) -> DataFrame:
     """Per label group: quartiles (linear interpolation), median, mean, whiskers (the
-    farthest points within whis x IQR of the box) and the number of outliers beyond them."""
+    farthest points within whis x IQR of the box) and the number of outliers beyond them.
+    ``approx`` (an accuracy, e.g. 10000) switches the quartiles to mergeable sketches."""
     data = df.select(map_label(label).alias("group"), F.col(value).alias("x")).filter(
         F.col("group").isNotNull() & F.col("x").isNotNull())
-    q = exact_quantiles(data, "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=["group"])
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    q = (approx_quantiles(data, "x", probs, by=["group"], accuracy=approx) if approx
+         else exact_quantiles(data, "x", probs, by=["group"]))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("_lo", F.col("q1") - whis * F.col("iqr")).withColumn(
         "_hi", F.col("q3") + whis * F.col("iqr"))

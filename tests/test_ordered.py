@@ -142,3 +142,13 @@ def test_operators_with_a_hot_firm(spark):
     i1 = np.minimum(np.maximum(np.floor(n * 0.7), 0), np.maximum(n - 2, 0))
     i2 = np.minimum(np.maximum(np.floor(n * 0.85), i1 + 1), np.maximum(n - 1, 1))
     assert (sizes["train"] == i1).all() and (sizes["val"] == i2 - i1).all()
+
+
+def test_approx_quantiles_scale_option(spark):
+    from panelkit.operators.ordered import approx_quantiles
+    pdf, df = _frame(spark, n=4000, seed=8)
+    a = approx_quantiles(df, "v", {"med": 0.5}, by=["g"], accuracy=10000).toPandas().sort_values("g")
+    e = exact_quantiles(df, "v", {"med": 0.5}, by=["g"]).toPandas().sort_values("g")
+    assert (a["n"].to_numpy() == e["n"].to_numpy()).all()
+    # within the sketch's rank error of the exact answer (values are ~N(0, 1))
+    assert np.abs(a["med"].to_numpy() - e["med"].to_numpy()).max() < 0.25
