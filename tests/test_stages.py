@@ -42,3 +42,35 @@ def test_split_uses_ipo_date_when_present(spark):
     keys = {r.permno: str(r._sort_key) for r in
             S.earliest_key_per_firm(df, "permno", "ipodate", "public_year").collect()}
     assert keys == {1: "1999-05-01", 2: "1998-01-01", 3: "1990-01-01"}
+
+
+def test_cli_runs_the_stages_over_files(spark, tmpdir_session):
+    """The command line chains the stages through files, like the reference's scripts."""
+    import os
+
+    from panelkit.plans import cli
+    from panelkit.sources.io import read_table, write_table
+    d = SF_SMALL
+    base = os.path.join(tmpdir_session, "cli")
+    paths = {}
+    for name, df in {"names": fx.names(spark, d), "company": fx.company(spark, d),
+                     "link": fx.link(spark, d), "events": fx.delist_events(spark, d),
+                     "ratios": fx.ratios(spark, d), "funda": fx.funda(spark, d),
+                     "fundq": fx.fundq(spark, d), "msf": fx.msf(spark, d),
+                     "ccmfunda": fx.ccmfunda(spark, d)}.items():
+        paths[name] = write_table(df, os.path.join(base, f"{name}.parquet"))
+    rng = ["--start", "1995-01-01", "--end", "2001-12-31", "--exchange", ""]
+    ipo = cli.run(["ipos", "--names", paths["names"], "--company", paths["company"],
+                   "--link", paths["link"], *rng, "--out", os.path.join(base, "ipo.parquet")], spark)
+    dl = cli.run(["delists", "--events", paths["events"], "--names", paths["names"], *rng,
+                  "--out", os.path.join(base, "delist.parquet")], spark)
+    panel = cli.run(["panel", "--ipo", ipo, "--ratios", paths["ratios"], "--link", paths["link"],
+                     "--funda", paths["funda"], "--fundq", paths["fundq"], "--msf", paths["msf"],
+                     "--ccmfunda", paths["ccmfunda"], "--out", os.path.join(base, "panel.parquet")], spark)
+    matched = cli.run(["match", "--ipo", ipo, "--delist", dl,
+                       "--out", os.path.join(base, "matched.csv")], spark)
+    merged = cli.run(["clean", "--panel", panel, "--matched", matched,
+                      "--out", os.path.join(base, "merged.parquet")], spark)
+    assert read_table(spark, panel).count() > 0 and read_table(spark, merged).count() >= 0
+    assert read_table(spark, matched).count() == stages.match_delistings(
+        read_table(spark, ipo), read_table(spark, dl)).count()
