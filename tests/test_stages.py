@@ -74,3 +74,20 @@ def test_cli_runs_the_stages_over_files(spark, tmpdir_session):
     assert read_table(spark, panel).count() > 0 and read_table(spark, merged).count() >= 0
     assert read_table(spark, matched).count() == stages.match_delistings(
         read_table(spark, ipo), read_table(spark, dl)).count()
+
+
+def test_cli_train(spark, tmpdir_session):
+    import os
+
+    from panelkit.plans import cli
+    from panelkit.plans.q_labels import labelled
+    from panelkit.sources.io import read_table, write_table
+    base = os.path.join(tmpdir_session, "cli_train")
+    data = write_table(labelled(spark, SF_SMALL), os.path.join(base, "merged.parquet"))
+    out = cli.run(["train", "--data", data, "--C", "0.5", "--max-iter", "200",
+                   "--save-model", os.path.join(base, "model"),
+                   "--out", os.path.join(base, "metrics.parquet")], spark)
+    m = read_table(spark, out)
+    assert set(m.columns) >= {"split", "accuracy", "precision", "recall", "f1", "roc_auc"}
+    assert m.count() == 2
+    assert os.path.isdir(os.path.join(base, "model", "pipeline"))
