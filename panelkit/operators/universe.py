@@ -53,20 +53,50 @@ def valid_on(names: DataFrame, date_col, open_start: bool = False):
     return start_ok & (F.col("nameenddt").isNull() | (F.col("nameenddt") >= date_col))
 
 
+def _year_buckets(events: DataFrame, names: DataFrame, date_col: str) -> DataFrame | None:
+    """Names rows repeated once per calendar year they cover, open ends bounded by the
+    events' year range (two bounded scalars from one aggregate); None without events."""
+    b = events.agg(F.min(F.year(date_col)).alias("lo"), F.max(F.year(date_col)).alias("hi")).first()
+    if b["lo"] is None:
+        return None
+    lo, hi = F.lit(int(b["lo"])), F.lit(int(b["hi"]))
+    start = F.greatest(F.coalesce(F.year("namedt"), lo), lo)
+    end = F.least(F.coalesce(F.year("nameenddt"), hi), hi)
+    return (names.withColumn("_s", start).withColumn("_e", end)
+            .filter(F.col("_s") <= F.col("_e"))
+            .withColumn("_yb", F.explode(F.sequence("_s", "_e"))).drop("_s", "_e"))
+
+
+def _validity_join(events, names, date_col, key, names_key, how, open_start, bucketed):
+    n = names
+    if bucketed:
+        n = _year_buckets(events, names, date_col)
+        if n is None:
+            bucketed, n = False, names
+    n = n.withColumnRenamed(names_key, "_nk")
+    cond = (F.col(key) == F.col("_nk")) & valid_on(n, F.col(date_col), open_start=open_start)
+    if bucketed:
+        cond = cond & (F.year(F.col(date_col)) == F.col("_yb"))
+    out = events.join(n, cond, how).drop("_nk")
+    return out.drop("_yb") if bucketed else out
+
+
 def validity_join_left(events: DataFrame, names: DataFrame, date_col: str,
-                       key: str = "permno", names_key: str = "permno") -> DataFrame:
-    """Attach the names row valid on the event date (LEFT; namedt must be known)."""
-    n = names.withColumnRenamed(names_key, "_nk")
-    cond = (F.col(key) == F.col("_nk")) & valid_on(n, F.col(date_col))
-    return events.join(n, cond, "left").drop("_nk")
+                       key: str = "permno", names_key: str = "permno",
+                       bucketed: bool = False) -> DataFrame:
+    """Attach the names row valid on the event date (LEFT; namedt must be known).
+
+    ``bucketed=True`` adds the event's calendar year to the equi-join key (each interval
+    is repeated for the years it covers), so pairs are formed only within (key, year):
+    for keys with many events *and* many intervals. The result is the same.
+    """
+    return _validity_join(events, names, date_col, key, names_key, "left", False, bucketed)
 
 
 def validity_join_inner(events: DataFrame, names: DataFrame, date_col: str,
-                        key: str = "permno") -> DataFrame:
-    """Event x names row, null-open at both ends (INNER)."""
-    n = names.withColumnRenamed(key, "_nk")
-    cond = (F.col(key) == F.col("_nk")) & valid_on(n, F.col(date_col), open_start=True)
-    return events.join(n, cond, "inner").drop("_nk")
+                        key: str = "permno", bucketed: bool = False) -> DataFrame:
+    """Event x names row, null-open at both ends (INNER); ``bucketed`` as in J2."""
+    return _validity_join(events, names, date_col, key, key, "inner", True, bucketed)
 
 
 def ipo_from_names(names: DataFrame, exchange: str | None, start: str, end: str) -> DataFrame:

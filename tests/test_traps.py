@@ -284,3 +284,25 @@ def test_w9_fill_is_idempotent(spark):
     key = lambda r: (r.permno, r.public_year, r.public_month)
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
     assert sorted(once.collect(), key=key) == sorted(twice.collect(), key=key)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_bucketed_validity_join_equals_plain(spark, how):
+    """The year-bucketed interval join returns exactly the plain join's rows, including
+    open-ended and touching intervals and events without a valid name."""
+    from conftest import SF_SMALL
+    from panelkit.sources import fixtures as fx
+    names = fx.names(spark, SF_SMALL).unionByName(_names(spark))
+    if how == "left":
+        ev = fx.ipo(spark, SF_SMALL).select("permno", "ipo_date").unionByName(
+            spark.createDataFrame([(1, D(1995, 1, 1)), (2, D(1989, 1, 1)), (99, D(2000, 1, 1))],
+                                  "permno long, ipo_date date"))
+        a = U.validity_join_left(ev, names, "ipo_date")
+        b = U.validity_join_left(ev, names, "ipo_date", bucketed=True)
+    else:
+        ev = fx.delist_events(spark, SF_SMALL).unionByName(
+            spark.createDataFrame([(1, D(1995, 1, 1), 100)], "permno long, dlstdt date, dlstcd int"))
+        a = U.validity_join_inner(ev, names, "dlstdt")
+        b = U.validity_join_inner(ev, names, "dlstdt", bucketed=True)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
