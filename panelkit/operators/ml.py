@@ -166,12 +166,15 @@ class FittedModel:
 
 
 def fit(train: DataFrame, features: Sequence[str], label: str,
-        cfg: ModelConfig | None = None) -> FittedModel:
-    """M1-M4 on the training rows; the fit input is checkpointed (iterative reads)."""
+        cfg: ModelConfig | None = None, checkpoint: bool = True) -> FittedModel:
+    """M1-M4 on the training rows. Unless the rows already come from a written table
+    (``checkpoint=False``), they are written once to the shared folder first: the
+    statistics below and every optimizer pass then read them instead of recomputing the
+    upstream plan."""
     cfg = cfg or ModelConfig()
-    # One reliable checkpoint of the (firm-year sized) training rows: the statistics below
-    # and every optimizer pass then read it instead of recomputing the upstream plan.
-    data = cut_lineage(train.select(*features, label))
+    data = train.select(*features, label)
+    if checkpoint:
+        data = cut_lineage(data)
     med = _dict(train_medians(data, features), "feature", "median")
     feats = [f for f in features if f in med]           # all-NULL in train -> dropped
     med = {f: med[f] for f in feats}

@@ -104,7 +104,8 @@ def q_roc_auc(spark, d):
 @fx.memo
 def fitted(spark, d):
     tr = train_rows(spark, d)
-    return ML.fit(tr, _features(tr.columns), "y_next_year", ML.build_model_config())
+    return ML.fit(tr, _features(tr.columns), "y_next_year", ML.build_model_config(),
+                  checkpoint=False)      # train rows come from the written split table
 
 
 def _held(spark, d):

@@ -80,19 +80,19 @@ def train_and_evaluate(panel: DataFrame, cfg: ML.ModelConfig | None = None,
     cfg = cfg or ML.ModelConfig()
     yearly = FE.yearly_features(panel, cutoff_month=cutoff_month)
     feats = C.select_features(yearly.columns, features, C.yearly_feature_names())
-    # The firm-year table is small next to the panel (one row per firm and year): cut its
-    # lineage once, so the column checks, the split, the fit and the scoring read it back
-    # instead of recomputing the panel aggregation.
-    X = cut_lineage(yearly.select("permno", "public_year", "y_next_year",
-                                  *[C.to_numeric_clean(f) for f in feats]))
-    dropped = C.all_null_columns(X, feats)
-    if drop_zero_variance:
-        dropped += C.constant_columns(X, [f for f in feats if f not in dropped])
-    feats = [f for f in feats if f not in dropped]
+    X = yearly.select("permno", "public_year", "y_next_year",
+                      *[C.to_numeric_clean(f) for f in feats])
     ipo_col = "ipodate" if "ipodate" in yearly.columns else None
+    # The split firm-year table is small next to the panel (one row per firm and year):
+    # written once to the shared folder, it feeds the column checks, the class rescue, the
+    # fit and the scoring without recomputing the panel aggregation.
     data = cut_lineage(S.firm_level_split(X, "permno", ipo_col, "public_year", ratios))
+    dropped = C.all_null_columns(data, feats)
+    if drop_zero_variance:
+        dropped += C.constant_columns(data, [f for f in feats if f not in dropped])
+    feats = [f for f in feats if f not in dropped]
     data, moved = S.ensure_two_classes(data, "y_next_year")
-    model = ML.fit(S.split_filter(data, S.TRAIN), feats, "y_next_year", cfg)
+    model = ML.fit(S.split_filter(data, S.TRAIN), feats, "y_next_year", cfg, checkpoint=False)
     held = data.filter(F.col("split").isin(S.VAL, S.TEST))
     pred = model.predict(held)
     metrics = ML.evaluate(pred, "y_next_year", by=["split"]).join(
