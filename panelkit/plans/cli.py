@@ -104,5 +104,9 @@ def run(argv: list[str], spark=None) -> str:
     return write_table(df, args.out)
 
 
-if __name__ == "__main__":
+def main() -> None:
     print(run(sys.argv[1:]))
+
+
+if __name__ == "__main__":
+    main()
