@@ -8,6 +8,7 @@ import importlib
 #: express the result, ORACLE (text) or oracle() (a function that gives it).
 OPERATORS = {
     "op1_exact_dedup": "exact_dedup",
+    "op2_substring_dedup": "substring_dedup",
     "op4_sharding": "sharding",
     "op6_toxicity": "toxicity",
     "op8_decontamination": "decontaminate",
