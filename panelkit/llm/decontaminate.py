@@ -237,7 +237,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
     """``docs`` (all columns) without the documents that contain an item; rows that share an
     id share their fate."""
     dropped = contaminated(docs, items, id_col, text_col).select(F.col(id_col).alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("_dropped")), "left_anti")
+    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["_dropped"]), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,8 +75,8 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` without the rows that :func:`exact_dedup` drops, with all their columns."""
     dropped = (exact_dedup(docs, id_col, text_col).filter(~F.col("kept"))
                .select(F.col(id_col).alias("_dropped"), "text_sha256").distinct())
-    same = (F.col(id_col).eqNullSafe(F.col("_dropped"))
-            & (sha256(F.coalesce(F.col(text_col), F.lit(""))) == F.col("text_sha256")))
+    same = (docs[id_col].eqNullSafe(dropped["_dropped"])
+            & (sha256(F.coalesce(docs[text_col], F.lit(""))) == dropped["text_sha256"]))
     return docs.join(dropped, same, "left_anti")
 
 

@@ -9,8 +9,11 @@ import importlib
 OPERATORS = {
     "op1_exact_dedup": "exact_dedup",
     "op2_substring_dedup": "substring_dedup",
+    "op3_secrets": "secrets",
     "op4_sharding": "sharding",
+    "op5_language": "language",
     "op6_toxicity": "toxicity",
+    "op7_licenses": "licenses",
     "op8_decontamination": "decontaminate",
     "op9_bpe": "bpe",
     "op10_simhash": "simhash",

@@ -77,9 +77,10 @@ def assign_shards(docs: DataFrame, key_col: str = "doc_id", shards: Sequence[str
     Equal keys share a shard; a null key is placed as the empty text. Empty tables give
     empty results, long texts are not read.
     """
-    rows = docs.drop("slot", "shard").withColumn("slot", slot_of(F.col(key_col), size))
+    rows = docs.select(*[docs[c] for c in docs.columns if c not in ("slot", "shard")],
+                       slot_of(docs[key_col], size).alias("slot"))
     lookup = F.broadcast(slots(docs.sparkSession, shards, size))
-    return rows.join(lookup, F.col("slot") == F.col("_slot"), "inner").drop("_slot")
+    return rows.join(lookup, rows["slot"] == lookup["_slot"], "inner").drop(lookup["_slot"])
 
 
 def write_shards(docs: DataFrame, path: str, files_per_shard: int = 1, **options) -> None:

@@ -169,7 +169,7 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id share their fate, and rows without an id stay."""
     dropped = (near_groups(docs, id_col, text_col).filter(F.col(id_col) != F.col("component_id"))
                .select(F.col(id_col).alias("_dropped")).distinct())
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ BATCH_BYTES = 8 << 20
 
 _RNG = np.random.default_rng(20_240_602)
 _BYTE = _RNG.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
-_BASE = int(_RNG.integers(1 << 60, 1 << 63)) * 2 + 1
+_BASES = [int(b) * 2 + 1 for b in _RNG.integers(1 << 60, 1 << 63, 64)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -59,27 +59,27 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     """Hash of values[start:end] for each span; equal spans hash equally wherever they are."""
-    n = len(values)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(_BASE, n), dtype=np.uint64)])
-    inverse = _powers(pow(_BASE, -1, 1 << 64), n)
+    n, base = len(values), _BASES[seed % len(_BASES)]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(base, n), dtype=np.uint64)])
+    inverse = _powers(pow(base, -1, 1 << 64), n)
     return _mixed((total[ends] - total[starts]) * inverse[starts])
 
 
-def edge_hashes(texts: list[bytes], k: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def edge_hashes(texts: list[bytes], k: int = WINDOW, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, text index, first word) of every edge, in order of text and word."""
     data = np.frombuffer(b" ".join(texts), np.uint8)
     gap = np.concatenate([[True], _SPACE[data], [True]])
     starts, ends = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
     begins = np.cumsum([0] + [len(t) + 1 for t in texts])
     owner = np.searchsorted(begins, starts, side="right") - 1
-    words = _spans(_BYTE[data], starts, ends)
+    words = _spans(_BYTE[data], starts, ends, seed)
     n = max(0, len(words) - k + 1)
     at = np.arange(n)
     at = at[owner[:n] == owner[k - 1:k - 1 + n]]
     first = np.searchsorted(owner, np.arange(len(texts)))
-    return _spans(words, at, at + k), owner[at], at - first[owner[at]]
+    return _spans(words, at, at + k, seed), owner[at], at - first[owner[at]]
 
 
 # -- packed columns ---------------------------------------------------------------------
@@ -147,9 +147,10 @@ def _repeats(doc: np.ndarray, at: np.ndarray, source: np.ndarray) -> np.ndarray:
                              doc[source[again]], at[source[again]]], axis=1))
 
 
-def _batch_rows(ids: list[int], texts: list[bytes], k: int, bits: int) -> list[dict]:
+def _batch_rows(ids: list[int], texts: list[bytes], k: int, bits: int, seed: int, hash_bits: int) -> list[dict]:
     """A batch's distinct edges by hash range, and the paths of its own repeats."""
-    h, owner, at = edge_hashes(texts, k)
+    h, owner, at = edge_hashes(texts, k, seed)
+    h &= np.uint64((1 << 64) - (1 << (64 - hash_bits)))
     if not len(h):
         return []
     doc = np.array(ids, np.int64)[owner]
@@ -174,7 +175,7 @@ _EDGES = pa.schema([("range", pa.int32()), ("ids", pa.binary()), ("hash", pa.bin
                     ("word", pa.binary()), ("paths", pa.binary())])
 
 
-def edges(docs: DataFrame, k: int, bits: int) -> DataFrame:
+def edges(docs: DataFrame, k: int, bits: int, seed: int = 0, hash_bits: int = 64) -> DataFrame:
     """Rows of _EDGES: the distinct edges of each batch, packed by hash range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
@@ -186,10 +187,10 @@ def edges(docs: DataFrame, k: int, bits: int) -> DataFrame:
                 texts.append(text.as_py())
                 size += len(texts[-1])
                 if size >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_pylist(_batch_rows(ids, texts, k, bits), schema=_EDGES)
+                    yield pa.RecordBatch.from_pylist(_batch_rows(ids, texts, k, bits, seed, hash_bits), schema=_EDGES)
                     ids, texts, size = [], [], 0
         if ids:
-            yield pa.RecordBatch.from_pylist(_batch_rows(ids, texts, k, bits), schema=_EDGES)
+            yield pa.RecordBatch.from_pylist(_batch_rows(ids, texts, k, bits, seed, hash_bits), schema=_EDGES)
 
     return docs.mapInArrow(run, "range int, ids binary, hash binary, text binary, word binary, paths binary")
 
@@ -287,15 +288,29 @@ def read_texts(docs: DataFrame, paths: DataFrame, k: int, sets: int) -> DataFram
     return texts.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(run, _READ)
 
 
+def _false_paths(paths: DataFrame, read: DataFrame) -> DataFrame:
+    """Paths whose words differ from the words at their source."""
+    spans = read.filter("start IS NOT NULL").select("doc", "start", "n", "digest").distinct()
+    source = spans.select(F.col("doc").alias("src_doc"), F.col("start").alias("src_start"), "n",
+                          F.col("digest").alias("_digest"))
+    return (paths.join(spans, ["doc", "start", "n"], "left").join(source, ["src_doc", "src_start", "n"], "left")
+            .filter(~F.col("digest").eqNullSafe(F.col("_digest"))).select(*_PATH))
+
+
+def _windows(paths: DataFrame) -> DataFrame:
+    return paths.select("doc", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at"))
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    k: int = WINDOW) -> DataFrame:
+                    k: int = WINDOW, hash_bits: int = 64) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_sha256 (of the kept words, joined
     by one blank).
 
     Removed are the words of every window of ``k`` words that also starts in a document with
     a smaller id. Null and empty texts have no words; texts under ``k`` words lose none. A
     row without an id loses nothing and is no source. Rows repeated with one id and text get
-    equal results. Ids must be integers; other columns are ignored.
+    equal results. Ids must be integers; other columns are ignored. ``hash_bits`` below 64
+    makes different windows meet, for tests.
     """
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"),
@@ -303,19 +318,27 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, int(size // 6 // RANGE_EDGES).bit_length())
     sets = int(size // SET_BYTES) * 2 + 9
-    packed = edges(rows.filter("doc IS NOT NULL"), k, bits)
-    paths = written(compact_paths(join_by_edge(packed, bits, sets)))
+
+    def paths_of(seed: int) -> DataFrame:
+        packed = edges(rows.filter("doc IS NOT NULL"), k, bits, seed, hash_bits)
+        return written(compact_paths(join_by_edge(packed, bits, sets)))
+
+    paths = paths_of(0)
     read = written(read_texts(rows, paths, k, sets))
-    spans = read.filter("start IS NOT NULL").select("doc", "start", "n", "digest").distinct()
-    source = spans.select(F.col("doc").alias("src_doc"), F.col("start").alias("src_start"), "n",
-                          F.col("digest").alias("_digest"))
-    false = written(paths.join(spans, ["doc", "start", "n"], "left").join(source, ["src_doc", "src_start", "n"], "left")
-                    .filter(~F.col("digest").eqNullSafe(F.col("_digest"))).select(*_PATH))
+    false = written(_false_paths(paths, read))
     result = read.filter("start IS NULL")
     if not false.isEmpty():
-        # Two windows with one hash: without those paths, the documents are read again.
-        hit = false.select("doc").distinct()
-        true = paths.join(hit, "doc", "left_semi").join(false, _PATH, "left_anti")
+        # Different windows with one hash. Another hash function tells, of the windows of
+        # these paths, which are not repeated and which truly are, until none is in doubt.
+        hit = written(false.select("doc").distinct())
+        true = paths.join(false, _PATH, "left_anti").join(hit, "doc", "left_semi")
+        doubt, seed = written(_windows(false).distinct()), 0
+        while not doubt.isEmpty():
+            seed += 1
+            found = paths_of(seed).join(doubt.select("doc").distinct(), "doc", "left_semi")
+            false = written(_false_paths(found, read_texts(rows, found, k, sets)))
+            true = written(true.union(found.join(false, _PATH, "left_anti")))
+            doubt = written(doubt.join(_windows(false).distinct(), ["doc", "at"], "left_semi"))
         again = read_texts(rows.join(hit, "doc", "left_semi"), true, k, sets).filter("start IS NULL")
         result = result.join(hit, "doc", "left_anti").unionByName(again)
     return result.select(F.col("doc").cast(kind).alias(id_col), "n_words", "n_removed", "kept_sha256")
