@@ -6,8 +6,9 @@ document with a smaller id; one such place is its source coordinate (document, w
 
 1. *Edges.* Each batch of documents hashes its edges (64 bits) and finds, in itself, the
    place with the smallest id of each edge. Repeats inside the batch get that source at
-   once, so an edge leaves a batch once however often it occurs there.
-2. *Join by edge.* The batches' distinct edges meet by hash. Every place whose edge has a
+   once; only places in that first document leave the batch, however many documents of the
+   batch share the edge.
+2. *Join by edge.* What is left of the batches' edges meets by hash. Every place whose edge has a
    place of smaller id gets it as its source.
 3. *Paths.* Joined per set of documents, consecutive edges of a document whose sources are
    consecutive too are one nonbranching path of the source's walk through the graph; such
@@ -128,16 +129,15 @@ def compact(paths: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sources(h: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each edge place the index of the place of its edge with the smallest (doc, at),
-    and the indices of those places, one for each distinct edge, in their order."""
+def _sources(h: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each edge place the index of the place of its edge with the smallest (doc, at)."""
     order = np.lexsort((at, doc, h))
     hs = h[order]
     new = np.concatenate([[True], hs[1:] != hs[:-1]]) if len(hs) else np.zeros(0, bool)
     heads = order[new]
     source = np.empty(len(h), np.int64)
     source[order] = heads[np.cumsum(new) - 1] if len(hs) else order
-    return source, np.sort(heads)
+    return source
 
 
 def _repeats(doc: np.ndarray, at: np.ndarray, source: np.ndarray) -> np.ndarray:
@@ -148,18 +148,20 @@ def _repeats(doc: np.ndarray, at: np.ndarray, source: np.ndarray) -> np.ndarray:
 
 
 def _batch_rows(ids: list[int], texts: list[bytes], k: int, bits: int, seed: int, hash_bits: int) -> list[dict]:
-    """A batch's distinct edges by hash range, and the paths of its own repeats."""
+    """A batch's edges without its own repeats, by hash range, and the paths of those."""
     h, owner, at = edge_hashes(texts, k, seed)
     h &= np.uint64((1 << 64) - (1 << (64 - hash_bits)))
     if not len(h):
         return []
     doc = np.array(ids, np.int64)[owner]
-    source, heads = _sources(h, doc, at)
+    source = _sources(h, doc, at)
     rows = []
     paths = _repeats(doc, at, source)
     if len(paths):
         rows.append({"range": int(h[0] >> np.uint64(64 - bits)), "paths": _pack_paths(paths)})
-    h, owner, at = h[heads], owner[heads], at[heads]
+    # All places in the first document go on: a smaller id elsewhere decides for each.
+    alone = doc[source] == doc
+    h, owner, at = h[alone], owner[alone], at[alone]
     at_range = (h >> np.uint64(64 - bits)).astype(np.int64)
     order = np.argsort(at_range, kind="stable")
     ids_packed = _pack(np.array(ids, np.int64), delta=True)
@@ -176,7 +178,7 @@ _EDGES = pa.schema([("range", pa.int32()), ("ids", pa.binary()), ("hash", pa.bin
 
 
 def edges(docs: DataFrame, k: int, bits: int, seed: int = 0, hash_bits: int = 64) -> DataFrame:
-    """Rows of _EDGES: the distinct edges of each batch, packed by hash range."""
+    """Rows of _EDGES: the edges of each batch, packed by hash range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
         texts: list[bytes] = []
@@ -210,8 +212,7 @@ def join_by_edge(packed: DataFrame, bits: int, sets: int) -> DataFrame:
             doc.append(_unpack(row["ids"], delta=True)[_unpack(row["text"], 4, delta=True)])
             at.append(_unpack(row["word"], 4))
         h, doc, at = np.concatenate(h), np.concatenate(doc), np.concatenate(at)
-        source, _ = _sources(h, doc, at)
-        found.append(_repeats(doc, at, source))
+        found.append(_repeats(doc, at, _sources(h, doc, at)))
         paths = compact(np.concatenate(found))
         part = np.mod(paths[:, 0], sets)
         order = np.argsort(part, kind="stable")
