@@ -69,8 +69,7 @@ def fill_by_group(df: DataFrame, by: Sequence[str], order: Sequence[str],
     cols = [c for c in (cols or df.columns) if c not in by]
     prev = {f"_pf_{i}": c for i, c in enumerate(cols)}
     nxt = {f"_nf_{i}": c for i, c in enumerate(cols)} if direction == "both" else {}
-    s = ordered_scan(df, by, list(order), prev_nonnull=prev, next_nonnull=nxt,
-                     few_groups=not by)
+    s = ordered_scan(df, by, list(order), prev_nonnull=prev, next_nonnull=nxt)
     out = []
     for i, c in enumerate(df.columns):
         if c in cols:

@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelkit.operators.ordered import approx_quantiles, exact_quantiles, ordered_scan
+from panelkit.operators.ordered import exact_medians, ordered_scan
 from panelkit.session import cut_lineage
 
 SUPPORTED_MODELS = ("logistic_regression",)
@@ -65,22 +65,17 @@ def build_model_config(name: str = "logistic_regression", params: dict | None =
     return cfg
 
 
-def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, value) pairs without NULL values."""
-    kv = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
-                             for f in features]))
-    return df.select(kv.alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
-
-
 def train_medians(train: DataFrame, features: Sequence[str],
                   approx: int | None = None) -> DataFrame:
     """M1: exact median of every feature on the training rows (feature, median).
     Features without any value are absent (they are dropped, as in the reference).
     ``approx`` (an accuracy) uses mergeable sketches instead, as a scale option."""
-    long = _long(train, features)
-    q = (approx_quantiles(long, "value", {"median": 0.5}, by=["feature"], accuracy=approx)
-         if approx else exact_quantiles(long, "value", {"median": 0.5}, by=["feature"]))
-    return q.select("feature", "median")
+    if not approx:
+        return exact_medians(train, features)
+    row = train.agg(*[F.percentile_approx(F.col(f).cast("double"), 0.5, approx).alias(f"m{i}")
+                      for i, f in enumerate(features)])
+    stack = ", ".join(f"'{f}', m{i}" for i, f in enumerate(features))
+    return row.selectExpr(f"stack({len(features)}, {stack}) AS (feature, median)").filter("median IS NOT NULL")
 
 
 def _dict(df: DataFrame, key: str, value: str) -> dict:
@@ -223,7 +218,7 @@ def roc_auc(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -
     d = scored.filter(F.col(score).isNotNull()).groupBy(*by, score).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("double").alias("_pos"),
         F.count(F.lit(1)).cast("double").alias("_cnt"))
-    s = ordered_scan(d, by, [score], cumsum={"_cum": "_cnt"}, few_groups=True)
+    s = ordered_scan(d, by, [score], cumsum={"_cum": "_cnt"})
     avg_rank = F.col("_cum") - F.col("_cnt") + (F.col("_cnt") + 1) / 2
     agg = (s.groupBy(*by) if by else s.groupBy()).agg(
         F.sum(F.col("_pos") * avg_rank).alias("_rs"), F.sum("_pos").alias("_p"),

@@ -1,10 +1,14 @@
 """The skew-safe ordered scan against pandas / numpy on data with one hot group."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from panelkit.operators.ordered import exact_quantiles, global_rank, ordered_scan
 
@@ -22,7 +26,7 @@ def test_scan_matches_pandas(spark):
     pdf, df = _frame(spark)
     out = ordered_scan(df, ["g"], ["t"], prev_nonnull={"p": "v"}, next_nonnull={"nx": "v"},
                        lag={"lg": "v"}, lead={"ld": "v"}, cumsum={"cs": "t"},
-                       rank="r", size="sz", num_partitions=7).toPandas()
+                       rank="r", size="sz", buckets=7).toPandas()
     out = out.sort_values(["g", "t"]).reset_index(drop=True)
     exp = pdf.sort_values(["g", "t"]).reset_index(drop=True)
     gb = exp.groupby("g")
@@ -37,13 +41,72 @@ def test_scan_matches_pandas(spark):
         assert np.allclose(out[c].astype(float), exp[c].astype(float), equal_nan=True), c
 
 
-def test_hot_group_is_split_across_partitions(spark):
-    """A group holding 40% of the rows must span several range partitions."""
-    from panelkit.operators.ordered import sequence
+@pytest.mark.parametrize("order", ["t", "text", "day"])
+def test_hot_group_is_cut_into_segments(spark, order):
+    """A group holding 40% of the rows must span several segments of similar size."""
+    from panelkit.operators.ordered import order_bucket
     _, df = _frame(spark, n=4000)
-    seq = sequence(df, ["g"], ["t"], num_partitions=8)
-    parts = seq.filter("g = 0").select("__os_pid").distinct().count()
-    assert parts >= 3
+    df = df.withColumn("text", F.format_string("k%05d", "t")).withColumn("day", F.date_add(F.lit("1990-01-01"), F.col("t").cast("int")))
+    sizes = [r["count"] for r in df.withColumn("b", order_bucket(df, [order], 8)).filter("g = 0").groupBy("b")
+             .count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 0.5 * sum(sizes)
+
+
+def test_a_heavy_order_value_is_cut_by_the_second_column(spark):
+    from panelkit.operators.ordered import order_bucket
+    df = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS a", "4000 - id AS b")
+    out = df.withColumn("k", order_bucket(df, ["a", "b"], 16))
+    assert max(r["count"] for r in out.groupBy("k").count().collect()) < 900
+    ranked = global_rank(df, ["a", "b"], rank="r").orderBy("r").collect()
+    assert [(r.a, r.b) for r in ranked] == sorted((r.a, r.b) for r in ranked)
+    assert [r.r for r in ranked] == list(range(4000))
+
+
+EXTRA = {"plain": "id", "array": "array(id, id + 1)", "struct": "struct(id AS x, array(id) AS y)", "map": "map(id, id)"}
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("extra", sorted(EXTRA))
+def test_no_row_is_lost_and_no_value_wrong(spark, reuse, adaptive, extra):
+    """400,000 rows against a plain window, whatever Spark reuses and whatever columns ride along."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled",
+                                          "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, (reuse, adaptive, "8")):
+            spark.conf.set(k, v)
+        df = spark.range(400_000).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 0 ELSE pmod(hash(id), 1000) END AS g", "pmod(xxhash64(id), 100000000) AS t",
+            "CASE WHEN id % 5 < 2 THEN NULL ELSE id END AS v", f"{EXTRA[extra]} AS e")
+        out = ordered_scan(df, ["g"], ["t"], prev_nonnull={"p": "v"}, next_nonnull={"x": "v"}, rank="r", size="n")
+        w = W.partitionBy("g").orderBy("t", F.col("v").asc_nulls_last())
+        want = df.select("g", "t", "v", F.last("v", True).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("p"),
+                         (F.row_number().over(w) - 1).cast("long").alias("r"),
+                         F.count(F.lit(1)).over(W.partitionBy("g")).alias("n"))
+        mark = lambda f: f.agg(F.count(F.lit(1)), F.sum(F.xxhash64("g", "t", "v", "p", "r", "n")
+                                                        % F.lit(1 << 40))).first()
+        assert mark(out) == mark(want)
+        assert "e" in out.columns and out.filter("e IS NULL").isEmpty()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_backward_fill_is_linear_in_a_hot_group(spark):
+    """One group of 1,000,000 rows: filling both ways costs at most a few times one way."""
+    import time
+
+    from panelkit.operators.labels import fill_by_group
+    df = spark.range(1_000_000).selectExpr("1 AS g", "id AS t", "CASE WHEN id % 4 = 0 THEN id END AS v")
+    took = {}
+    for direction in ("forward", "both", "forward", "both"):
+        began = time.time()
+        out = fill_by_group(df, ["g"], ["t"], direction, cols=["v"])
+        assert out.agg(F.count("v")).first()[0] == 1_000_000
+        took[direction] = time.time() - began
+    assert took["both"] < 3 * took["forward"] + 1
+    plan = out._jdf.queryExecution().executedPlan().toString().lower()
+    assert not re.search(r"rowframe, (currentrow\$\(\)|-?\d+), unboundedfollowing", plan)
 
 
 def test_exact_quantiles_linear(spark):
@@ -70,7 +133,7 @@ def test_global_rank_without_single_partition_window(spark):
 def test_forward_fill_property(spark, rows):
     """prev_nonnull equals a plain loop for arbitrary small inputs (ties broken by value)."""
     df = spark.createDataFrame(rows, "g int, t int, v int")
-    out = ordered_scan(df, ["g"], ["t"], prev_nonnull={"p": "v"}, num_partitions=3).collect()
+    out = ordered_scan(df, ["g"], ["t"], prev_nonnull={"p": "v"}, buckets=3).collect()
     got = sorted((r.g, r.t, -99 if r.v is None else r.v, r.p) for r in out)
     exp = []
     for g in sorted({r[0] for r in rows}):
@@ -91,7 +154,7 @@ def test_scan_rejects_nothing_on_empty(spark):
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_rank_and_size_bounded_carry(spark, by):
     _, df = _frame(spark, n=500, seed=5)
-    out = ordered_scan(df, by, ["t"], rank="r", size="n", few_groups=True).toPandas()
+    out = ordered_scan(df, by, ["t"], rank="r", size="n").toPandas()
     if by:
         exp = out.sort_values(["g", "t"]).groupby("g").cumcount()
         assert (out.sort_values(["g", "t"])["r"].to_numpy() == exp.to_numpy()).all()
