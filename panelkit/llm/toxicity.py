@@ -69,10 +69,9 @@ def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smooth
     positive = int(labels.sum())
     if not n or positive in (0, n):
         return Model(np.zeros(size, np.float32), 30.0 if positive else -30.0, bits)
-    column = np.concatenate(features)
-    row = np.repeat(np.arange(n), [len(f) for f in features])
-    in_toxic = np.bincount(column[labels[row] == 1], minlength=size).astype(float)
-    in_clean = np.bincount(column, minlength=size) - in_toxic
+    in_toxic, in_clean = np.zeros(size), np.zeros(size)
+    for found, label in zip(features, labels.tolist()):
+        (in_toxic if label else in_clean)[found] += 1
     # Smoothed towards the classes' shares: a feature that was never seen has ratio 0.
     share = positive / n
     a, b = in_toxic + smoothing * share, in_clean + smoothing * (1 - share)
@@ -80,9 +79,9 @@ def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smooth
     error = np.sqrt(np.maximum(0, 1 / a - 1 / (positive + smoothing))
                     + np.maximum(0, 1 / b - 1 / (n - positive + smoothing)))
     ratio[(in_toxic + in_clean < MIN_TEXTS) | (np.abs(ratio) < deviations * error)] = 0
-    used = ratio[column] != 0
-    column, row = column[used], row[used]
-    kept, column = np.unique(column, return_inverse=True)
+    features = [found[ratio[found] != 0] for found in features]
+    row = np.repeat(np.arange(n), [len(f) for f in features])
+    kept, column = np.unique(np.concatenate(features), return_inverse=True)
     value = ratio[kept][column]
     weight = ahead = np.zeros(len(kept))
     bias = bias_ahead = 0.0
@@ -110,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .agg(F.max("toxic").alias("_y")).filter(~held_out("_id")))
     chosen = bounded_sample(marked, "_y", "_id", per_class)
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .join(chosen, "_id").select("_text", "_y"))
+            .join(F.broadcast(chosen), "_id").select("_text", "_y"))   # two classes of per_class rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,8 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                              ["features", "y"])
 
     got = sorted((bytes(r.features), r.y) for r in rows.mapInArrow(run, "features binary, y int").collect())
-    return fit([np.frombuffer(f, "<u4").astype(np.int64) for f, _ in got],
-               np.array([y for _, y in got], np.int64), bits)
+    return fit([np.frombuffer(f, "<u4") for f, _ in got], np.array([y for _, y in got], np.int64), bits)
 
 
 def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
