@@ -1,11 +1,10 @@
 """Firm-year features with a next-period label.
 
-All five per-group statistics of the reference (last, mean, std, slope, count) and the
-yearly label come from ONE ``groupBy(permno, year)``: every aggregate is partially
-aggregated on the map side, so a firm-year with many rows is combined before the
-shuffle. The trend slope uses a one-pass closed form of the reference's formula.
-The next-year label is a ``lead`` over the firm-year table, which has at most one row
-per firm and calendar year.
+The statistics are hash aggregates by (permno, year): every buffer is a fixed-width value
+that is combined on the map side, so a firm-year with many rows never lands whole in one
+task and nothing is sorted. The trend slope uses a one-pass closed form of the reference's
+formula. The next-year label is a ``lead`` over the firm-year table, which has at most one
+row per firm and calendar year.
 """
 
 from __future__ import annotations
@@ -21,10 +20,35 @@ from panelkit.functions import cleaning as C
 EPS = 1e-6
 
 
-def last_nonnull(col: str, month: str) -> Column:
-    """A1: last non-null value in month order (ties: the larger value)."""
-    c = F.col(col)
-    return F.max_by(c, F.when(c.isNotNull(), F.struct(F.col(month), c)))
+KEYS = ("permno", "public_year")
+
+
+def _by_month(df: DataFrame, month: str, aggs: Sequence[Column], keys: Sequence[str]) -> DataFrame:
+    """One row per key and month; rows without a month come after all others."""
+    return df.groupBy(*keys, F.coalesce(F.col(month).cast("int"), F.lit(2**31 - 1)).alias("_m")).agg(*aggs)
+
+
+def yearly_last(df: DataFrame, cols: Sequence[str], month: str = "public_month",
+                keys: Sequence[str] = KEYS) -> DataFrame:
+    """A1 (O4): last non-null value in month order per firm-year, ``{c}_last`` (ties within a
+    month: the larger value). Two hash aggregates: per month, then over the months."""
+    monthly = _by_month(df, month, [F.max(c).alias(c) for c in cols], keys)
+    return monthly.groupBy(*keys).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_m"))).alias(f"{c}_last")
+                                        for c in cols])
+
+
+def yearly_label(df: DataFrame, label: str = "delist", month: str = "public_month",
+                 keys: Sequence[str] = KEYS) -> DataFrame:
+    """Label of the first month per firm-year (ties within the month: the smaller)."""
+    monthly = _by_month(df, month, [F.min(label).alias(label)], keys)
+    return monthly.groupBy(*keys).agg(F.min_by(F.col(label), F.col("_m")).alias(label))
+
+
+def next_year_label(yearly: DataFrame, label: str, out: str = "y_next_year") -> DataFrame:
+    """The label of the firm's next available year; rows without one are dropped. The
+    window runs over firm-years, at most one row per firm and calendar year."""
+    nxt = F.lead(label).over(W.partitionBy("permno").orderBy("public_year"))
+    return yearly.withColumn(out, nxt.cast("int")).filter(F.col(out).isNotNull())
 
 
 def slope_expr(col: str, month: str) -> Column:
@@ -45,10 +69,20 @@ def slope_expr(col: str, month: str) -> Column:
     return F.when(n >= 2, sxy / (sxx + F.lit(EPS)))
 
 
-def yearly_features(df: DataFrame, cutoff_month: int | None = None,
-                    features: Sequence[str] | None = None,
-                    label_col: str = "delist") -> DataFrame:
-    """``build_yearly_from_monthly``: F19, F17, F18, A1-A5, J12, A7, W4, J13."""
+def yearly_stats(df: DataFrame, mean: Sequence[str] = (), std: Sequence[str] = (), slope: Sequence[str] = (),
+                 count: bool = False, month: str = "public_month", keys: Sequence[str] = KEYS) -> DataFrame:
+    """A2-A5: means, sample deviations, trend slopes and row count per firm-year, one hash
+    aggregate."""
+    aggs = ([F.avg(c).alias(f"{c}_mean") for c in mean] + [F.stddev_samp(c).alias(f"{c}_std") for c in std]
+            + [slope_expr(c, month).alias(f"{c}_slope") for c in slope]
+            + ([F.count(F.lit(1)).alias("obs_count_in_year")] if count else []))
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def prepared(df: DataFrame, features: Sequence[str] | None = None, label_col: str = "delist",
+             cutoff_month: int | None = None) -> tuple[DataFrame, list[str]]:
+    """F20, F19, F17, F18 and the null-key filter (trap T8): the rows that the yearly
+    aggregates read, and the features they hold."""
     if "permno" not in df.columns:
         raise ValueError("Data missing company identifier column permno")
     year_col = "public_year" if "public_year" in df.columns else C.infer_column(
@@ -61,20 +95,26 @@ def yearly_features(df: DataFrame, cutoff_month: int | None = None,
     d = df.select("permno", F.col(year_col).alias("public_year"), month, label_col,
                   *[C.to_numeric_clean(c) for c in feats])
     d = C.cutoff_month(d, cutoff_month, month)
-    d = d.filter(F.col("permno").isNotNull() & F.col("public_year").isNotNull())  # trap T8
-
-    std_cols = [c for c in C.STD_FEATURES if c in feats]
-    slope_cols = [c for c in C.SLOPE_FEATURES if c in feats]
-    aggs = ([last_nonnull(c, month).alias(f"{c}_last") for c in feats]
-            + [F.avg(c).alias(f"{c}_mean") for c in feats]
-            + [F.stddev_samp(c).alias(f"{c}_std") for c in std_cols]
-            + [slope_expr(c, month).alias(f"{c}_slope") for c in slope_cols]
-            + [F.count(F.lit(1)).alias("obs_count_in_year"),
-               F.min_by(F.col(label_col), F.struct(F.col(month), F.col(label_col))).alias("_lbl")])
-    yearly = d.groupBy("permno", "public_year").agg(*aggs)
-    nxt = F.lead("_lbl").over(W.partitionBy("permno").orderBy("public_year"))
-    return (yearly.withColumn("y_next_year", nxt.cast("int"))
-            .filter(F.col("y_next_year").isNotNull()).drop("_lbl"))
+    return d.filter(F.col("permno").isNotNull() & F.col("public_year").isNotNull()), feats
+
+
+def stitch_aggregates(d: DataFrame, feats: Sequence[str]) -> DataFrame:
+    """Last, mean, std, slope and count of every firm-year side by side. Both parts are
+    aggregates by (permno, year), so joining them moves no rows again."""
+    last = yearly_last(d, feats)
+    stats = yearly_stats(d, feats, [c for c in C.STD_FEATURES if c in feats],
+                         [c for c in C.SLOPE_FEATURES if c in feats], count=True)
+    return last.join(stats, on=list(KEYS))
+
+
+def yearly_features(df: DataFrame, cutoff_month: int | None = None,
+                    features: Sequence[str] | None = None,
+                    label_col: str = "delist") -> DataFrame:
+    """``build_yearly_from_monthly``: F19, F17, F18, A1-A5, J12, A7, W4, J13."""
+    d, feats = prepared(df, features, label_col, cutoff_month)
+    labels = yearly_label(d, label_col).withColumnRenamed(label_col, "_lbl")
+    yearly = stitch_aggregates(d, feats).join(labels, on=list(KEYS))
+    return next_year_label(yearly, "_lbl").drop("_lbl")
 
 
 def first_year(df: DataFrame, by: str = "permno", year_col: str = "public_year") -> DataFrame:

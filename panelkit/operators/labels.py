@@ -11,6 +11,7 @@ from panelkit.functions import cleaning as C
 from panelkit.functions.scalar import years_between_rounded
 from panelkit.operators.ordered import ordered_scan
 from panelkit.operators.universe import first_by
+from panelkit.session import cut_lineage
 
 
 def label_join(panel: DataFrame, events: DataFrame) -> DataFrame:
@@ -84,10 +85,11 @@ def fill_by_group(df: DataFrame, by: Sequence[str], order: Sequence[str],
 def merge_clean(parts: Sequence[DataFrame], direction: str = "both") -> DataFrame:
     """``merge_final_tables``: U1, F13, F14, F11, F12, (O1 via the fill order), W9, F10, F16.
 
-    F14 runs one aggregate job to find all-NULL columns; everything else stays lazy.
+    The union is written once to the shared folder: the search for all-NULL columns (F14)
+    and the fill, which reads its input more than once, scan that table.
     """
     df = union_by_name(parts)
-    df = C.drop_all_null_rows(df)
+    df = cut_lineage(C.drop_all_null_rows(df))
     df = C.drop_all_null_cols(df)
     df = C.trim_column_names(df)
     df = C.cast_keys(df)

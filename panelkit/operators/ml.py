@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -32,7 +32,12 @@ SUPPORTED_MODELS = ("logistic_regression",)
 
 @dataclass
 class ModelConfig:
-    """M8: hyper-parameters of the baseline model (dict in / out)."""
+    """M8: hyper-parameters of the baseline model (dict in / out).
+
+    ``impute_strategy`` is median or mean; ``with_mean`` and ``with_std`` switch centring and
+    scaling. The solver is always L-BFGS and the fit draws no random numbers, so other
+    solvers are rejected and ``random_state`` changes nothing. Unknown names are rejected.
+    """
     C: float = 1.0
     penalty: str = "l2"
     solver: str = "lbfgs"
@@ -43,7 +48,13 @@ class ModelConfig:
     with_mean: bool = True
     with_std: bool = True
     tol: float = 1e-6
-    extra: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        allowed = {"penalty": ("l2",), "solver": ("lbfgs",), "impute_strategy": ("median", "mean"),
+                   "class_weight": ("balanced", None)}
+        for name, values in allowed.items():
+            if getattr(self, name) not in values:
+                raise ValueError(f"{name}={getattr(self, name)!r}: choose from {values}")
 
     def to_dict(self) -> dict:
         return asdict(self)
@@ -51,18 +62,16 @@ class ModelConfig:
     @classmethod
     def from_dict(cls, params: dict | None) -> "ModelConfig":
         params = dict(params or {})
-        known = {k: params.pop(k) for k in list(params) if k in cls.__dataclass_fields__}
-        return cls(**known, extra=params) if params else cls(**known)
+        if unknown := sorted(set(params) - set(cls.__dataclass_fields__)):
+            raise ValueError(f"unknown model parameters: {unknown}")
+        return cls(**params)
 
 
 def build_model_config(name: str = "logistic_regression", params: dict | None = None) -> ModelConfig:
     """Factory; only the logistic regression is available, as in the reference."""
     if name not in SUPPORTED_MODELS:
-        raise ValueError(f"Currently only model_name=logistic_regression is supported, got {name}")
-    cfg = ModelConfig.from_dict(params)
-    if cfg.penalty != "l2":
-        raise ValueError("Only the L2 penalty is supported")
-    return cfg
+        raise ValueError(f"model {name!r}: choose from {SUPPORTED_MODELS}")
+    return ModelConfig.from_dict(params)
 
 
 def train_medians(train: DataFrame, features: Sequence[str],
@@ -78,6 +87,12 @@ def train_medians(train: DataFrame, features: Sequence[str],
     return row.selectExpr(f"stack({len(features)}, {stack}) AS (feature, median)").filter("median IS NOT NULL")
 
 
+def train_means(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Mean of every feature with a value (one aggregate, one row back)."""
+    row = train.agg(*[F.avg(F.col(f).cast("double")).alias(f"m{i}") for i, f in enumerate(features)]).first()
+    return {f: row[f"m{i}"] for i, f in enumerate(features) if row[f"m{i}"] is not None}
+
+
 def _dict(df: DataFrame, key: str, value: str) -> dict:
     return {r[key]: r[value] for r in df.collect()}  # bounded: one row per feature
 
@@ -170,10 +185,12 @@ def fit(train: DataFrame, features: Sequence[str], label: str,
     data = train.select(*features, label)
     if checkpoint:
         data = cut_lineage(data)
-    med = _dict(train_medians(data, features), "feature", "median")
+    med = (_dict(train_medians(data, features), "feature", "median") if cfg.impute_strategy == "median"
+           else train_means(data, features))
     feats = [f for f in features if f in med]           # all-NULL in train -> dropped
     med = {f: med[f] for f in feats}
-    st = {r["feature"]: (r["mean"], r["std"]) for r in scaler_stats(data, med).collect()}
+    st = {r["feature"]: (r["mean"] if cfg.with_mean else 0.0, r["std"] if cfg.with_std else 1.0)
+          for r in scaler_stats(data, med).collect()}
     cw = class_weights(data, label, cfg.class_weight == "balanced").collect()  # one row per class
     wts = {r[label]: r["weight"] for r in cw}
     total_w = sum(r["weight"] * r["n"] for r in cw)

@@ -114,6 +114,7 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
                  lag: Mapping[str, str] | None = None,
                  lead: Mapping[str, str] | None = None,
                  cumsum: Mapping[str, str] | None = None,
+                 group_count: Mapping[str, str] | None = None,
                  rank: str | None = None, size: str | None = None,
                  buckets: int | None = None) -> DataFrame:
     """Add ordered-scan columns within each ``by`` group, in ``order`` (ascending, nulls last).
@@ -124,12 +125,14 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
     * ``next_nonnull`` -- first non-null value strictly after the row
     * ``lag`` / ``lead`` -- value of the previous / next row (null at the ends)
     * ``cumsum`` -- inclusive running sum (null values count as 0)
+    * ``group_count`` -- non-null values in the whole group
     * ``rank`` -- 0-based position of the row; ``size`` -- rows in its group
 
     Every input row comes out exactly once, with all its columns.
     """
     prev_nonnull, next_nonnull = dict(prev_nonnull or {}), dict(next_nonnull or {})
     lag, lead, cumsum = dict(lag or {}), dict(lead or {}), dict(cumsum or {})
+    group_count = dict(group_count or {})
     by, order = list(by), list(order)
     names = list(df.columns)
     keys = order + tiebreak_columns(df, set(by) | set(order))
@@ -148,6 +151,8 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
         # backward as a forward scan of the reverse order, so it stays linear
         cols += [F.last(src, True).over(down.rowsBetween(start, -1)).alias(f"__os_x{i}"),
                  F.last(src, True).over(down.rowsBetween(start, 0)).alias(f"__os_xe{i}")]
+    for i, src in enumerate(group_count.values()):
+        cols.append(F.count(src).over(W.partitionBy(*seg)).alias(f"__os_g{i}"))
     for i, src in enumerate(lag.values()):
         cols.append(F.lag(src).over(up).alias(f"__os_l{i}"))
     for i, src in enumerate(lead.values()):
@@ -172,6 +177,7 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
         picks.append((f"__os_sd{i}", first_row, src))
     for i, src in enumerate(cumsum.values()):
         picks.append((f"__os_sc{i}", last_row, f"__os_c{i}"))
+    picks += [(f"__os_sg{i}", last_row, f"__os_g{i}") for i, _ in enumerate(group_count)]
     for out, cond, c in picks:
         aggs.append(F.first(F.when(cond, F.struct(F.col(c).alias("v"))), True).alias(out))
     summary = ends.groupBy(*seg).agg(*aggs).select(
@@ -194,6 +200,8 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
         carry.append(F.lead(f"__os_sd{i}").over(wg).alias(f"__os_cd{i}"))
     for i, _ in enumerate(cumsum):
         carry.append(F.coalesce(F.sum(f"__os_sc{i}").over(before), F.lit(0)).alias(f"__os_cc{i}"))
+    for i, _ in enumerate(group_count):
+        carry.append(F.sum(f"__os_sg{i}").over(W.partitionBy(*by)).alias(f"__os_cg{i}"))
     carried = summary.select(*carry)
     if not by:
         carried = F.broadcast(carried)          # one row per bucket: 2 * MAX_BUCKETS at most
@@ -214,6 +222,8 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
         final.append(F.when(last_row, F.col(f"__os_cd{i}")).otherwise(F.col(f"__os_d{i}")).alias(out))
     for i, out in enumerate(cumsum):
         final.append((F.col(f"__os_cc{i}") + F.col(f"__os_c{i}")).alias(out))
+    for i, out in enumerate(group_count):
+        final.append(F.col(f"__os_cg{i}").alias(out))
     if rank:
         final.append((F.col("__os_off") + F.col("__os_pos") - 1).alias(rank))
     if size:

@@ -18,6 +18,8 @@ from pyspark.sql.window import Window as W
 from panelkit.functions import cleaning as C
 from panelkit.functions.scalar import month_end, quarter_index, safe_ratio_growth, tobins_q
 from panelkit.operators.ordered import ordered_scan
+from panelkit.operators.universe import year_buckets, year_range
+from panelkit.session import cut_lineage
 from panelkit.sources.fallback import fallback_by_key
 
 # Days in the post-IPO window (5 x 365) and calendar years kept.
@@ -29,26 +31,37 @@ MAX_QUARTERS = 20
 REVENUE_CANDIDATES = ["revtq", "revt_sale", "sale_equity", "sale_invcap"]
 
 
-def link_interval_join(facts: DataFrame, link: DataFrame, date_col: str = "datadate") -> DataFrame:
-    """Map company facts to firms through the link valid on the fact date."""
+def link_interval_join(facts: DataFrame, link: DataFrame, date_col: str = "datadate",
+                       years: tuple[int, int] | None = None) -> DataFrame:
+    """Map company facts to firms through the link valid on the fact date.
+
+    A link interval meets a fact by (company, calendar year), so a company with many facts
+    and many intervals forms no quadratic number of pairs. ``years`` gives the facts' first
+    and last year if known; otherwise one aggregate finds them.
+    """
     lk = link.filter(F.col("linktype").isin(*C.LINK_TYPES) & F.col("linkprim").isin(*C.LINK_PRIMS))
-    lk = lk.select(F.col("gvkey").alias("_lg"), F.col("lpermno").alias("permno"),
-                   F.col("linkdt").alias("_ld"), F.col("linkenddt").alias("_le"))
+    lk = lk.filter(F.col("linkdt").isNotNull()).select(
+        F.col("gvkey").alias("_lg"), F.col("lpermno").alias("permno"),
+        F.col("linkdt").alias("_ld"), F.col("linkenddt").alias("_le"))
     d = F.col(date_col)
-    cond = ((F.col("gvkey") == F.col("_lg")) & (d >= F.col("_ld"))
+    lk = year_buckets(lk, "_ld", "_le", *(years or year_range(facts, date_col) or (0, 0)))
+    cond = ((F.col("gvkey") == F.col("_lg")) & (F.year(d) == F.col("_yb")) & (d >= F.col("_ld"))
             & (F.col("_le").isNull() | (d <= F.col("_le"))))
-    return facts.join(lk, cond, "inner").drop("_lg", "_ld", "_le")
+    return facts.join(lk, cond, "inner").drop("_lg", "_ld", "_le", "_yb")
 
 
 def event_window_join(events: DataFrame, facts: DataFrame, date_col: str,
                       days: int = WINDOW_DAYS, key: str = "permno",
                       event_date: str = "ipo_date") -> DataFrame:
-    """Facts dated within [event, event + days] of their firm's event, all firms at once."""
-    ev = events.select(F.col(key).alias("_ek"), F.col(event_date))
+    """Facts dated within [event, event + days] of their firm's event, all firms at once.
+    An event meets a fact by (firm, calendar year), once for each year its window covers."""
+    ev = events.filter(F.col(event_date).isNotNull()).select(F.col(key).alias("_ek"), F.col(event_date))
+    ev = ev.withColumn("_last", F.date_add(F.col(event_date), days)).withColumn(
+        "_yb", F.explode(F.sequence(F.year(event_date), F.year("_last"))))
     d = F.col(date_col)
-    cond = ((F.col(key) == F.col("_ek")) & (d >= F.col(event_date))
-            & (d <= F.date_add(F.col(event_date), days)))
-    return facts.join(ev, cond, "inner").drop("_ek")
+    cond = ((F.col(key) == F.col("_ek")) & (F.year(d) == F.col("_yb")) & (d >= F.col(event_date))
+            & (d <= F.col("_last")))
+    return facts.join(ev, cond, "inner").drop("_ek", "_last", "_yb")
 
 
 def exact_date_left_join(panel: DataFrame, facts: DataFrame, value_cols: Sequence[str],
@@ -75,6 +88,11 @@ def attach_event_attrs(panel: DataFrame, events: DataFrame, key: str = "permno")
     return panel.join(events.select(key, *extra), on=key, how="left")
 
 
+def semi_membership(df: DataFrame, kept: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key is in ``kept`` (no row is repeated, whatever ``kept`` holds)."""
+    return df.join(kept, on=list(on), how="left_semi")
+
+
 def initial_run_years(df: DataFrame, by: str = "permno", date_col: str = "public_date",
                       max_years: int = MAX_YEARS) -> DataFrame:
     """Rows in the first unbroken run of calendar years of each firm, at most ``max_years``.
@@ -99,7 +117,7 @@ def _initial_run(df: DataFrame, by: str, period, limit: int) -> DataFrame:
             .withColumn("_p0", F.min("_per").over(W.partitionBy(by)))
             .filter((F.col("_per") - F.col("_p0") == F.col("_dr") - 1) & (F.col("_dr") <= limit))
             .select(by, "_per"))
-    return tagged.join(keep, on=[by, "_per"], how="left_semi").drop("_per")
+    return semi_membership(tagged, keep, [by, "_per"]).drop("_per")
 
 
 def revenue_growth(df: DataFrame, by: str = "permno", order: str = "public_date",
@@ -139,16 +157,15 @@ def growth_scan(df: DataFrame, by: str, order: str, revenue_out: str | None = No
             prev[f"_pv_{out_col}"] = src
         else:
             lag[f"_lg_{out_col}"] = src
-    s = ordered_scan(df, [by], [order], prev_nonnull=prev, lag=lag) if (prev or lag) else df
+    # with several candidates, the scan also counts each one's values in the whole firm
+    counts = {f"_has_{c}": c for c in cands} if len(cands) > 1 else {}
+    s = ordered_scan(df, [by], [order], prev_nonnull=prev, lag=lag, group_count=counts) if (prev or lag) else df
     new_cols = {}
     if revenue_out:
         choice = None
-        if len(cands) > 1:  # pick per firm: first candidate with any non-null value
-            has = df.groupBy(by).agg(*[(F.count(c) > 0).alias(f"_has_{c}") for c in cands])
-            s = s.join(has, on=by, how="left")
         for c in cands:
             g = F.when(F.col(c).isNotNull(), safe_ratio_growth(F.col(c), F.col(f"_pv_{c}")))
-            cond = F.col(f"_has_{c}") if len(cands) > 1 else F.lit(True)
+            cond = F.col(f"_has_{c}") > 0 if counts else F.lit(True)
             choice = F.when(cond, g) if choice is None else choice.when(cond, g)
         new_cols[revenue_out] = choice if choice is not None else F.lit(None).cast("double")
     for out_col, src in pct.items():
@@ -260,8 +277,8 @@ def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
     """The fetched monthly panel, planned for scale (same result as the step-by-step
     :func:`panel_stages`, which the oracle check confirms):
 
-    * one small firm-window table (link x IPO window) and ONE interval join for all
-      statement facts of all kinds and sources, then ONE per-(firm, kind) fallback;
+    * one firm-window table (link x IPO window) and ONE interval join for all statement
+      facts of all kinds and sources, written once, then ONE per-(firm, kind) fallback;
     * the first unbroken run of years (W7) right after the window join -- left joins never
       change the (firm, year) set, so the filter commutes with them;
     * facts pre-joined per key (exact-date: assets x revenue; month-end: price x
@@ -270,18 +287,29 @@ def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
     """
     events = ipo.select("permno", "ipo_date")
     lk = src.link.filter(F.col("linktype").isin(*C.LINK_TYPES) & F.col("linkprim").isin(*C.LINK_PRIMS))
-    firm_window = lk.select("gvkey", F.col("lpermno").alias("permno"), "linkdt", "linkenddt").join(
+    # firm-windows: link interval and event window cut to one interval, repeated by year
+    window = lk.select("gvkey", F.col("lpermno").alias("permno"), "linkdt", "linkenddt").join(
         events, on="permno", how="inner")
+    window = (window.withColumn("_from", F.greatest("linkdt", "ipo_date"))
+              .withColumn("_to", F.least(F.col("linkenddt"), F.date_add(F.col("ipo_date"), days)))
+              .filter(F.col("linkdt").isNotNull() & F.col("ipo_date").isNotNull() & (F.col("_from") <= F.col("_to")))
+              .withColumn("_yb", F.explode(F.sequence(F.year("_from"), F.year("_to")))))
     facts = _fact_union(src).withColumnRenamed("gvkey", "_fg")
     d = F.col("datadate")
-    cond = ((F.col("_fg") == F.col("gvkey")) & (d >= F.col("linkdt"))
-            & (F.col("linkenddt").isNull() | (d <= F.col("linkenddt")))
-            & (d >= F.col("ipo_date")) & (d <= F.date_add(F.col("ipo_date"), days)))
-    linked = facts.join(firm_window, cond, "inner").select(
-        "permno", "datadate", "_kind", "_prio", "total_assets", "revtq", "prcc_c", "pstk",
-        "total_liabilities")
+    cond = ((F.col("_fg") == F.col("gvkey")) & (F.year(d) == F.col("_yb"))
+            & (d >= F.col("_from")) & (d <= F.col("_to")))
+    values = ["total_assets", "revtq", "prcc_c", "pstk", "total_liabilities"]
+    linked = facts.join(window, cond, "inner").select("permno", "datadate", "_kind", "_prio", *values)
+    # stock file rows carry the firm itself
+    for prio, s in enumerate(src.shares):
+        rows = event_window_join(events, s.select("permno", F.col("date").alias("datadate"), "shrout"), "datadate", days)
+        linked = linked.unionByName(rows.select("permno", "datadate", F.lit("shares").alias("_kind"),
+                                                F.lit(prio).alias("_prio"), F.col("shrout").cast("double")),
+                                    allowMissingColumns=True)
+    # written once: the fallback and the five kinds below read it instead of joining again
+    linked = cut_lineage(linked, partition_by=["_kind"])
     chosen = linked.groupBy("permno", "_kind").agg(F.min("_prio").alias("_prio"))
-    facts = linked.join(chosen, on=["permno", "_kind", "_prio"], how="left_semi")
+    facts = semi_membership(linked, chosen, ["permno", "_kind", "_prio"])
 
     def kind(k, cols):
         return facts.filter(F.col("_kind") == k).select("permno", "datadate", *cols)
@@ -289,24 +317,21 @@ def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
     exact = kind("assets", ["total_assets"]).join(
         kind("revenue", ["revtq"]), on=["permno", "datadate"], how="full_outer").withColumnRenamed(
         "datadate", "public_date")
-    shares = fallback_by_key(
-        [event_window_join(events, s.select("permno", F.col("date").alias("datadate"), "shrout"),
-                           "datadate", days).drop("ipo_date") for s in src.shares], "permno")
-
     def by_month(df, cols):
         return df.select("permno", month_end("datadate").alias("_mm"), *cols)
 
     monthly = (by_month(kind("price", ["prcc_c", "pstk"]), ["prcc_c", "pstk"])
                .join(by_month(kind("liab", ["total_liabilities"]), ["total_liabilities"]),
                      on=["permno", "_mm"], how="full_outer")
-               .join(by_month(shares, ["shrout"]), on=["permno", "_mm"], how="full_outer"))
+               .join(by_month(kind("shares", ["shrout"]), ["shrout"]), on=["permno", "_mm"], how="full_outer"))
 
     base = initial_run_years(event_window_join(events, src.ratios, "public_date", days),
                              "permno", "public_date", max_years)
     panel = base.join(exact, on=["permno", "public_date"], how="left")
     panel = (panel.withColumn("_mm", month_end("public_date"))
              .join(monthly, on=["permno", "_mm"], how="left").drop("_mm"))
-    panel = add_tobins_q(panel)
+    # the scan below reads its input more than once (bounds, rows, summaries)
+    panel = cut_lineage(add_tobins_q(panel))
     panel = growth_scan(panel, "permno", "public_date", revenue_out="revenue_growth",
                         pct={"total_asset_growth": "total_assets"}, fill=fill)
     return C.conform_columns(attach_event_attrs(panel, ipo))

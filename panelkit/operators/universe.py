@@ -2,9 +2,9 @@
 
 Interval joins are equi-joins on the firm or company key with a residual range
 predicate; Spark plans them as hash or sort-merge joins (AQE broadcasts a side that is
-small at run time and splits skewed keys). "First row per firm" is an aggregation, not a
-window: ``min_by`` over a struct is partially aggregated on the map side, so a firm with
-many rows never lands whole in one task.
+small at run time and splits skewed keys); events and intervals also meet by calendar year,
+so a key with many of both forms no quadratic number of pairs. "First row per firm" is a
+hash aggregate of the order column, then a rank among the rows that reach the extreme.
 """
 
 from __future__ import annotations
@@ -13,30 +13,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from panelkit.functions import cleaning as C
 from panelkit.functions.scalar import add_years, coalesce_pref
 from panelkit.operators.ordered import _ORDERABLE
 
 
+_PRIMITIVE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              descending: bool = False) -> DataFrame:
     """One row per key: the first in ``order`` (ascending, nulls last) or the last
     (``descending``: descending, nulls last). Remaining columns break ties, in column
     order and in the same direction, so the pick is deterministic.
+
+    The extreme of the first order column is a hash aggregate (fixed-width values are
+    combined on the map side without sorting); it selects the few rows per key that can
+    win, and only among those ties are ranked.
     """
-    keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
+    keys, order = list(keys), list(order)
     tiebreak = [f.name for f in df.schema.fields
                 if f.name not in keys and f.name not in order and isinstance(f.dataType, _ORDERABLE)]
-    parts = []
-    for c in list(order) + tiebreak:
-        flag = F.col(c).isNotNull() if descending else F.col(c).isNull()
-        parts += [flag, F.col(c)]
-    ordering = F.struct(*parts)
-    pick = F.max_by if descending else F.min_by
-    best = df.groupBy(*keys).agg(pick(F.struct(*payload), ordering).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns)
+    rows = df
+    if isinstance(df.schema[order[0]].dataType, _PRIMITIVE):
+        extreme = (F.max if descending else F.min)(order[0])
+        best = df.groupBy(*keys).agg(extreme.alias("_best"))
+        best = best.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+        cond = df[order[0]].eqNullSafe(best["_best"])
+        for i, k in enumerate(keys):
+            cond = cond & df[k].eqNullSafe(best[f"_k{i}"])
+        rows = df.join(best, cond, "left_semi")
+    by = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order + tiebreak]
+    # row_number() = 1 keeps one row per key already before the shuffle (window group limit)
+    return (rows.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*by)))
+            .filter("_rn = 1").drop("_rn").select(*df.columns))
 
 
 def link_join(company: DataFrame, link: DataFrame, how: str = "left") -> DataFrame:
@@ -53,50 +66,54 @@ def valid_on(names: DataFrame, date_col, open_start: bool = False):
     return start_ok & (F.col("nameenddt").isNull() | (F.col("nameenddt") >= date_col))
 
 
-def _year_buckets(events: DataFrame, names: DataFrame, date_col: str) -> DataFrame | None:
-    """Names rows repeated once per calendar year they cover, open ends bounded by the
-    events' year range (two bounded scalars from one aggregate); None without events."""
-    b = events.agg(F.min(F.year(date_col)).alias("lo"), F.max(F.year(date_col)).alias("hi")).first()
-    if b["lo"] is None:
-        return None
-    lo, hi = F.lit(int(b["lo"])), F.lit(int(b["hi"]))
-    start = F.greatest(F.coalesce(F.year("namedt"), lo), lo)
-    end = F.least(F.coalesce(F.year("nameenddt"), hi), hi)
-    return (names.withColumn("_s", start).withColumn("_e", end)
-            .filter(F.col("_s") <= F.col("_e"))
-            .withColumn("_yb", F.explode(F.sequence("_s", "_e"))).drop("_s", "_e"))
+def year_buckets(df: DataFrame, start: str, end: str, lo: int, hi: int, out: str = "_yb") -> DataFrame:
+    """Rows repeated once per calendar year that [start, end] covers between the years ``lo``
+    and ``hi`` (null ends are open). Dates outside those years have no bucket."""
+    first = F.greatest(F.coalesce(F.year(start), F.lit(lo)), F.lit(lo))
+    last = F.least(F.coalesce(F.year(end), F.lit(hi)), F.lit(hi))
+    return df.withColumn("_s", first).withColumn("_e", last).filter("_s <= _e").withColumn(
+        out, F.explode(F.sequence("_s", "_e"))).drop("_s", "_e")
+
 
+def year_range(df: DataFrame, date_col: str) -> tuple[int, int] | None:
+    """First and last calendar year of a date column (one aggregate of one column)."""
+    r = df.agg(F.min(F.year(date_col)).alias("lo"), F.max(F.year(date_col)).alias("hi")).first()
+    return None if r["lo"] is None else (int(r["lo"]), int(r["hi"]))
 
-def _validity_join(events, names, date_col, key, names_key, how, open_start, bucketed):
+
+def _validity_join(events, names, date_col, key, names_key, how, open_start, bucketed, years=None):
     n = names
-    if bucketed:
-        n = _year_buckets(events, names, date_col)
-        if n is None:
-            bucketed, n = False, names
+    years = (years or year_range(events, date_col)) if bucketed else None
+    if years:
+        n = year_buckets(names, "namedt", "nameenddt", *years)
     n = n.withColumnRenamed(names_key, "_nk")
     cond = (F.col(key) == F.col("_nk")) & valid_on(n, F.col(date_col), open_start=open_start)
-    if bucketed:
+    if years:
         cond = cond & (F.year(F.col(date_col)) == F.col("_yb"))
-    out = events.join(n, cond, how).drop("_nk")
-    return out.drop("_yb") if bucketed else out
+    return events.join(n, cond, how).drop("_nk", "_yb")
 
 
 def validity_join_left(events: DataFrame, names: DataFrame, date_col: str,
                        key: str = "permno", names_key: str = "permno",
-                       bucketed: bool = False) -> DataFrame:
+                       bucketed: bool = True, years: tuple[int, int] | None = None) -> DataFrame:
     """Attach the names row valid on the event date (LEFT; namedt must be known).
 
-    ``bucketed=True`` adds the event's calendar year to the equi-join key (each interval
-    is repeated for the years it covers), so pairs are formed only within (key, year):
-    for keys with many events *and* many intervals. The result is the same.
+    ``bucketed`` adds the event's calendar year to the equi-join key (each interval is
+    repeated for the years it covers), so pairs are formed only within (key, year), also
+    for keys with many events *and* many intervals. ``years`` gives the events' first and
+    last year if they are known; otherwise one aggregate finds them. Same result without.
     """
-    return _validity_join(events, names, date_col, key, names_key, "left", False, bucketed)
+    return _validity_join(events, names, date_col, key, names_key, "left", False, bucketed, years)
 
 
-def validity_join_inner(events: DataFrame, names: DataFrame, date_col: str,
-                        key: str = "permno", bucketed: bool = False) -> DataFrame:
+def validity_join_inner(events: DataFrame, names: DataFrame, date_col: str, key: str = "permno",
+                        bucketed: bool = True, years: tuple[int, int] | None = None) -> DataFrame:
     """Event x names row, null-open at both ends (INNER); ``bucketed`` as in J2."""
-    return _validity_join(events, names, date_col, key, key, "inner", True, bucketed)
+    return _validity_join(events, names, date_col, key, key, "inner", True, bucketed, years)
+
+
+def _years_of(start: str, end: str) -> tuple[int, int]:
+    return int(str(start)[:4]), int(str(end)[:4])
 
 
 def ipo_from_names(names: DataFrame, exchange: str | None, start: str, end: str) -> DataFrame:
@@ -116,9 +133,8 @@ def ipo_from_company(company: DataFrame, link: DataFrame, names: DataFrame,
     linked = link_join(c, link, "left")
     n = names.select(F.col("permno").alias("_np"), "namedt", "nameenddt",
                      F.col("ticker").alias("_ticker"), "exchcd", "shrcd", F.col("permno"))
-    cond = (F.col("lpermno") == F.col("_np")) & valid_on(n, F.col("ipodate"))
-    j = linked.join(n, cond, "left")
     # The WHERE on the names side turns the LEFT joins into inner ones (trap T5).
+    j = _validity_join(linked, n, "ipodate", "lpermno", "_np", "inner", False, True, _years_of(start, end))
     j = C.exchange_filter(C.share_class_filter(j), exchange)
     rows = j.select("gvkey", F.col("conm").alias("comnam"), F.col("_ticker").alias("ticker"),
                     F.col("ipodate").alias("ipo_date"), "exchcd", "shrcd", "permno")
@@ -130,7 +146,7 @@ def delist_latest(delist_events: DataFrame, names: DataFrame, exchange: str | No
     """Delistings in the date range (filtered first), names valid on the date,
     ordinary shares on the chosen exchanges, latest delisting per firm."""
     d = C.date_range_filter(delist_events.select("permno", "dlstdt", "dlstcd"), "dlstdt", start, end)
-    j = validity_join_inner(d, names, "dlstdt")
+    j = validity_join_inner(d, names, "dlstdt", years=_years_of(start, end))
     j = C.exchange_filter(C.share_class_filter(j), exchange)
     rows = j.select("permno", "comnam", "ticker", F.col("dlstdt").alias("delist_date"),
                     "exchcd", "shrcd", "dlstcd")

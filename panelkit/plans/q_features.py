@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import cleaning as C
 from panelkit.operators import features as FE
+from panelkit.operators.panel import semi_membership
 from panelkit.plans.q_labels import PANEL_COLS, lab_sql, labelled
 from panelkit.plans.registry import register
 
@@ -74,37 +75,23 @@ def q_attach_next_label(spark, d):
 
 @register("stitch_aggregates", lab_sql("SELECT * EXCLUDE (lbl) FROM ystitched", _YEARLY))
 def q_stitch_aggregates(spark, d):
-    """last/mean/std/slope/count side by side for every firm-year (one groupBy)."""
-    lab = labelled(spark, d)
-    m = "public_month"
-    aggs = ([FE.last_nonnull(c, m).alias(f"{c}_last") for c in FEATS]
-            + [F.avg(c).alias(f"{c}_mean") for c in FEATS]
-            + [F.stddev_samp(c).alias(f"{c}_std") for c in STD]
-            + [FE.slope_expr(c, m).alias(f"{c}_slope") for c in SLOPE]
-            + [F.count(F.lit(1)).alias("obs_count_in_year")])
-    return lab.groupBy("permno", "public_year").agg(*aggs)
+    """last/mean/std/slope/count side by side for every firm-year."""
+    return FE.stitch_aggregates(*FE.prepared(labelled(spark, d)))
 
 
-def _agg_query(key, sql_cols, spark_aggs):
+def _agg_query(key, sql_cols, build):
     @register(key, lab_sql(f"SELECT permno, public_year, {sql_cols} FROM ystitched", _YEARLY))
     def q(spark, d):
-        lab = labelled(spark, d)
-        return lab.groupBy("permno", "public_year").agg(*spark_aggs())
+        return build(FE.prepared(labelled(spark, d))[0])
     q.__name__ = f"q_{key}"
 
 
-_agg_query("yearly_last", ", ".join(f"{c}_last" for c in FEATS),
-           lambda: [FE.last_nonnull(c, "public_month").alias(f"{c}_last") for c in FEATS])
-_agg_query("yearly_mean", ", ".join(f"{c}_mean" for c in FEATS),
-           lambda: [F.avg(c).alias(f"{c}_mean") for c in FEATS])
-_agg_query("yearly_std", ", ".join(f"{c}_std" for c in STD),
-           lambda: [F.stddev_samp(c).alias(f"{c}_std") for c in STD])
-_agg_query("yearly_slope", ", ".join(f"{c}_slope" for c in SLOPE),
-           lambda: [FE.slope_expr(c, "public_month").alias(f"{c}_slope") for c in SLOPE])
-_agg_query("yearly_obs_count", "obs_count_in_year",
-           lambda: [F.count(F.lit(1)).alias("obs_count_in_year")])
-_agg_query("yearly_label", "CAST(lbl AS INTEGER) AS delist",
-           lambda: [F.min_by(F.col("delist"), F.struct("public_month", "delist")).alias("delist")])
+_agg_query("yearly_last", ", ".join(f"{c}_last" for c in FEATS), lambda d: FE.yearly_last(d, FEATS))
+_agg_query("yearly_mean", ", ".join(f"{c}_mean" for c in FEATS), lambda d: FE.yearly_stats(d, mean=FEATS))
+_agg_query("yearly_std", ", ".join(f"{c}_std" for c in STD), lambda d: FE.yearly_stats(d, std=STD))
+_agg_query("yearly_slope", ", ".join(f"{c}_slope" for c in SLOPE), lambda d: FE.yearly_stats(d, slope=SLOPE))
+_agg_query("yearly_obs_count", "obs_count_in_year", lambda d: FE.yearly_stats(d, count=True))
+_agg_query("yearly_label", "CAST(lbl AS INTEGER) AS delist", FE.yearly_label)
 
 
 @register("next_year_label", lab_sql(
@@ -113,12 +100,7 @@ _agg_query("yearly_label", "CAST(lbl AS INTEGER) AS delist",
     AS y_next_year FROM ygroup) t WHERE y_next_year IS NOT NULL""", _YEARLY))
 def q_next_year_label(spark, d):
     """The label of the firm's next available year (not next calendar year)."""
-    from pyspark.sql.window import Window as W
-    lab = labelled(spark, d)
-    yl = lab.groupBy("permno", "public_year").agg(
-        F.min_by(F.col("delist"), F.struct("public_month", "delist")).alias("delist"))
-    nxt = F.lead("delist").over(W.partitionBy("permno").orderBy("public_year"))
-    return yl.withColumn("y_next_year", nxt.cast("int")).filter(F.col("y_next_year").isNotNull())
+    return FE.next_year_label(FE.yearly_label(FE.prepared(labelled(spark, d))[0]), "delist")
 
 
 @register("first_year", lab_sql(
@@ -180,8 +162,8 @@ def q_stable_sort(spark, d):
     """O4: 'last' with ties in the month order (months folded to quarter ends) is made
     deterministic by an explicit tie-break (the larger value), not by input order."""
     lab = labelled(spark, d).withColumn(
-        "q", (F.ceil(F.col("public_month") / 3.0) * 3).cast("int"))
-    return lab.groupBy("permno", "public_year").agg(FE.last_nonnull("roa", "q").alias("roa_last"))
+        "public_month", (F.ceil(F.col("public_month") / 3.0) * 3).cast("int"))
+    return FE.yearly_last(FE.prepared(lab, ["roa"])[0], ["roa"])
 
 
 @register("semi_membership", lab_sql(
@@ -190,4 +172,4 @@ def q_stable_sort(spark, d):
 def q_semi_membership(spark, d):
     """Keep panel rows whose (firm, year) is in a kept set (here: the labelled firm-years)."""
     kept = yearly(spark, d).select("permno", "public_year")
-    return labelled(spark, d).join(kept, on=["permno", "public_year"], how="left_semi")
+    return semi_membership(labelled(spark, d), kept, ["permno", "public_year"])

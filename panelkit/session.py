@@ -58,20 +58,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df):
+#: Tables written by :func:`cut_lineage` in this process, for :func:`drop_intermediates`.
+_WRITTEN: list[str] = []
+
+
+def cut_lineage(df, partition_by=()):
     """Cut the lineage by writing a table into the shared checkpoint folder.
 
     One job writes parquet (an eager ``checkpoint()`` of an unpersisted plan runs it twice:
     once to count, once to save); reading it back gives a columnar scan with pruning and
-    statistics. Types parquet cannot hold fall back to a reliable ``checkpoint()``.
-    Never a local checkpoint: the files survive the loss of any executor.
+    statistics. Types parquet cannot hold fall back to a reliable ``checkpoint()``; any
+    other failure is raised. Never a local checkpoint: the files survive the loss of any
+    executor. :func:`drop_intermediates` removes them once their readers are done.
     """
     import uuid
+
+    from pyspark.errors import AnalysisException
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     try:
-        df.write.mode("overwrite").parquet(path)
-    except Exception:  # noqa: BLE001 - e.g. a type parquet cannot store
+        df.write.partitionBy(*partition_by).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() != "UNSUPPORTED_DATA_TYPE_FOR_DATASOURCE":
+            raise
         return df.checkpoint(eager=True)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete the tables :func:`cut_lineage` wrote in this process; frames over them must no
+    longer be used. Returns how many were removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -4,29 +4,16 @@ from __future__ import annotations
 
 import itertools
 import os
-import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
-_READERS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc"}
-
-
-def _local_path(path: str) -> str | None:
-    """Filesystem path for local paths and ``file:`` URIs; None for other schemes."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):   # hdfs:, s3a:, abfss:, ...
-        return None
-    return path
+from panelkit.sources.schemas import COLUMN_TYPES
 
-
-def _is_local_missing(path: str) -> bool:
-    local = _local_path(path)
-    return local is not None and not os.path.exists(local)
+_READERS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc"}
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -40,38 +27,51 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _sibling_csv(path: str) -> str:
+    return os.path.splitext(path.rstrip("/"))[0] + ".csv"
+
+
+def _no_such_path(err: Exception) -> bool:
+    return isinstance(err, AnalysisException) and err.getCondition() == "PATH_NOT_FOUND"
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+    """CSV with a header. Without a schema the columns get the types declared for their
+    names in :mod:`panelkit.sources.schemas`, others stay text: no pass over the data."""
+    reader = spark.read.option("header", "true")
+    if schema is not None:
+        return reader.schema(schema).csv(path)
+    df = reader.csv(path)
+    return df.select(*[F.col(f"`{c}`").try_cast(COLUMN_TYPES[c.strip().lower()]).alias(c)
+                       if c.strip().lower() in COLUMN_TYPES else F.col(f"`{c}`") for c in df.columns])
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str | None = None) -> DataFrame:
     """Read a table; the extension picks the reader.
 
-    A missing ``.parquet`` path falls back to a same-named ``.csv`` file (the reference
-    does the same for its spreadsheet format); a missing file is an error.
+    A file that is missing or cannot be read falls back to a same-named ``.csv`` file (the
+    reference does the same for its spreadsheet format). Only Spark is asked whether a path
+    exists, so it may lie in any file system.
     """
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     kind = fmt or _READERS.get(ext, "parquet")
-    if kind != "csv" and _is_local_missing(path):
-        alt = os.path.splitext(path.rstrip("/"))[0] + ".csv"
-        if not _is_local_missing(alt):
-            return read_table(spark, alt, schema, "csv")
-        raise FileNotFoundError(f"File does not exist: {path}")
-    if kind == "csv" and _is_local_missing(path):
-        raise FileNotFoundError(f"File does not exist: {path}")
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    if kind == "csv":
-        reader = reader.option("header", "true")
-        if schema is None:
-            reader = reader.option("inferSchema", "true")
-        return reader.format(kind).load(path)
     try:
+        if kind == "csv":
+            return _read_csv(spark, path, schema)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.format(kind).load(path)
-    except Exception:  # noqa: BLE001 - any read failure (footer, schema, permissions)
-        # unreadable primary file: fall back to a same-named CSV when there is one
-        alt = os.path.splitext(path.rstrip("/"))[0] + ".csv"
-        if _is_local_missing(alt) or alt == path:
-            raise
-        return read_table(spark, alt, schema, "csv")
+    except Exception as err:  # noqa: BLE001 - any read failure (footer, schema, permissions)
+        alt = _sibling_csv(path)
+        if alt != path:
+            try:
+                return _read_csv(spark, alt, schema)
+            except AnalysisException as second:
+                if not _no_such_path(second):
+                    raise
+        if _no_such_path(err):
+            raise FileNotFoundError(f"no table at {path}") from err
+        raise
 
 
 def require_columns(df: DataFrame, required: Sequence[str], what: str = "table") -> DataFrame:
@@ -112,7 +112,7 @@ def first_nonempty_source(spark: SparkSession, sources: Sequence[tuple[str, Sour
                 df = build(df)
             if not df.isEmpty():
                 return df, name
-        except (AnalysisException, FileNotFoundError, OSError) as err:
+        except Exception as err:  # noqa: BLE001 - a source that fails in any way is passed over
             last_error = err
     if last_error is not None:
         raise last_error
@@ -130,7 +130,7 @@ def first_nonempty_pair(spark: SparkSession, left: Sequence[tuple[str, Source]],
             df = build(_resolve(spark, ls), _resolve(spark, rs))
             if not df.isEmpty():
                 return df, (ln, rn)
-        except (AnalysisException, FileNotFoundError, OSError) as err:
+        except Exception as err:  # noqa: BLE001 - a source that fails in any way is passed over
             last_error = err
     if last_error is not None:
         raise last_error
