@@ -12,11 +12,12 @@ Spark's  (1/sum w) sum_i w_i loss_i + regParam/2 |b|^2  with regParam = 1 / (C *
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -35,15 +36,19 @@ class ModelConfig:
     """M8: hyper-parameters of the baseline model (dict in / out).
 
     ``impute_strategy`` is median or mean; ``with_mean`` and ``with_std`` switch centring and
-    scaling. The solver is always L-BFGS and the fit draws no random numbers, so other
-    solvers are rejected and ``random_state`` changes nothing. Unknown names are rejected.
+    scaling; ``class_weight`` is balanced, None or a weight per class. The solver is always
+    L-BFGS and the fit draws no random numbers and shows no progress, so other solvers are
+    rejected and ``random_state``, ``verbose`` and ``warm_start`` change nothing. Unknown
+    names are rejected.
     """
     C: float = 1.0
     penalty: str = "l2"
     solver: str = "lbfgs"
     max_iter: int = 1000
-    class_weight: str | None = "balanced"
+    class_weight: str | dict | None = "balanced"
     random_state: int = 42
+    verbose: int = 0
+    warm_start: bool = True
     impute_strategy: str = "median"
     with_mean: bool = True
     with_std: bool = True
@@ -52,6 +57,9 @@ class ModelConfig:
     def __post_init__(self):
         allowed = {"penalty": ("l2",), "solver": ("lbfgs",), "impute_strategy": ("median", "mean"),
                    "class_weight": ("balanced", None)}
+        if isinstance(self.class_weight, dict):
+            del allowed["class_weight"]
+            self.class_weight = {int(k): float(v) for k, v in self.class_weight.items()}
         for name, values in allowed.items():
             if getattr(self, name) not in values:
                 raise ValueError(f"{name}={getattr(self, name)!r}: choose from {values}")
@@ -142,6 +150,24 @@ class FittedModel:
     medians: dict
     stats: dict
 
+    @classmethod
+    def from_coefficients(cls, spark: SparkSession, coefficients: dict[str, float], intercept: float,
+                          medians: dict[str, float], stats: dict[str, tuple[float, float]],
+                          config: ModelConfig | None = None) -> "FittedModel":
+        """A model with known coefficients (of the scaled features), e.g. fitted elsewhere."""
+        features = list(coefficients)
+        scala = spark._jvm.org.apache.spark.ml
+        values = spark.sparkContext._gateway.new_array(spark._jvm.double, len(features))
+        for i, f in enumerate(features):
+            values[i] = float(coefficients[f])
+        lr = LogisticRegressionModel(scala.classification.LogisticRegressionModel(
+            f"lr_{uuid.uuid4().hex}", scala.linalg.Vectors.dense(values), float(intercept)))
+        lr.setFeaturesCol("features")
+        med, st = {f: medians[f] for f in features}, {f: tuple(stats[f]) for f in features}
+        return cls(config or ModelConfig(), features, PipelineModel(
+            [SQLTransformer(statement=preprocess_sql(med, st)),
+             VectorAssembler(inputCols=[f"{f}__z" for f in features], outputCol="features"), lr]), med, st)
+
     @property
     def lr(self):
         return self.pipeline.stages[-1]
@@ -175,6 +201,29 @@ class FittedModel:
                    {k: tuple(v) for k, v in meta["stats"].items()})
 
 
+def regularization(train: DataFrame, label: str, cfg: ModelConfig) -> tuple[dict, float]:
+    """Weight per class, and Spark's regParam for the objective (one row per class back)."""
+    counts = class_weights(train, label, cfg.class_weight == "balanced").collect()
+    given = cfg.class_weight if isinstance(cfg.class_weight, dict) else {}
+    weights = {r[label]: float(given.get(r[label], r["weight"])) for r in counts}
+    return weights, 1.0 / (cfg.C * sum(weights[r[label]] * r["n"] for r in counts))
+
+
+def gradient(model: "FittedModel", train: DataFrame, label: str) -> dict[str, float]:
+    """Slope of the regularized weighted loss, per unit of weight, at the fitted coefficients:
+    per feature and for the intercept. All are near 0 at the optimum (one aggregate)."""
+    weights, reg = regularization(train, label, model.config)
+    scored = model.pipeline.transform(train).withColumn("_p", vector_to_array("probability")[1])
+    w = F.lit(1.0)
+    for k, v in weights.items():
+        w = F.when(F.col(label) == F.lit(k), F.lit(v)).otherwise(w)
+    residual = w * (F.col("_p") - F.col(label).cast("double"))
+    row = scored.agg(F.sum(w).alias("w"), F.sum(residual).alias("b"),
+                     *[F.sum(residual * F.col(f"{f}__z")).alias(f"g{i}") for i, f in enumerate(model.features)]).first()
+    out = {f: row[f"g{i}"] / row["w"] + reg * c for i, (f, c) in enumerate(model.weights())}
+    return out | {"intercept": row["b"] / row["w"]}
+
+
 def fit(train: DataFrame, features: Sequence[str], label: str,
         cfg: ModelConfig | None = None, checkpoint: bool = True) -> FittedModel:
     """M1-M4 on the training rows. Unless the rows already come from a written table
@@ -191,9 +240,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str,
     med = {f: med[f] for f in feats}
     st = {r["feature"]: (r["mean"] if cfg.with_mean else 0.0, r["std"] if cfg.with_std else 1.0)
           for r in scaler_stats(data, med).collect()}
-    cw = class_weights(data, label, cfg.class_weight == "balanced").collect()  # one row per class
-    wts = {r[label]: r["weight"] for r in cw}
-    total_w = sum(r["weight"] * r["n"] for r in cw)
+    wts, reg_param = regularization(data, label, cfg)
     w_expr = F.lit(1.0)
     for k, w in wts.items():
         w_expr = F.when(F.col(label) == F.lit(k), F.lit(float(w))).otherwise(w_expr)
@@ -201,7 +248,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str,
     stages = [SQLTransformer(statement=preprocess_sql(med, st)),
               VectorAssembler(inputCols=[f"{f}__z" for f in feats], outputCol="features"),
               LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_weight",
-                                 regParam=1.0 / (cfg.C * total_w), elasticNetParam=0.0,
+                                 regParam=reg_param, elasticNetParam=0.0,
                                  standardization=False, maxIter=cfg.max_iter, tol=cfg.tol,
                                  fitIntercept=True, family="binomial")]
     model = Pipeline(stages=stages).fit(data)

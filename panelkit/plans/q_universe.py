@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelkit.functions import cleaning as C
 from panelkit.operators import universe as U
 from panelkit.plans.registry import END, EXCHANGE, START, W_, fx, register
+from panelkit.session import cut_lineage
 from panelkit.sources import io
 
 _RANGE = f"BETWEEN DATE '{START}' AND DATE '{END}'"
@@ -195,10 +196,16 @@ def q_delist_within_years(spark, d):
     return U.delist_within_years(fx.ipo(spark, d), fx.delist(spark, d), 5)
 
 
-@register("order_by", W_(_J10_SQL + " ORDER BY i.ipo_date, d.delist_date, i.permno", "ipo", "delist"))
+@register("order_by", W_(
+    f"SELECT *, ROW_NUMBER() OVER (ORDER BY ipo_date, delist_date, permno) - 1 AS position FROM ({_J10_SQL}) t",
+    "ipo", "delist"))
 def q_order_by(spark, d):
-    """O1: final output ordering (ipo date, delist date, permno)."""
-    return U.delist_within_years(fx.ipo(spark, d), fx.delist(spark, d), 5)
+    """O1: final output ordering (ipo date, delist date, permno), with each row's place in the
+    sorted output: its partition and its place there, ranked."""
+    from panelkit.operators.ordered import global_rank
+    out = U.delist_within_years(fx.ipo(spark, d), fx.delist(spark, d), 5)
+    placed = cut_lineage(out.withColumn("_place", F.monotonically_increasing_id()))
+    return global_rank(placed, ["_place"], rank="position").drop("_place")
 
 
 @register("write_table", W_("SELECT * FROM ipo", "ipo"))

@@ -48,7 +48,33 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert re.search(r"ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>", plan)
 
 
-MODEL_KEYS = {"model_run", "model_save_load", "logistic_fit", "predict", "top_k_weights"}
+MODEL_KEYS = {"model_run", "model_fit_run", "model_save_load", "logistic_fit", "predict", "top_k_weights",
+              "model_config"}
+
+
+@pytest.mark.parametrize("key", ["yearly_features", "latest_per_firm", "ipo_from_company"])
+def test_first_and_last_are_hash_aggregates(spark, key):
+    plan = _plan(QUERIES[key](spark, SF_SMALL))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_panel_fetch_scans_each_source_once_or_twice(spark):
+    """The facts are linked once and written; later steps read that table."""
+    from panelkit.operators import panel as P
+    from panelkit.plans.q_panel import sources
+    from panelkit.sources import fixtures as fx
+    src, ipo = sources(spark, SF_SMALL), fx.ipo(spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("panel-plan", "panel-plan")
+    panel = P.build_panel(ipo, src)
+    plan = _plan(panel)
+    panel.write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobGroup("after", "after")
+    link_file = src.link.inputFiles()[0].rsplit("/", 2)[1]
+    assert link_file not in plan
+    assert plan.count("FileScan") + plan.count("BatchScan") <= 6
+    # AQE runs each exchange as a job of its own; no exchange is added unnoticed
+    assert len(tracker.getJobIdsForGroup("panel-plan")) <= 45
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - MODEL_KEYS))

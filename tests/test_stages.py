@@ -60,11 +60,15 @@ def test_cli_runs_the_stages_over_files(spark, tmpdir_session):
                      "ccmfunda": fx.ccmfunda(spark, d)}.items():
         paths[name] = write_table(df, os.path.join(base, f"{name}.parquet"))
     rng = ["--start", "1995-01-01", "--end", "2001-12-31", "--exchange", ""]
-    ipo = cli.run(["ipos", "--names", paths["names"], "--company", paths["company"],
+    corrupt = os.path.join(base, "corrupt.parquet")
+    with open(corrupt, "w") as f:
+        f.write("not a table")
+    missing = os.path.join(base, "missing.parquet")
+    ipo = cli.run(["ipos", "--names", corrupt, missing, paths["names"], "--company", paths["company"],
                    "--link", paths["link"], *rng, "--out", os.path.join(base, "ipo.parquet")], spark)
-    dl = cli.run(["delists", "--events", paths["events"], "--names", paths["names"], *rng,
+    dl = cli.run(["delists", "--events", missing, paths["events"], "--names", corrupt, paths["names"], *rng,
                   "--out", os.path.join(base, "delist.parquet")], spark)
-    panel = cli.run(["panel", "--ipo", ipo, "--ratios", paths["ratios"], "--link", paths["link"],
+    panel = cli.run(["panel", "--ipo", ipo, "--ratios", corrupt, paths["ratios"], "--link", paths["link"],
                      "--funda", paths["funda"], "--fundq", paths["fundq"], "--msf", paths["msf"],
                      "--ccmfunda", paths["ccmfunda"], "--out", os.path.join(base, "panel.parquet")], spark)
     matched = cli.run(["match", "--ipo", ipo, "--delist", dl,
@@ -85,9 +89,30 @@ def test_cli_train(spark, tmpdir_session):
     base = os.path.join(tmpdir_session, "cli_train")
     data = write_table(labelled(spark, SF_SMALL), os.path.join(base, "merged.parquet"))
     out = cli.run(["train", "--data", data, "--C", "0.5", "--max-iter", "200",
-                   "--save-model", os.path.join(base, "model"),
+                   "--save-model", os.path.join(base, "model"), "--train-ratio", "0.6", "--val-ratio", "0.2",
+                   "--test-ratio", "0.2",
                    "--out", os.path.join(base, "metrics.parquet")], spark)
     m = read_table(spark, out)
     assert set(m.columns) >= {"split", "accuracy", "precision", "recall", "f1", "roc_auc"}
     assert m.count() == 2
     assert os.path.isdir(os.path.join(base, "model", "pipeline"))
+    weights = read_table(spark, os.path.join(base, "metrics_weights.parquet"))
+    classes = read_table(spark, os.path.join(base, "metrics_classes.parquet"))
+    assert weights.filter("feature = 'intercept'").count() == 1 and weights.count() > 5
+    assert {r.split for r in classes.collect()} == {"train", "val", "test"}
+
+
+def test_training_on_rows_as_they_are(spark):
+    """Without next-year labels: inferred label and time columns, other group column."""
+    rows = [(i % 30, 1990 + i % 12, int((i * 7) % 5 == 0), float(i % 13), float((i * i) % 17)) for i in range(600)]
+    df = spark.createDataFrame(rows, "firm long, fyear int, is_delist int, roa double, roe double")
+    res = stages.train_and_evaluate(df, predict_next_year=False, label=None, time=None, group="firm")
+    report = res.report()
+    assert set(report["features"]) == {"roa", "roe"} and len(report["weights"]) == 2
+    assert sum(report["classes"].values()) == 600
+
+
+def test_panel_needs_its_columns(spark):
+    import pytest
+    with pytest.raises(ValueError, match="ipo_date"):
+        stages.fetch_panel(spark.createDataFrame([(1,)], "permno long"), None)

@@ -160,3 +160,84 @@ def test_read_table_falls_back_when_primary_is_unreadable(spark, tmpdir_session)
         "header", "true").csv(base + ".csv")
     df = io.read_table(spark, base + ".parquet")
     assert df.columns == ["k", "v"] and df.count() == 1
+
+
+def test_read_table_asks_spark_alone(spark, tmpdir_session, monkeypatch):
+    """The driver's disk does not decide whether a path exists (it may be a remote store)."""
+    path = os.path.join(tmpdir_session, "remote.parquet")
+    spark.range(3).write.mode("overwrite").parquet(path)
+    monkeypatch.setattr(os.path, "exists", lambda p: False)
+    assert io.read_table(spark, path).count() == 3
+
+
+def test_csv_types_are_declared(spark, tmpdir_session):
+    path = os.path.join(tmpdir_session, "typed.csv")
+    spark.createDataFrame([("7", "007", "1.5", "2001-02-03")], "permno string, gvkey string, roa string, datadate string") \
+        .write.mode("overwrite").option("header", "true").csv(path)
+    df = io.read_table(spark, path)
+    assert dict(df.dtypes) == {"permno": "bigint", "gvkey": "string", "roa": "double", "datadate": "date"}
+    assert df.first().gvkey == "007"
+
+
+def test_sources_that_fail_in_any_way_are_passed_over(spark, tmpdir_session):
+    corrupt = os.path.join(tmpdir_session, "corrupt.parquet")
+    with open(corrupt, "w") as f:
+        f.write("not a table")
+    good = spark.range(2)
+
+    def broken():
+        raise KeyError("no such library")
+    df, name = io.first_nonempty_source(spark, [("a", broken), ("b", corrupt), ("c", good.limit(0)), ("d", good)])
+    assert name == "d" and df.count() == 2
+    with pytest.raises(RuntimeError):
+        io.first_nonempty_source(spark, [("c", good.limit(0))])
+
+
+def test_model_config_rejects_what_it_does_not_do():
+    from panelkit.operators import ml as ML
+    for bad in ({"solver": "saga"}, {"penalty": "l1"}, {"impute_strategy": "constant"}, {"no_such": 1}):
+        with pytest.raises(ValueError):
+            ML.build_model_config(params=bad)
+    cfg = ML.build_model_config(params={"class_weight": {"0": 1, "1": 3}, "with_std": False})
+    assert ML.ModelConfig.from_dict(cfg.to_dict()) == cfg and cfg.class_weight == {0: 1.0, 1: 3.0}
+
+
+def test_intermediates_can_be_dropped(spark):
+    from panelkit import session
+    df = session.cut_lineage(spark.range(5))
+    path = session._WRITTEN[-1]
+    assert df.count() == 5 and os.path.isdir(path.removeprefix("file:"))
+    assert session.drop_intermediates(spark) >= 1
+    assert not os.path.isdir(path.removeprefix("file:"))
+
+
+def test_cut_lineage_raises_real_failures(spark):
+    from panelkit import session
+    bad = spark.range(3).selectExpr("assert_true(id < 2) AS a")
+    with pytest.raises(Exception, match="is not true"):
+        session.cut_lineage(bad)
+
+
+def test_bucketed_joins_with_a_hot_key(spark):
+    """A company with many facts and intervals: same rows as the plain range join."""
+    from pyspark.sql import functions as F
+
+    from panelkit.operators import panel as P
+    day = lambda c: F.date_add(F.lit("1990-01-01"), (F.col(c) % 5000).cast("int"))
+    facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50))
+                                     .alias("gvkey"), day("id").alias("datadate"), "id")
+    link = spark.range(400).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50))
+                                   .alias("gvkey"), (F.col("id") % 90).alias("lpermno"), F.lit("LU").alias("linktype"),
+                                   F.lit("P").alias("linkprim"), day("id").alias("linkdt"),
+                                   F.when(F.col("id") % 5 > 0, F.date_add(day("id"), 900)).alias("linkenddt"))
+    got = P.link_interval_join(facts, link).groupBy("gvkey", "permno").agg(F.count("*"), F.sum("id"))
+    plain = facts.join(link.withColumnRenamed("gvkey", "k"), F.expr(
+        "gvkey = k AND datadate >= linkdt AND (linkenddt IS NULL OR datadate <= linkenddt)"))
+    want = plain.groupBy("gvkey", F.col("lpermno").alias("permno")).agg(F.count("*"), F.sum("id"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    events = spark.range(60).select((F.col("id") % 40).alias("permno"), day("id").alias("ipo_date"))
+    rows = facts.select((F.col("id") % 40).alias("permno"), "datadate", "id")
+    got = P.event_window_join(events, rows, "datadate").agg(F.count("*"), F.sum("id")).first()
+    want = rows.join(events.withColumnRenamed("permno", "k"), F.expr(
+        "permno = k AND datadate >= ipo_date AND datadate <= date_add(ipo_date, 1825)")).agg(F.count("*"), F.sum("id")).first()
+    assert got == want
