@@ -38,7 +38,7 @@ WINDOW = 13
 SET_BYTES = 8 << 20
 RANGE_EDGES = 1 << 20
 #: Bytes of text that are hashed at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 _RNG = np.random.default_rng(20_240_602)
 _BYTE = _RNG.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
