@@ -61,8 +61,9 @@ def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smooth
         deviations: float = 4.0, ridge: float = 1e-4, steps: int = 400) -> Model:
     """Log-count ratios, then logistic regression on them by accelerated gradient descent.
 
-    A ratio counts only where it is ``deviations`` standard errors from 0; long texts would
-    else gather chance ratios of many rare n-grams. With one label only, or no rows, the
+    A ratio counts only where the labels of the texts with that feature differ from all texts'
+    by ``deviations`` (the root of the likelihood ratio statistic); long texts would else
+    gather chance ratios of many rare n-grams. With one label only, or no rows, the
     model says that label's share for every text (0 without rows).
     """
     size, n = 1 << bits, len(labels)
@@ -76,9 +77,11 @@ def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smooth
     share = positive / n
     a, b = in_toxic + smoothing * share, in_clean + smoothing * (1 - share)
     ratio = np.log(a / positive) - np.log(b / (n - positive))
-    error = np.sqrt(np.maximum(0, 1 / a - 1 / (positive + smoothing))
-                    + np.maximum(0, 1 / b - 1 / (n - positive + smoothing)))
-    ratio[(in_toxic + in_clean < MIN_TEXTS) | (np.abs(ratio) < deviations * error)] = 0
+    texts = in_toxic + in_clean
+    with np.errstate(divide="ignore", invalid="ignore"):
+        g = 2 * (np.where(in_toxic > 0, in_toxic * np.log(in_toxic / (texts * share)), 0)
+                 + np.where(in_clean > 0, in_clean * np.log(in_clean / (texts * (1 - share))), 0))
+    ratio[(texts < MIN_TEXTS) | (g < deviations ** 2)] = 0
     features = [found[ratio[found] != 0] for found in features]
     row = np.repeat(np.arange(n), [len(f) for f in features])
     kept, column = np.unique(np.concatenate(features), return_inverse=True)
