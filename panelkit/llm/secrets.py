@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import table
+from panelkit.llm.common import table, written
 
 # Patterns and least lengths of the base secrets.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -153,11 +153,24 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def word_ranks(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> dict[str, int]:
-    """Rank of the ``size`` most frequent words of 3 to 24 ASCII letters, over all texts."""
+    """Rank of the most frequent words of 3 to 24 ASCII letters, over all texts; at most
+    ``size``, as many as whole classes of similar counts (eight to a doubling) allow.
+
+    The classes, a few hundred at most, say which count to stop at, so only words that stay
+    come to the driver.
+    """
     words = docs.select(F.explode(F.split(F.lower(F.col(text_col)), "[^a-z]+")).alias("word"))
-    top = (words.filter(F.length("word").between(3, 24)).groupBy("word").count()
-           .orderBy(F.desc("count"), "word").limit(size).select("word").collect())
-    return {r.word: k for k, r in enumerate(top, 1)}
+    counts = written(words.filter(F.length("word").between(3, 24)).groupBy("word").agg(F.count("*").alias("n"))
+                     .withColumn("cls", F.floor(F.log2("n") * 8)))
+    kept, last = 0, None
+    for cls, n in sorted(map(tuple, counts.groupBy("cls").count().collect()), reverse=True):
+        if kept + n > size:
+            break
+        kept, last = kept + n, cls
+    if last is None:
+        return {}
+    top = counts.filter(F.col("cls") >= last).collect()
+    return {r.word: k for k, r in enumerate(sorted(top, key=lambda r: (-r.n, r.word)), 1)}
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
