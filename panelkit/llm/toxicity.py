@@ -25,6 +25,8 @@ from panelkit.llm.common import bounded_sample, held_out, table
 from panelkit.llm.features import letters_only, ngrams
 
 THRESHOLD = 0.3
+#: Weight of all toxic training texts together.
+PRIOR = 0.25
 PER_CLASS = 2_000
 BITS = 19
 SIZES = (4, 5)
@@ -88,8 +90,9 @@ def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smooth
     value = ratio[kept][column]
     weight = ahead = np.zeros(len(kept))
     bias = bias_ahead = 0.0
-    # Both classes weigh the same; the step is safe for the largest curvature.
-    balance = np.where(labels == 1, 0.5 / positive, 0.5 / (n - positive))
+    # Toxic texts weigh PRIOR together, whatever their share of the sample, so that a text
+    # without any sign stays below the threshold; the step is safe for the largest curvature.
+    balance = np.where(labels == 1, PRIOR / positive, (1 - PRIOR) / (n - positive))
     norm = np.bincount(row, value * value, minlength=n)
     step = 1.0 / (ridge + 0.25 * float((balance * (norm + 1)).sum()))
     for t in range(steps):
