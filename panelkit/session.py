@@ -58,10 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-#: Tables written by :func:`cut_lineage` in this process, for :func:`drop_intermediates`.
+#: Intermediate tables of this process, for :func:`drop_intermediates`.
 _WRITTEN: list[str] = []
 
 
+def intermediate_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, remembered for :func:`drop_intermediates`."""
+    import uuid
+    _WRITTEN.append(f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
 def cut_lineage(df, partition_by=()):
     """Cut the lineage by writing a table into the shared checkpoint folder.
 
@@ -71,23 +78,20 @@ def cut_lineage(df, partition_by=()):
     other failure is raised. Never a local checkpoint: the files survive the loss of any
     executor. :func:`drop_intermediates` removes them once their readers are done.
     """
-    import uuid
-
     from pyspark.errors import AnalysisException
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = intermediate_path(spark)
     try:
         df.write.partitionBy(*partition_by).parquet(path)
     except AnalysisException as err:
         if err.getCondition() != "UNSUPPORTED_DATA_TYPE_FOR_DATASOURCE":
             raise
         return df.checkpoint(eager=True)
-    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
 def drop_intermediates(spark: SparkSession) -> int:
-    """Delete the tables :func:`cut_lineage` wrote in this process; frames over them must no
+    """Delete the intermediate tables that this process wrote; frames over them must no
     longer be used. Returns how many were removed."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

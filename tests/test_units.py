@@ -241,3 +241,14 @@ def test_bucketed_joins_with_a_hot_key(spark):
     want = rows.join(events.withColumnRenamed("permno", "k"), F.expr(
         "permno = k AND datadate >= ipo_date AND datadate <= date_add(ipo_date, 1825)")).agg(F.count("*"), F.sum("id")).first()
     assert got == want
+
+
+def test_entry_works_without_the_optional_package():
+    """Without the training-data package the other queries are all there."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['corpus_pipeline'] = None; sys.modules['panelkit.llm'] = None; "
+            "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and 'pipeline' not in q; "
+            "assert set(e.oracle_sql()) <= set(q) and not [k for k in q if k.startswith('op1_')]")
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
