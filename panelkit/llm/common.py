@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.session import checkpoint_dir
+from panelkit.session import intermediate_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,21 +19,9 @@ def written(df: DataFrame) -> DataFrame:
     Cuts the lineage: the files outlive any executor, and what follows reads columns of
     them instead of running the plan again.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
+    path = intermediate_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-                schema: str) -> DataFrame:
-    """Apply a function of one Arrow batch to every batch (no shuffle, bounded memory)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = function(batch)
-            if out is not None and out.num_rows:
-                yield out
-    return df.mapInArrow(run, schema)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def held_out(id_col: str) -> Column:
