@@ -306,10 +306,11 @@ def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
         linked = linked.unionByName(rows.select("permno", "datadate", F.lit("shares").alias("_kind"),
                                                 F.lit(prio).alias("_prio"), F.col("shrout").cast("double")),
                                     allowMissingColumns=True)
-    # written once: the fallback and the five kinds below read it instead of joining again
-    linked = cut_lineage(linked, partition_by=["_kind"])
+    # written once: the fallback reads it twice instead of joining twice, and the five kinds
+    # below read their part of the fallback's result
+    linked = cut_lineage(linked)
     chosen = linked.groupBy("permno", "_kind").agg(F.min("_prio").alias("_prio"))
-    facts = semi_membership(linked, chosen, ["permno", "_kind", "_prio"])
+    facts = cut_lineage(semi_membership(linked, chosen, ["permno", "_kind", "_prio"]), partition_by=["_kind"])
 
     def kind(k, cols):
         return facts.filter(F.col("_kind") == k).select("permno", "datadate", *cols)

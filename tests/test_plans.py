@@ -74,7 +74,7 @@ def test_panel_fetch_scans_each_source_once_or_twice(spark):
     assert link_file not in plan
     assert plan.count("FileScan") + plan.count("BatchScan") <= 6
     # AQE runs each exchange as a job of its own; no exchange is added unnoticed
-    assert len(tracker.getJobIdsForGroup("panel-plan")) <= 45
+    assert len(tracker.getJobIdsForGroup("panel-plan")) <= 36
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - MODEL_KEYS))
