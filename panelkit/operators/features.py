@@ -84,11 +84,11 @@ def prepared(df: DataFrame, features: Sequence[str] | None = None, label_col: st
     """F20, F19, F17, F18 and the null-key filter (trap T8): the rows that the yearly
     aggregates read, and the features they hold."""
     if "permno" not in df.columns:
-        raise ValueError("Data missing company identifier column permno")
+        raise ValueError("the panel has no permno")
     year_col = "public_year" if "public_year" in df.columns else C.infer_column(
         df.columns, C.TIME_CANDIDATES, "year")
     if label_col not in df.columns:
-        raise ValueError(f"Data missing {label_col} column, cannot build the next-year label")
+        raise ValueError(f"the panel has no {label_col} to lead by a year")
     month = "public_month"
     df = C.default_month(df, month)
     feats = [c for c in (features or C.BASE_FEATURES) if c in df.columns]

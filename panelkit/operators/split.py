@@ -23,7 +23,7 @@ TRAIN, VAL, TEST = "train", "val", "test"
 def _check_ratios(ratios: Sequence[float]) -> tuple[float, float, float]:
     r_train, r_val, r_test = ratios
     if not math.isclose(r_train + r_val + r_test, 1.0, rel_tol=0, abs_tol=1e-8):
-        raise ValueError("ratios must sum to 1.0")
+        raise ValueError(f"split ratios {tuple(ratios)} do not add up to 1")
     return r_train, r_val, r_test
 
 
@@ -57,7 +57,7 @@ def firm_level_split(df: DataFrame, company: str = "permno", ipo_col: str | None
     r_train, r_val, _ = _check_ratios(ratios)
     for c in (company, year_col):
         if c not in df.columns:
-            raise ValueError(f"Missing column {c}")
+            raise ValueError(f"no column {c} to split by")
     firms = earliest_key_per_firm(df, company, ipo_col, year_col)
     ranked = global_rank(firms, ["_sort_key", company], rank="_r", size="_n")
     tags = ranked.select(company, clamp_tag(F.col("_r"), F.col("_n"), r_train, r_val).alias("split"))
@@ -110,7 +110,7 @@ def ensure_two_classes(df: DataFrame, label: str, company: str = "permno",
         if has_two_classes(moved, label, split_col):
             return moved, row["c"]
         df = moved
-    raise ValueError("Training set has a single class and no positive firm in val/test")
+    raise ValueError(f"{label}: one class to train on, and no firm to move there")
 
 
 def class_distribution(df: DataFrame, label: str, split_col: str = "split") -> DataFrame:

@@ -78,7 +78,7 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "table")
     """Fail early if required columns are missing (metadata only, no job)."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"{what} missing required column(s): {', '.join(missing)}")
+        raise ValueError(f"{what} lacks {', '.join(missing)}")
     return df
 
 
@@ -116,7 +116,7 @@ def first_nonempty_source(spark: SparkSession, sources: Sequence[tuple[str, Sour
             last_error = err
     if last_error is not None:
         raise last_error
-    raise RuntimeError("All sources failed or were empty.")
+    raise RuntimeError("no source gave rows")
 
 
 def first_nonempty_pair(spark: SparkSession, left: Sequence[tuple[str, Source]],
@@ -134,7 +134,7 @@ def first_nonempty_pair(spark: SparkSession, left: Sequence[tuple[str, Source]],
             last_error = err
     if last_error is not None:
         raise last_error
-    raise RuntimeError("All source pairs failed or were empty.")
+    raise RuntimeError("no pair of sources gave rows")
 
 
 def write_table(df: DataFrame, path: str, fmt: str | None = None,
