@@ -237,11 +237,11 @@ def compact_paths(packed: DataFrame) -> DataFrame:
 
 # -- the texts --------------------------------------------------------------------------
 
-_READ = ("doc bigint, start bigint, n bigint, digest binary, id_null boolean, n_words bigint, "
-         "n_removed bigint, kept_sha256 string")
+_READ = ("doc bigint, start bigint, n bigint, digest binary, n_words bigint, n_removed bigint, "
+         "kept_sha256 string, kept binary")
 
 
-def _read_text(doc: int | None, text: bytes, spans: np.ndarray, k: int) -> list[dict]:
+def _read_text(doc: int | None, text: bytes, spans: np.ndarray, k: int, with_text: bool) -> list[dict]:
     """The document's row, and a digest of the words of each asked span (start, n, own)."""
     words = text.split()
     gone = np.zeros(len(words) + 1, np.int64)
@@ -256,16 +256,13 @@ def _read_text(doc: int | None, text: bytes, spans: np.ndarray, k: int) -> list[
             gone[start] += 1
             gone[start + n + k - 1] -= 1
     covered = np.cumsum(gone)[:-1] > 0
-    if covered.any():
-        kept = hashlib.sha256(b" ".join([words[i] for i in np.flatnonzero(~covered).tolist()])).hexdigest()
-    else:
-        kept = hashlib.sha256(b" ".join(words)).hexdigest()
-    rows.append({"doc": doc, "id_null": doc is None, "n_words": len(words), "n_removed": int(covered.sum()),
-                 "kept_sha256": kept})
+    kept = b" ".join([words[i] for i in np.flatnonzero(~covered).tolist()] if covered.any() else words)
+    rows.append({"doc": doc, "n_words": len(words), "n_removed": int(covered.sum()),
+                 "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept if with_text else None})
     return rows
 
 
-def read_texts(docs: DataFrame, paths: DataFrame, k: int, sets: int) -> DataFrame:
+def read_texts(docs: DataFrame, paths: DataFrame, k: int, sets: int, with_text: bool = False) -> DataFrame:
     """Rows of _READ: a row per document without the words its paths cover (start null), and
     a digest per asked span. Texts and spans meet by set of documents."""
     own = paths.select("doc", "start", "n", F.lit(1).alias("own"))
@@ -274,8 +271,8 @@ def read_texts(docs: DataFrame, paths: DataFrame, k: int, sets: int) -> DataFram
              .withColumn("part", F.pmod("doc", F.lit(sets))))
     texts = docs.withColumn("part", F.coalesce(F.pmod("doc", F.lit(sets)), F.lit(0).cast("bigint")))
     schema = pa.schema([("doc", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                        ("id_null", pa.bool_()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                        ("kept_sha256", pa.string())])
+                        ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+                        ("kept", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         spans = np.stack([right.column(c).to_numpy() for c in ("doc", "start", "n", "own")], axis=1).astype(np.int64)
@@ -283,7 +280,7 @@ def read_texts(docs: DataFrame, paths: DataFrame, k: int, sets: int) -> DataFram
         out = []
         for doc, text in zip(left.column("doc").to_pylist(), left.column("text")):
             lo, hi = (0, 0) if doc is None else np.searchsorted(spans[:, 0], [doc, doc + 1])
-            out += _read_text(doc, text.as_py(), spans[lo:hi, 1:], k)
+            out += _read_text(doc, text.as_py(), spans[lo:hi, 1:], k, with_text)
         return pa.Table.from_pylist(out, schema=schema)
 
     return texts.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(run, _READ)
@@ -302,18 +299,9 @@ def _windows(paths: DataFrame) -> DataFrame:
     return paths.select("doc", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at"))
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    k: int = WINDOW, hash_bits: int = 64) -> DataFrame:
-    """One row per input row: id, n_words, n_removed, kept_sha256 (of the kept words, joined
-    by one blank).
-
-    Removed are the words of every window of ``k`` words that also starts in a document with
-    a smaller id. Null and empty texts have no words; texts under ``k`` words lose none. A
-    row without an id loses nothing and is no source. Rows repeated with one id and text get
-    equal results. Ids must be integers; other columns are ignored. ``hash_bits`` below 64
-    makes different windows meet, for tests.
-    """
-    kind = dict(docs.dtypes)[id_col]
+def _solve(docs: DataFrame, id_col: str, text_col: str, k: int, hash_bits: int,
+           with_text: bool) -> tuple[DataFrame, DataFrame]:
+    """The documents' rows of _READ, and the verified paths."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -325,28 +313,57 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return written(compact_paths(join_by_edge(packed, bits, sets)))
 
     paths = paths_of(0)
-    read = written(read_texts(rows, paths, k, sets))
+    read = written(read_texts(rows, paths, k, sets, with_text))
     false = written(_false_paths(paths, read))
     result = read.filter("start IS NULL")
-    if not false.isEmpty():
-        # Different windows with one hash. Another hash function tells, of the windows of
-        # these paths, which are not repeated and which truly are, until none is in doubt.
-        hit = written(false.select("doc").distinct())
-        true = paths.join(false, _PATH, "left_anti").join(hit, "doc", "left_semi")
-        doubt, seed = written(_windows(false).distinct()), 0
-        while not doubt.isEmpty():
-            seed += 1
-            found = paths_of(seed).join(doubt.select("doc").distinct(), "doc", "left_semi")
-            false = written(_false_paths(found, read_texts(rows, found, k, sets)))
-            true = written(true.union(found.join(false, _PATH, "left_anti")))
-            doubt = written(doubt.join(_windows(false).distinct(), ["doc", "at"], "left_semi"))
-        again = read_texts(rows.join(hit, "doc", "left_semi"), true, k, sets).filter("start IS NULL")
-        result = result.join(hit, "doc", "left_anti").unionByName(again)
-    return result.select(F.col("doc").cast(kind).alias(id_col), "n_words", "n_removed", "kept_sha256")
+    if false.isEmpty():
+        return result, paths
+    # Different windows with one hash. Another hash function tells, of the windows of these
+    # paths, which are not repeated and which truly are, until none is in doubt.
+    hit = written(false.select("doc").distinct())
+    true = written(paths.join(false, _PATH, "left_anti"))
+    doubt, seed = written(_windows(false).distinct()), 0
+    while not doubt.isEmpty():
+        seed += 1
+        found = paths_of(seed).join(doubt.select("doc").distinct(), "doc", "left_semi")
+        false = written(_false_paths(found, read_texts(rows, found, k, sets)))
+        true = written(true.union(found.join(false, _PATH, "left_anti")).distinct())
+        doubt = written(doubt.join(_windows(false).distinct(), ["doc", "at"], "left_semi"))
+    again = read_texts(rows.join(hit, "doc", "left_semi"), true.join(hit, "doc", "left_semi"), k, sets, with_text)
+    return result.join(hit, "doc", "left_anti").unionByName(again.filter("start IS NULL")), true
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    k: int = WINDOW, hash_bits: int = 64, with_text: bool = True) -> DataFrame:
+    """One row per input row: id, n_words, n_removed, kept_sha256 and, with ``with_text``,
+    kept: the words that are left, joined by one blank.
+
+    Removed are the words of every window of ``k`` words that also starts in a document with
+    a smaller id. Null and empty texts have no words; texts under ``k`` words lose none. A
+    row without an id loses nothing and is no source. Rows repeated with one id and text get
+    equal results. Ids must be integers; other columns are ignored. ``hash_bits`` below 64
+    makes different windows meet, for tests.
+    """
+    kind = dict(docs.dtypes)[id_col]
+    result, _ = _solve(docs, id_col, text_col, k, hash_bits, with_text)
+    kept = [F.col("kept").cast("string").alias("kept")] if with_text else []
+    return result.select(F.col("doc").cast(kind).alias(id_col), "n_words", "n_removed", "kept_sha256", *kept)
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   k: int = WINDOW) -> DataFrame:
+    """The verified spans themselves: (id, first_word, n_words, source_id, source_word), each
+    a passage of ``k`` words or more that stands word for word in the source, a document
+    with a smaller id. Spans of one document may overlap by up to ``k`` - 1 words."""
+    kind = dict(docs.dtypes)[id_col]
+    _, paths = _solve(docs, id_col, text_col, k, 64, False)
+    return paths.select(F.col("doc").cast(kind).alias(id_col), F.col("start").alias("first_word"),
+                        (F.col("n") + k - 1).alias("n_words"), F.col("src_doc").cast(kind).alias("source_id"),
+                        F.col("src_start").alias("source_word"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"))
+    return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
 ORACLE = """
