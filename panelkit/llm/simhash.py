@@ -141,7 +141,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], ["a", "b"])
 
-    return same.unionByName(near).mapInArrow(run, "a bigint, b bigint").distinct()
+    return same.unionByName(near).mapInArrow(run, "a bigint, b bigint")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
