@@ -28,7 +28,7 @@ HEADLINE = [
     "firm_level_split",       # W3, W11, J14
     "boxplot_stats",          # A13: exact quartiles by class
     "correlation_matrix",     # A11
-    "model_run",              # M1-M9: split, fit, metrics
+    "model_fit_run",          # M1-M9: split, fit, metrics
 ]
 
 

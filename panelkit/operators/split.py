@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.scalar import date_from_year
 from panelkit.operators.ordered import global_rank, ordered_scan
+from panelkit.session import cut_lineage
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -58,7 +59,8 @@ def firm_level_split(df: DataFrame, company: str = "permno", ipo_col: str | None
     for c in (company, year_col):
         if c not in df.columns:
             raise ValueError(f"no column {c} to split by")
-    firms = earliest_key_per_firm(df, company, ipo_col, year_col)
+    # one row per firm, written once: the rank reads it more than once
+    firms = cut_lineage(earliest_key_per_firm(df, company, ipo_col, year_col))
     ranked = global_rank(firms, ["_sort_key", company], rank="_r", size="_n")
     tags = ranked.select(company, clamp_tag(F.col("_r"), F.col("_n"), r_train, r_val).alias("split"))
     return map_split_back(df, tags, company)
