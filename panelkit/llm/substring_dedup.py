@@ -10,9 +10,10 @@ document with a smaller id; one such place is its source coordinate (document, w
    batch share the edge.
 2. *Join by edge.* What is left of the batches' edges meets by hash. Every place whose edge has a
    place of smaller id gets it as its source.
-3. *Paths.* Joined per set of documents, consecutive edges of a document whose sources are
-   consecutive too are one nonbranching path of the source's walk through the graph; such
-   runs compact to (document, first word, edges, source document, source word).
+3. *Paths.* Consecutive edges of a document whose sources are consecutive too are one
+   nonbranching path of the source's walk through the graph; such runs compact to (document,
+   first word, edges, source document, source word). A join of the paths with the paths at
+   their sources leads them on to the walk's first document, and they compact once more.
 4. *Verification.* The paths are joined to the texts on both coordinates; a path counts
    only if the words at its source are its words. The same pass over the texts removes the
    words that paths cover.
@@ -37,6 +38,8 @@ WINDOW = 13
 #: Bytes of text that a set of documents holds, and edges of a hash range, about.
 SET_BYTES = 8 << 20
 RANGE_EDGES = 1 << 20
+#: Words of a block in which a path looks for the path at its source.
+BLOCK_WORDS = 256
 #: Bytes of text that are hashed at once.
 BATCH_BYTES = 4 << 20
 
@@ -103,6 +106,7 @@ def _unpack(data: bytes, width: int = 8, delta: bool = False) -> np.ndarray:
 
 
 _PATH = ["doc", "start", "n", "src_doc", "src_start"]
+_PATH_TYPE = ", ".join(f"{c} bigint" for c in _PATH)
 
 
 def _pack_paths(paths: np.ndarray) -> bytes:
@@ -117,9 +121,12 @@ def _unpack_paths(data: bytes) -> np.ndarray:
 
 def compact(paths: np.ndarray) -> np.ndarray:
     """Sort paths by place and join those that continue each other, copy and source alike."""
-    paths = paths[np.lexsort((paths[:, 1], paths[:, 0]))]
+    paths = paths[np.lexsort((paths[:, 2], paths[:, 1], paths[:, 0]))]
     if len(paths) < 2:
         return paths
+    # rows repeated with one id and text give the same places again
+    again = (paths[1:, :3] == paths[:-1, :3]).all(1)
+    paths = paths[np.concatenate([[True], ~again])]
     a, b = paths[:-1], paths[1:]
     goes_on = ((a[:, 0] == b[:, 0]) & (a[:, 3] == b[:, 3]) & (a[:, 1] + a[:, 2] == b[:, 1])
                & (a[:, 4] + a[:, 2] == b[:, 4]))
@@ -226,13 +233,39 @@ def join_by_edge(packed: DataFrame, bits: int, sets: int) -> DataFrame:
 
 def compact_paths(packed: DataFrame) -> DataFrame:
     """Paths as rows (doc, start, n, src_doc, src_start), compacted per set of documents."""
-    schema = pa.schema([(c, pa.int64()) for c in _PATH])
-
     def run(group: pa.Table) -> pa.Table:
         paths = compact(np.concatenate([_unpack_paths(p.as_py()) for p in group.column("paths")]))
-        return pa.Table.from_arrays([pa.array(paths[:, c]) for c in range(5)], schema=schema)
+        return pa.table({c: pa.array(paths[:, k]) for k, c in enumerate(_PATH)})
+
+    return packed.groupBy("part").applyInArrow(run, _PATH_TYPE)
+
+
+def follow_sources(paths: DataFrame, sets: int) -> DataFrame:
+    """Paths whose source is itself repeated take over its source, and compact again.
+
+    A repeat that its own batch resolved leads to the batch's first document, and that
+    document's path leads on to the first of all batches. Joined on the source coordinate
+    (document and block of words), paths of one walk through the graph get one source, so
+    what batches had cut in two becomes one nonbranching path.
+    """
+    block = lambda c: F.floor(c / F.lit(BLOCK_WORDS))
+    ahead = paths.select(F.col("doc").alias("_doc"), F.col("start").alias("_start"), F.col("n").alias("_n"),
+                         F.col("src_doc").alias("_src"), F.col("src_start").alias("_at"),
+                         F.explode(F.sequence(block(F.col("start")), block(F.col("start") + F.col("n") - 1)))
+                         .alias("_block"))
+    inside = ((F.col("src_doc") == F.col("_doc")) & (block(F.col("src_start")) == F.col("_block"))
+              & (F.col("_start") <= F.col("src_start"))
+              & (F.col("src_start") + F.col("n") <= F.col("_start") + F.col("_n")))
+    joined = paths.join(ahead, inside, "left").select(
+        "doc", "start", "n", F.coalesce("_src", "src_doc").alias("src_doc"),
+        F.coalesce(F.col("_at") + F.col("src_start") - F.col("_start"), F.col("src_start")).alias("src_start"),
+        F.pmod("doc", F.lit(sets)).alias("part"))
+
+    def run(group: pa.Table) -> pa.Table:
+        found = compact(np.stack([group.column(c).to_numpy() for c in _PATH], axis=1))
+        return pa.table({c: pa.array(found[:, k]) for k, c in enumerate(_PATH)})
 
-    return packed.groupBy("part").applyInArrow(run, ", ".join(f"{c} bigint" for c in _PATH))
+    return joined.groupBy("part").applyInArrow(run, _PATH_TYPE)
 
 
 # -- the texts --------------------------------------------------------------------------
@@ -310,7 +343,7 @@ def _solve(docs: DataFrame, id_col: str, text_col: str, k: int, hash_bits: int,
 
     def paths_of(seed: int) -> DataFrame:
         packed = edges(rows.filter("doc IS NOT NULL"), k, bits, seed, hash_bits)
-        return written(compact_paths(join_by_edge(packed, bits, sets)))
+        return written(follow_sources(written(compact_paths(join_by_edge(packed, bits, sets))), sets))
 
     paths = paths_of(0)
     read = written(read_texts(rows, paths, k, sets, with_text))
