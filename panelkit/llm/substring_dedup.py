@@ -66,9 +66,12 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     """Hash of values[start:end] for each span; equal spans hash equally wherever they are."""
     n, base = len(values), _BASES[seed % len(_BASES)]
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(base, n), dtype=np.uint64)])
-    inverse = _powers(pow(base, -1, 1 << 64), n)
-    return _mixed((total[ends] - total[starts]) * inverse[starts])
+    total = np.zeros(n + 1, np.uint64)
+    np.multiply(values, _powers(base, n), out=total[1:])
+    np.cumsum(total[1:], out=total[1:])
+    sums = total[ends] - total[starts]
+    del total
+    return _mixed(sums * _powers(pow(base, -1, 1 << 64), n)[starts])
 
 
 def edge_hashes(texts: list[bytes], k: int = WINDOW, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
