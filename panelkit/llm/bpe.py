@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import table
+from panelkit.llm.common import in_batches, table
 
 #: Words whose encoding a worker remembers; then it forgets all and starts again.
 CACHE_WORDS = 400_000
@@ -270,7 +270,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return in_batches(docs.select(F.col(id_col), F.col(text_col).cast("string"))).mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

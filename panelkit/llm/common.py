@@ -13,6 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch at most: texts are long, and buffers of that size are kept.
+BATCH_ROWS = 1_000
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, for a function of Arrow batches: the session's batches get small enough for
+    whole texts (Spark's default of 10,000 rows is made for short rows)."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import table, written
+from panelkit.llm.common import in_batches, table, written
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -199,7 +199,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                 [("id", batch.schema.field(0).type), ("begin", pa.int64()), ("length", pa.int64()),
                  ("passage", pa.binary()), ("keys", pa.list_(pa.int64()))]))
 
-    searched = written(docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
+    searched = written(in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
         run, f"id {kind}, begin bigint, length bigint, passage binary, keys array<bigint>"))
     window = ["id", "begin", "length"]
     pairs = (searched.select(*window, F.explode("keys").alias("key")).join(item_rows, "key")

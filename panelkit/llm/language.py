@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import bounded_sample, held_out, table, written
+from panelkit.llm.common import bounded_sample, held_out, in_batches, table, written
 from panelkit.llm.features import has_letter, letters_only, ngrams
 
 UNKNOWN = "und"
@@ -127,7 +127,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there),
                                               pa.array(counts[there])], ["lang", "bucket", "n"])
 
-    got = (sample.mapInArrow(count, "lang string, bucket bigint, n bigint")
+    got = (in_batches(sample).mapInArrow(count, "lang string, bucket bigint, n bigint")
            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
     place = {lang: i for i, lang in enumerate(languages)}
     counts = np.zeros((len(languages), 1 << bits))
@@ -145,7 +145,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(means, pa.list_(pa.float64()))],
                                              ["lang", "means"])
 
-    got = sample.mapInArrow(margins, "lang string, means array<double>").toArrow()
+    got = in_batches(sample).mapInArrow(margins, "lang string, means array<double>").toArrow()
     means = np.stack(got["means"].to_numpy()) if got.num_rows else np.zeros((0, width))
     truth = code[[place[x] for x in got["lang"].to_pylist()]]
     for b in range(width):
@@ -172,7 +172,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                  pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
                 [id_col, "lang_pred", "score", "ambiguous"])
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
+    return in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
         run, f"`{id_col}` {kind}, lang_pred string, score double, ambiguous boolean")
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import table
+from panelkit.llm.common import in_batches, table
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -198,7 +198,7 @@ def find_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_
                  pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64())],
                 [id_col, "license", "containment", "word"])
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
+    return in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
         run, f"`{id_col}` {kind}, license string, containment double, word bigint")
 
 

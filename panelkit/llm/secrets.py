@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import table, written
+from panelkit.llm.common import in_batches, table, written
 
 # Patterns and least lengths of the base secrets.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -201,7 +201,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                  pa.array(spans, pa.string())],
                 [id_col, "n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans"])
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
+    return in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
         run, f"`{id_col}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_guess bigint, "
              "base_sha256 string, spans string")
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import table, written
+from panelkit.llm.common import in_batches, table, written
 from panelkit.llm.components import components
 
 SHINGLE = 3
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, fp bigint")
+    return in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(run, f"id {kind}, fp bigint")
 
 
 def _segment(fp: Column, i: int) -> Column:

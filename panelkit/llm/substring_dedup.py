@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import table, written
+from panelkit.llm.common import in_batches, table, written
 
 WINDOW = 13
 #: Bytes of text that a set of documents holds, and edges of a hash range, about.
@@ -204,7 +204,7 @@ def edges(docs: DataFrame, k: int, bits: int, seed: int = 0, hash_bits: int = 64
         if ids:
             yield pa.RecordBatch.from_pylist(_batch_rows(ids, texts, k, bits, seed, hash_bits), schema=_EDGES)
 
-    return docs.mapInArrow(run, "range int, ids binary, hash binary, text binary, word binary, paths binary")
+    return in_batches(docs).mapInArrow(run, "range int, ids binary, hash binary, text binary, word binary, paths binary")
 
 
 def join_by_edge(packed: DataFrame, bits: int, sets: int) -> DataFrame:

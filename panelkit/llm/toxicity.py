@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import bounded_sample, held_out, table
+from panelkit.llm.common import bounded_sample, held_out, in_batches, table
 from panelkit.llm.features import letters_only, ngrams
 
 THRESHOLD = 0.3
@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1).cast(pa.int32())],
                                              ["features", "y"])
 
-    got = sorted((bytes(r.features), r.y) for r in rows.mapInArrow(run, "features binary, y int").collect())
+    got = sorted((bytes(r.features), r.y) for r in in_batches(rows).mapInArrow(run, "features binary, y int").collect())
     return fit([np.frombuffer(f, "<u4") for f, _ in got], np.array([y for _, y in got], np.int64), bits)
 
 
@@ -142,7 +142,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
                  pa.array([int(s >= threshold) for s in scores], pa.int32())],
                 [id_col, "score", "predicted"])
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
+    return in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
         run, f"`{id_col}` {kind}, score double, predicted int")
 
 
@@ -158,7 +158,7 @@ def without_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, id_co
             clean = [shared.value.score(t.as_py()) < THRESHOLD for t in batch.column(place)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
