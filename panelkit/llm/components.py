@@ -16,7 +16,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every node points its larger neighbours to the smallest node it sees."""
     seen = _both_ways(edges)
     least = seen.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("_m"))
-    return seen.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
+    # distinct here spreads what many nodes send to one before that one gathers it
+    return seen.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
