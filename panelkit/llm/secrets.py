@@ -7,8 +7,11 @@ cheapest way to write a value as a row of dictionary words, dates, repeats, keyb
 and brute-force characters; the cost is the log10 of the guesses that an attacker who knows
 this way needs. Placeholders are cheap, keys and strong passwords are not.
 
-The dictionary is the corpus's own words, counted over every text by Spark; a word's rank
-is its cost. Only the ``DICTIONARY`` most frequent are kept and broadcast.
+The dictionary is a short list of well-known placeholders and the corpus's own words; a
+word's rank is its cost. Spark counts in how many distinct texts a word stands outside of
+credential values, so neither a secret nor the copies of its text make it a word. Words of
+fewer than ``LEAST_TEXTS`` texts are left out, whatever the size of the table, and only the
+``DICTIONARY`` most frequent are kept and broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,12 @@ URL = r"[a-z][a-z0-9+.-]*://[^\s/:@]*:([^\s/@]+)@"
 HARD = 10.0
 VALUE_LEAST = 8
 DICTIONARY = 20_000
+#: Distinct texts from which a word of the corpus counts as one.
+LEAST_TEXTS = 5
+#: Values that stand for a secret in examples; known to everyone, so in any table.
+PLACEHOLDERS = ("password", "changeme", "secret", "example", "placeholder", "default", "change", "your", "here",
+                "token", "test", "sample", "dummy", "none", "null", "undefined", "redacted", "hidden", "admin",
+                "user", "value", "insert", "replace", "credentials", "passphrase", "letmein", "welcome")
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -48,6 +58,7 @@ _CONTEXT = re.compile(CONTEXT, re.IGNORECASE | re.ASCII)
 _URL = re.compile(URL, re.IGNORECASE | re.ASCII)
 _ASSIGN_HINTS = ("passw", "secret", "token", "api")
 _CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "key")
+_LETTERS = re.compile("[a-z]+")
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
                    r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
@@ -136,32 +147,71 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def guess_spans(text: str, ranks: dict[str, int]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of values in credential context that are hard to guess."""
+def context_spans(text: str) -> set[tuple[int, int]]:
+    """(start, end) of values in credential context."""
     low = text.lower()
-    values = []
+    values = set()
     if any(hint in low for hint in _CONTEXT_HINTS):
-        values += [m.span(1) for m in _CONTEXT.finditer(text)]
+        values |= {m.span(1) for m in _CONTEXT.finditer(text)}
     if "://" in text:
-        values += [m.span(1) for m in _URL.finditer(text)]
-    return sorted((a, 3, b) for a, b in set(values)
+        values |= {m.span(1) for m in _URL.finditer(text)}
+    return values
+
+
+def guess_spans(text: str, ranks: dict[str, int]) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of values in credential context that are hard to guess."""
+    return sorted((a, 3, b) for a, b in context_spans(text)
                   if b - a >= VALUE_LEAST and guess_cost(text[a:b], ranks) >= HARD)
 
 
+def open_words(text: str) -> set[str]:
+    """Words of 3 to 24 ASCII letters in a text, credential values left out."""
+    values = context_spans(text)
+    low = text.lower()
+    if any(hint in low for hint in _ASSIGN_HINTS):
+        values |= {m.span(2) for m in _ASSIGN.finditer(text)}
+    if values:
+        rest, at = [], 0
+        for a, b in sorted(values):
+            rest.append(text[at:max(at, a)])
+            at = max(at, b)
+        low = " ".join([*rest, text[at:]]).lower()
+    return {word for word in _LETTERS.findall(low) if 3 <= len(word) <= 24}
+
+
 def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def word_ranks(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> dict[str, int]:
-    """Rank of the most frequent words of 3 to 24 ASCII letters, over all texts; at most
-    ``size``, as many as whole classes of similar counts (eight to a doubling) allow.
+def _distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """One row (words) per distinct text. Copies meet by a digest of 128 bits, so texts do
+    not travel; a text's words, once each, stand in one string."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = {}
+            for value in batch.column(0):
+                if text := value.as_py():
+                    key = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+                    if key not in rows:
+                        rows[key] = " ".join(sorted(open_words(text)))
+            yield pa.RecordBatch.from_arrays([pa.array(rows.keys(), pa.binary()),
+                                              pa.array(rows.values(), pa.string())], ["key", "words"])
+
+    return (in_batches(docs.select(F.col(text_col).cast("string"))).mapInArrow(run, "key binary, words string")
+            .dropDuplicates(["key"]).select("words"))
+
+
+def word_ranks(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY, least: int = 1) -> dict[str, int]:
+    """Rank of the words of 3 to 24 ASCII letters that stand in most distinct texts, in
+    ``least`` at least, credential values left out; at most ``size``, as many as whole
+    classes of similar counts (eight to a doubling) allow.
 
     The classes, a few hundred at most, say which count to stop at, so only words that stay
     come to the driver.
     """
-    words = docs.select(F.explode(F.split(F.lower(F.col(text_col)), "[^a-z]+")).alias("word"))
-    counts = written(words.filter(F.length("word").between(3, 24)).groupBy("word").agg(F.count("*").alias("n"))
-                     .withColumn("cls", F.floor(F.log2("n") * 8)))
+    words = _distinct_words(docs, text_col).select(F.explode(F.split("words", " ")).alias("word"))
+    counts = written(words.filter(F.length("word") > 0).groupBy("word").agg(F.count("*").alias("n"))
+                     .filter(F.col("n") >= least).withColumn("cls", F.floor(F.log2("n") * 8)))
     kept, last = 0, None
     for cls, n in sorted(map(tuple, counts.groupBy("cls").count().collect()), reverse=True):
         if kept + n > size:
@@ -173,6 +223,12 @@ def word_ranks(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY)
     return {r.word: k for k, r in enumerate(sorted(top, key=lambda r: (-r.n, r.word)), 1)}
 
 
+def dictionary(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
+    """Ranks of the placeholders, then of the words of the corpus."""
+    words = dict.fromkeys(PLACEHOLDERS) | dict.fromkeys(word_ranks(docs, text_col, least=LEAST_TEXTS))
+    return {word: k for k, word in enumerate(words, 1)}
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_assign, n_access, n_hex, n_guess, base_sha256, spans.
 
@@ -180,7 +236,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Null and empty texts have none; ids pass through, null or repeated; other columns are
     ignored. Texts are scanned whole.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_col))
+    ranks = docs.sparkSession.sparkContext.broadcast(dictionary(docs, text_col))
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

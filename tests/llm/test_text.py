@@ -155,6 +155,26 @@ def test_secret_scan(spark):
     assert secrets.scan(empty_docs(spark)).count() == 0
 
 
+def test_a_secret_is_found_alone_in_copies_and_in_a_tiny_table(spark):
+    secret = "vexqumbilorta"
+    texts = [f"The harbour report of today. password: {secret} ends here", f"pwd={secret}",
+             f"see https://user:{secret}@host/x for more"]
+    plain = ["the configuration of the harbour was open today"] * 3 + [
+        f"configuration number {i} of the harbour" for i in range(20)]
+    for text in texts:
+        alone = [(0, text), *enumerate(plain, 10_000)]
+        copies = [(k, text) for k in range(3000)] + alone[1:]
+        near = [(k, f"{text} copy {k}") for k in range(3000)] + alone[1:]
+        for rows in ([(0, text)], alone, copies, near):
+            got = {r.n_guess for r in secrets.scan(docs_of(spark, rows)).collect() if r.doc_id < 10_000}
+            assert got == {1}, (text, len(rows))
+    # copies count once, near copies each, and words of the corpus stay cheap
+    ranks = secrets.dictionary(docs_of(spark, [(0, "harbour mole") for _ in range(50)] + list(enumerate(plain))))
+    assert "mole" not in ranks and "configuration" in ranks and ranks["password"] == 1
+    rows = [(1, "password: configuration"), *enumerate(plain, 10)]
+    assert {r.doc_id for r in secrets.scan(docs_of(spark, rows)).collect() if r.n_guess} == set()
+
+
 # -- language ---------------------------------------------------------------------------
 
 def test_codewords_differ():
