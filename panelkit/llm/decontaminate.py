@@ -3,19 +3,24 @@
 Items and documents are sets of word shingles (5 words; all words if there are fewer). A
 short item in a long document has a tiny Jaccard similarity, so items are partitioned by
 size (classes that double), and for each class that occurs documents are searched by
-overlapping windows in step with that class: an item that lies in a document lies in a
-window of at most three times its shingles. Within a class, containment 0.8 then means a
-Jaccard similarity of 0.25 at least, and ``BANDS`` bands of one minimum each, under a
-permutation of their own, miss such a pair with probability 0.75 ** 40 = 1e-5 at most.
-
-Windows none of whose minima occur in an item are dropped where they are made, by a Bloom
-filter of the items' minima (of fixed size, broadcast; a false positive only costs time).
-The rest meet the items by (class, band, minimum), and the exact shingles that an item
-shares with a document's candidate windows, counted once each, decide its containment.
+overlapping windows in step with that class, of at most three times the shingles of an item
+(n). ``BANDS`` bands of one minimum each, every one under a permutation of its own, find the
+candidates. The shingle that is an item's minimum lies in the document with probability
+0.8 at least, and is then the minimum of a window of up to 3 n shingles around it with
+probability n / 4 n at least, however many pieces the item is in and wherever they stand.
+So a band finds a contained item with probability 0.2, and all miss it with probability
+0.8 ** 52 = 1e-5 at most.
+
+Windows none of whose minima occur in an item give no keys (a Bloom filter of the items'
+minima, of fixed size, broadcast; a false positive only costs time). Keys meet the items'
+by (class, band, minimum). The shingles of the whole document that may be an item's (a
+second such filter) meet those of its candidate items by (document, shingle), as bytes;
+their number decides the containment.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +33,8 @@ from panelkit.llm.common import in_batches, table, written
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BANDS = 40
-#: log2 of the bits of the filter over the items' minima: 8 MB, whatever the tables hold.
+BANDS = 52
+#: log2 of the bits of each filter over the items: 8 MB, whatever the tables hold.
 FILTER_BITS = 26
 PROBES = 4
 #: Shingles of a document that are worked on at once.
@@ -127,8 +132,9 @@ def windows(hashes: np.ndarray, classes: list[int], bits: np.ndarray) -> Iterato
 
 
 def distinct_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(content, item_id, n, cls, keys): each item with its words as one string, its number
-    of distinct shingles, its class and keys. Items without words are left out."""
+    """(content, item_id, n, cls, keys, hashes): each item with its words as one string, its
+    number of distinct shingles, its class and keys, and the hashes of its shingles. Items
+    without words are left out."""
     kind = dict(items.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,13 +145,14 @@ def distinct_items(items: DataFrame, id_col: str = "item_id", text_col: str = "t
                     hashes = shingle_hashes(words)
                     n = len(set(shingles(words)))
                     rows.append({"item_id": i, "content": b" ".join(words), "n": n, "cls": size_class(n),
-                                 "keys": item_keys(hashes).view(np.int64)})
+                                 "keys": item_keys(hashes).view(np.int64),
+                                 "hashes": np.unique(hashes).view(np.int64)})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                 [("item_id", batch.schema.field(0).type), ("content", pa.binary()), ("n", pa.int64()),
-                 ("cls", pa.int32()), ("keys", pa.list_(pa.int64()))]))
+                 ("cls", pa.int32()), ("keys", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64()))]))
 
     return items.select(id_col, F.col(text_col).cast("string")).mapInArrow(
-        run, f"item_id {kind}, content binary, n bigint, cls int, keys array<bigint>")
+        run, f"item_id {kind}, content binary, n bigint, cls int, keys array<bigint>, hashes array<bigint>")
 
 
 def _filter_words(keys: DataFrame) -> np.ndarray:
@@ -177,13 +184,14 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     found = written(distinct_items(items, item_id_col, item_text_col))
-    names = found.select("content", F.col("item_id").alias("_item"))
+    names = found.select(F.sha2("content", 256).alias("item"), F.col("item_id").alias("_item"))
     unique = found.groupBy("content").agg(F.first("n").alias("n"), F.first("cls").alias("cls"),
                                           F.first("keys").alias("keys"))
     item_rows = unique.select("content", F.explode("keys").alias("key"))
     # One row for each doubling of the size of an item.
     classes = sorted(r.cls for r in found.select("cls").distinct().collect())
     bits = spark.sparkContext.broadcast(_filter_words(item_rows.select("key")))
+    parts = spark.sparkContext.broadcast(_filter_words(found.select(F.explode("hashes").alias("key"))))
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,43 +199,53 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = words_of(text.as_py())
-                for begin, length, keys in windows(shingle_hashes(words), classes, bits.value):
-                    rows.append({"id": i, "begin": begin, "length": length,
-                                 "passage": b" ".join(words[begin:begin + length + SHINGLE - 1]),
-                                 "keys": keys.view(np.int64)})
+                hashes = shingle_hashes(words)
+                span = min(SHINGLE, len(words))
+                keys = [k for _, _, k in windows(hashes, classes, bits.value)]
+                if keys:
+                    rows.append({"id": i, "keys": np.unique(np.concatenate(keys)).view(np.int64), "shingles": []})
+                # Of every row: rows of one id are one document, and may hold a piece each.
+                at = np.flatnonzero(_in_filter(hashes, parts.value)).tolist() if len(hashes) else []
+                for k in range(0, len(at), PIECE):
+                    rows.append({"id": i, "keys": [],
+                                 "shingles": list({b" ".join(words[j:j + span]) for j in at[k:k + PIECE]})})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-                [("id", batch.schema.field(0).type), ("begin", pa.int64()), ("length", pa.int64()),
-                 ("passage", pa.binary()), ("keys", pa.list_(pa.int64()))]))
+                [("id", batch.schema.field(0).type), ("keys", pa.list_(pa.int64())),
+                 ("shingles", pa.list_(pa.binary()))]))
 
     searched = written(in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
-        run, f"id {kind}, begin bigint, length bigint, passage binary, keys array<bigint>"))
-    window = ["id", "begin", "length"]
-    pairs = (searched.select(*window, F.explode("keys").alias("key")).join(item_rows, "key")
-             .select(*window, "content").distinct())
-    # The passage itself comes back once for each pair of a window and an item.
-    passages = searched.select(*[F.col(c).alias(f"_{c}") for c in window], "passage").dropDuplicates(
-        [f"_{c}" for c in window])
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in window]
-    pairs = pairs.join(passages, same[0] & same[1] & same[2]).select("id", "content", "passage")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, f"id {kind}, keys array<bigint>, shingles array<binary>"))
+    pairs = (searched.select("id", F.explode("keys").alias("key")).join(item_rows, "key")
+             .select("id", "content").distinct())
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, contents, place = [], [], []
-            for i, content, passage in zip(*(c.to_pylist() for c in batch.columns)):
-                there = set(shingles(passage.split()))
-                here = [k for k, s in enumerate(dict.fromkeys(shingles(content.split()))) if s in there]
-                ids += [i] * len(here)
-                contents += [content] * len(here)
-                place += here
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(contents, pa.binary()),
-                 pa.array(place, pa.int32())], ["id", "content", "place"])
-
-    shared = (pairs.mapInArrow(verify, f"id {kind}, content binary, place int").distinct()
-              .groupBy("id", "content").agg(F.count(F.lit(1)).alias("shared")))
-    return (shared.join(unique.select("content", "n"), "content")
-            .withColumn("containment", F.col("shared") / F.col("n"))
-            .filter(F.col("containment") >= containment).join(names, "content")
+            kind_of = batch.schema.field(0).type
+            ids, keys, sizes, own = [], [], [], []
+
+            def rows() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(ids, kind_of), pa.array(keys, pa.string()), pa.array(sizes, pa.int64()),
+                     pa.array(own, pa.binary())], ["id", "item", "n", "shingle"])
+
+            for i, content in zip(*(c.to_pylist() for c in batch.columns)):
+                item = hashlib.sha256(content).hexdigest()
+                some = dict.fromkeys(shingles(content.split()))
+                ids += [i] * len(some)
+                keys += [item] * len(some)
+                sizes += [len(some)] * len(some)
+                own += some
+                if len(own) >= PIECE:
+                    yield rows()
+                    ids, keys, sizes, own = [], [], [], []
+            yield rows()
+
+    there = searched.select(F.col("id").alias("_id"), F.explode("shingles").alias("_shingle"))
+    shared = (pairs.mapInArrow(wanted, f"id {kind}, item string, n bigint, shingle binary")
+              .join(there, F.col("id").eqNullSafe(F.col("_id")) & (F.col("shingle") == F.col("_shingle")), "left_semi")
+              .groupBy("id", "item", "n").agg(F.count(F.lit(1)).alias("shared")))
+    return (shared.withColumn("containment", F.col("shared") / F.col("n"))
+            .filter(F.col("containment") >= containment).join(names, "item")
             .select(F.col("id").alias(id_col), F.col("_item").alias("item_id"), "shared",
                     F.col("n").alias("item_shingles"), "containment"))
 

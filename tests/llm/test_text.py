@@ -310,6 +310,45 @@ def test_decontamination_against_brute_force(spark):
     assert got == brute_contained(docs, items)
 
 
+def test_items_split_over_a_document_are_found_and_counted_whole(spark):
+    rng = np.random.default_rng(5)
+    text = lambda n: [f"v{k}" for k in rng.integers(0, 100_000, n)]
+    items, docs = [], []
+    for n, pieces in ((33, 2), (55, 3), (1030, 8)):
+        for k in range(20):
+            item, doc = text(n + 4), text(400)
+            for part in np.array_split(np.array(item), pieces):
+                doc += [*part.tolist(), *text(4 * n)]
+            items.append((len(items), " ".join(item)))
+            docs.append((len(docs), " ".join(doc)))
+    # a piece in each of two rows of one id
+    words = items[0][1].split()
+    rows = docs + [(-1, " ".join(words[:18])), (-1, " ".join(words[18:])), (None, items[1][1])]
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {tuple(r)[:4] for r in decontaminate.contaminated(docs_of(spark, rows), frame).collect()}
+    want = brute_contained(docs, items)
+    assert len(want) == 60 and {i for _, i, _, _ in want} == set(range(60))
+    assert got == want | {(-1, 0, 29, 33), (None, 1, 33, 33)}
+
+
+@pytest.mark.parametrize("n, pieces", [(33, 1), (33, 2), (33, 6), (65, 12), (129, 25)])
+def test_bands_miss_split_items_as_rarely_as_stated(n, pieces):
+    # The share of bands that find an item of the least size of its class, 0.8 of it in pieces.
+    rng = np.random.default_rng(n * pieces)
+    everything = np.full(1 << (decontaminate.FILTER_BITS - 6), ~np.uint64(0))
+    cls, found = decontaminate.size_class(n), []
+    for _ in range(60):
+        item = rng.integers(0, 1 << 63, n, np.uint64)
+        fresh = lambda k: rng.integers(0, 1 << 63, k, np.uint64)
+        doc = [fresh(4 * n)]
+        for part in np.array_split(item[:-(-4 * n // 5)], pieces):
+            doc += [part, fresh(4 * n)]
+        keys = np.concatenate([k for _, _, k in decontaminate.windows(np.concatenate(doc), [cls], everything)])
+        found.append(np.isin(decontaminate.item_keys(item), keys).mean())
+    assert np.mean(found) > 0.2 - 0.02 and (1 - 0.2) ** decontaminate.BANDS < 1e-5
+    assert min(found) > 0
+
+
 def test_windows_cover_every_place():
     bits = np.full(1 << (decontaminate.FILTER_BITS - 6), ~np.uint64(0))
     for n in (1, 5, 40, 5000, 40_000):
