@@ -20,6 +20,7 @@ are equal in all of them. A NULL group key forms its own group (callers that fol
 
 from __future__ import annotations
 
+import os.path
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -67,6 +68,26 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
+def _exact(kind: T.DataType) -> bool:
+    """Whether different values always have different numbers."""
+    return (isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType, T.FloatType, T.DoubleType,
+                              T.DateType)) or isinstance(kind, T.DecimalType) and kind.precision <= 15)
+
+
+def _rest(df: DataFrame, name: str, low, high) -> Column | None:
+    """A double that never falls as the column rises from ``low`` to ``high``, all of whose
+    values have the same number; for what that number leaves out."""
+    kind, c = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c).cast("double")
+    if isinstance(kind, (T.LongType, T.DecimalType)):
+        return F.try_subtract(c, F.lit(low).cast(kind)).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        same = len(os.path.commonprefix([bytes(low), bytes(high)]))
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), same + 1, 6)), 12, "0"), 16, 10).cast("double")
+    return None
+
+
 def _tree(x: Column, cuts: list[float], base: int = 0) -> Column:
     """base + the number of cuts that are <= x, by binary search; x is not NULL."""
     if not cuts:
@@ -79,9 +100,11 @@ def _tree(x: Column, cuts: list[float], base: int = 0) -> Column:
 def order_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> Column:
     """An expression that cuts the order of the rows into ranges of similar size.
 
-    A value of the first order column that fills several ranges by itself is cut further
-    by the second one. Bounds are literals from one aggregate (two if there are such
-    values); they only balance the ranges and never decide a result.
+    A number of the first order column that fills several ranges by itself is cut further:
+    by the second column if a single value has it, else by what the number leaves out of
+    the first one (later bytes, the time of day, low digits). Bounds are literals from one
+    aggregate (up to three if there are such numbers); they only balance the ranges and
+    never decide a result.
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(1, min(n, MAX_BUCKETS))
@@ -93,15 +116,33 @@ def order_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None
     cuts = sorted(set(got))
     heavy = {v: got.count(v) for v in cuts if got.count(v) > 1}
     out = F.when(first.isNull(), F.lit(len(cuts) + 1)).otherwise(_tree(first, cuts)).cast("long") * F.lit(2 * n)
-    second = _as_number(df, order[1]) if heavy and len(order) > 1 else None
-    if second is None:
+    if not heavy:
+        return out
+    second = _as_number(df, order[1]) if len(order) > 1 else None
+    inner_of = {v: second for v in heavy}
+    kind = df.schema[order[0]].dataType
+    if not _exact(kind):
+        full = F.col(order[0])
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            full = full.cast("binary")               # by bytes, as the order is
+        ends = df.select(first.alias("_v"), full.alias("_f")).filter(F.col("_v").isin(list(heavy)))
+        for v, low, high in ends.groupBy("_v").agg(F.min("_f"), F.max("_f")).collect():
+            if low != high:
+                inner_of[v] = _rest(df, order[0], low, high)
+    if not any(c is not None for c in inner_of.values()):
         return out
-    rows = df.select(first.alias("_v"), second.alias("_w")).filter(F.col("_v").isin(list(heavy)))
+    by_value = None
+    for v, c in inner_of.items():
+        c = F.lit(None).cast("double") if c is None else c
+        by_value = F.when(first == F.lit(v), c) if by_value is None else by_value.when(first == F.lit(v), c)
+    rows = df.select(first.alias("_v"), by_value.alias("_w")).filter(F.col("_v").isin(list(heavy)))
     within = None
     for r in rows.groupBy("_v").agg(F.percentile_approx("_w", probs, ACCURACY)).collect():
+        inner_number = inner_of[r[0]]
         step = max(1, n // (heavy[r[0]] + 1))           # as many ranges as the value fills
         inner = sorted(set((r[1] or [])[step - 1::step]))
-        sub = F.when(second.isNull(), F.lit(len(inner) + 1)).otherwise(_tree(second, inner))
+        sub = F.lit(0) if inner_number is None else F.when(
+            inner_number.isNull(), F.lit(len(inner) + 1)).otherwise(_tree(inner_number, inner))
         hit = first == F.lit(r[0])
         within = F.when(hit, sub) if within is None else within.when(hit, sub)
     # rows beyond the heavy value but within its range come after all its sub-ranges

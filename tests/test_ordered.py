@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelkit.operators.ordered import exact_quantiles, global_rank, ordered_scan
+from panelkit.operators.ordered import exact_quantiles, global_rank, order_bucket, ordered_scan
 
 
 def _frame(spark, n=3000, seed=0, hot_share=0.4):
@@ -215,3 +215,25 @@ def test_approx_quantiles_scale_option(spark):
     assert (a["n"].to_numpy() == e["n"].to_numpy()).all()
     # within the sketch's rank error of the exact answer (values are ~N(0, 1))
     assert np.abs(a["med"].to_numpy() - e["med"].to_numpy()).max() < 0.25
+
+
+@pytest.mark.parametrize("kind", ["iso", "long_prefix", "one_string", "timestamp_ntz", "timestamp", "long", "decimal"])
+def test_lossy_first_columns_keep_their_order(spark, kind):
+    value = {"iso": "date_format(date_add(date'2020-01-01', int(k)), 'yyyy-MM-dd')",
+             "long_prefix": "concat('a/very/long/prefix/', lpad(k, 4, '0'))",
+             "one_string": "if(k < 200, 'ACTIVE and well', 'CLOSED')",
+             "timestamp_ntz": "timestampadd(SECOND, int(k), timestamp_ntz'2020-01-05 00:00:01')",
+             "timestamp": "timestampadd(MICROSECOND, int(k), timestamp'2900-01-05 00:00:00')",
+             "long": "9007199254740992 + k",
+             "decimal": "cast(12345678901234567890 as decimal(38, 4)) + k / 1000"}[kind]
+    df = spark.range(4000).selectExpr("id", "(id * 7919) % 211 AS k", "(id * 104729) % 4001 AS x").selectExpr(
+        f"IF(id % 97 = 0, NULL, {value}) AS o", "x", "id")
+    by = W.partitionBy().orderBy(F.col("o").asc_nulls_last(), F.col("x"), F.col("id"))
+    want = df.select("id", (F.row_number().over(by) - 1).alias("rank"), F.lag("x").over(by).alias("before"),
+                     F.sum("x").over(by.rowsBetween(W.unboundedPreceding, 0)).alias("run"))
+    for buckets in (4, 64):
+        got = ordered_scan(df, [], ["o", "x"], rank="rank", lag={"before": "x"}, cumsum={"run": "x"}, buckets=buckets)
+        assert sorted(map(tuple, got.select("id", "rank", "before", "run").collect())) == sorted(map(tuple, want.collect()))
+    if kind != "timestamp":
+        cut = df.filter("o IS NOT NULL").select(order_bucket(df, ["o", "x"], 64).alias("b"))
+        assert cut.distinct().count() > 10
