@@ -8,7 +8,7 @@ how well its classifier separates the training texts. Where the runner-up is clo
 is flagged as ambiguous.
 
 The fit takes a bounded sample of the labelled rows (``per_language`` of each language at
-most, all if there are fewer; at most ``MAX_LANGUAGES`` languages, the most frequent ones).
+most, all if there are fewer; more than ``MAX_LANGUAGES`` languages are an error).
 Their n-gram counts are summed by Spark; the model, one weight per bit and bucket, is
 broadcast and every text is scored whole, in tasks.
 """
@@ -105,14 +105,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           per_language: int = PER_LANGUAGE, bits: int = BITS) -> Model:
-    """Fit on rows with a language that are not held out."""
+    """Fit on rows with a language that are not held out; more than ``MAX_LANGUAGES``
+    languages are an error, as none may be left out."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).cast("string").alias("text")).filter("lang IS NOT NULL").filter(~held_out("id"))
-    top = (rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)).collect()
-    languages = sorted(r.lang for r in top)
+    languages = sorted(r.lang for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if len(languages) < 2:
         return Model(languages, codewords(len(languages)), np.zeros((1 << bits, 0)), *[np.zeros(0)] * 3)
-    sample = written(bounded_sample(rows.filter(F.col("lang").isin(languages)), "lang", "id", per_language)
+    sample = written(bounded_sample(rows, "lang", "id", per_language)
                      .select("lang", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -203,6 +203,12 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
 
 
+def test_too_many_languages_are_an_error(spark):
+    docs = docs_of(spark, [(k, f"text {k}") for k in range(4 * language.MAX_LANGUAGES)])
+    with pytest.raises(ValueError, match="languages"):
+        language.train(docs.withColumn("lang", F.col("doc_id").cast("string")))
+
+
 def test_language_flags_mixed_texts(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     model = language.train(docs)
