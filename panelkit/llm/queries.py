@@ -17,6 +17,9 @@ OPERATORS = {
     "op8_decontamination": "decontaminate",
     "op9_bpe": "bpe",
     "op10_simhash": "simhash",
+    "op11_whitening": "whitening",
+    "op12_byte_bpe": "byte_bpe",
+    "op13_runs": "runs",
 }
 
 

@@ -24,7 +24,7 @@ def con():
 
 def test_every_operator_is_registered():
     found = {key.split("_")[0] for key in queries.queries()}
-    assert found == {f"op{n}" for n in range(1, 11)}
+    assert found == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("key", sorted(queries.oracle_sql()))
