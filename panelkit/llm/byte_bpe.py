@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
 The pattern of the vocabulary cuts a text into pieces. Every byte of a piece becomes one
-printable character (the byte alphabet), and the library merges the pieces of a batch that
-the worker does not know yet, in one call; what it found is kept by piece, in a cache of
+printable character (the byte alphabet), and the library's BPE model merges the pieces of a
+batch that the worker does not know yet; what it found is kept by piece, in a cache of
 bounded size. Decoding goes the other way through the byte table: the bytes of all tokens
 stand one after the other, with an offset for each, and a text is gathered from there as
 bytes, so that a character whose bytes lie in several tokens comes out whole.
@@ -11,8 +11,8 @@ Ranks give no merges, only tokens. Two neighbours merge if their bytes together
 token, lowest rank first, the left one of equals; so every way to cut a token in two
 tokens is a merge for the library, in rank order. A piece that is a token as a whole is
 that token. The library knows no equal ranks: where two cuts of one token can overlap in a
-text ("ere" in "erere"), its order could differ, so a piece that holds such a token is
-merged by :meth:`ByteBpe.merge` instead (tested to be the same elsewhere).
+text ("ere" in "erere"), its order could differ, so a piece that holds such a sequence
+(:meth:`ByteBpe.order_matters`) is merged by :meth:`ByteBpe.merge` instead.
 
 The rank file is read once on the driver and broadcast; its size is that of the file.
 """
@@ -22,8 +22,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -50,7 +52,7 @@ class ByteBpe:
     """Tables of one rank file, with an exact encoder and decoder."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        from tokenizers import Tokenizer, models
+        from tokenizers import models
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every byte must be a token")
         self.ranks = ranks
@@ -59,12 +61,14 @@ class ByteBpe:
         self._to_char = str.maketrans({chr(b): c for b, c in enumerate(alphabet)})
         by_rank = sorted(ranks, key=ranks.__getitem__)
         cuts = [(t[:k], t[k:]) for t in by_rank for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-        self.library = Tokenizer(models.BPE(
-            vocab={self._mapped(t): i for t, i in ranks.items()}, ignore_merges=True,
-            merges=[(self._mapped(a), self._mapped(b)) for a, b in cuts]))
-        self.library.encode_special_tokens = True
-        tied = set(self._overlapping(cuts))
-        self._tied = regex.compile(b"|".join(map(regex.escape, sorted(tied))) or b"(?!)").search
+        self.library = models.BPE(      # without a cache: pieces that come again are kept here
+            vocab={self._mapped(t): i for t, i in ranks.items()}, ignore_merges=True, cache_capacity=0,
+            merges=[(self._mapped(a), self._mapped(b)) for a, b in cuts])
+        self._tied = ahocorasick.Automaton()
+        overlaps, often = self.order_matters(cuts)
+        for part in overlaps | often:
+            self._tied.add_word(self._mapped(part), "" if part in overlaps else self._mapped(part))
+        self._tied.make_automaton()
         # Decoding: the bytes of all tokens one after the other, and where each begins.
         size = np.zeros(max(ranks.values()) + 2, np.int64)
         for token, i in ranks.items():
@@ -77,15 +81,26 @@ class ByteBpe:
         """One printable character for each byte."""
         return token.decode("latin-1").translate(self._to_char)
 
-    def _overlapping(self, cuts: list[tuple[bytes, bytes]]) -> Iterator[bytes]:
-        """Tokens that two different cuts can make at two places that overlap: the right
-        part of the one is the left part of the other."""
+    def order_matters(self, cuts: list[tuple[bytes, bytes]]) -> tuple[set[bytes], set[bytes]]:
+        """Without one of the first sequences, or one of the second twice, a piece gets the
+        same tokens in whatever order the library takes the cuts of one token: two different
+        cuts of it that share their middle part; tokens with several cuts that lead on to a
+        token of lower rank."""
         lefts: dict[bytes, set[bytes]] = {}
         for a, b in cuts:
             lefts.setdefault(a + b, set()).add(a)
-        for a, b in cuts:
-            if a != b and b in lefts[a + b] and (a + b).startswith(b):
-                yield a + b
+        overlaps = {a + b + (a + b)[len(b):] for a, b in cuts if a != b and b in lefts[a + b]}
+        often = {part for a, b in cuts for part in (a, b)
+                 if len(lefts.get(part, ())) > 1 and self.ranks[part] > self.ranks[a + b]}
+        return overlaps, often
+
+    def _order_matters_in(self, mapped: str) -> bool:
+        seen = set()
+        for _, part in self._tied.iter(mapped):
+            if not part or part in seen:
+                return True
+            seen.add(part)
+        return False
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece: merge the neighbours of lowest rank, the leftmost first."""
@@ -118,13 +133,17 @@ class ByteBpe:
         return [self.ranks[piece[at:ends[at]]] for at in range(len(piece)) if alive[at]]
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, as little-endian unsigned 32-bit integers, by one library call."""
-        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
-        tied = [r not in self.ranks and self._tied(r) is not None for r in raw]
-        found = iter(self.library.encode_batch_fast(
-            [self._mapped(r) for r, t in zip(raw, tied) if not t], add_special_tokens=False))
-        return {p: np.array(self.merge(r) if t else next(found).ids, "<u4").tobytes()
-                for p, r, t in zip(pieces, raw, tied)}
+        """Ids of pieces, as little-endian unsigned 32-bit integers."""
+        out = {}
+        for piece in pieces:
+            raw = piece.encode("utf-8", "surrogatepass")
+            mapped = self._mapped(raw)
+            if raw in self.ranks or not self._order_matters_in(mapped):
+                ids = [token.id for token in self.library.tokenize(mapped)]
+            else:
+                ids = self.merge(raw)
+            out[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
