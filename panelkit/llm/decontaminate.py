@@ -11,11 +11,14 @@ probability n / 4 n at least, however many pieces the item is in and wherever th
 So a band finds a contained item with probability 0.2, and all miss it with probability
 0.8 ** 52 = 1e-5 at most.
 
-Windows none of whose minima occur in an item give no keys (a Bloom filter of the items'
-minima, of fixed size, broadcast; a false positive only costs time). Keys meet the items'
-by (class, band, minimum). The shingles of the whole document that may be an item's (a
-second such filter) meet those of its candidate items by (document, shingle), as bytes;
-their number decides the containment.
+Documents are hashed many at a time, in arrays. A band's minimum is a shingle of the item,
+so stretches of a document without a shingle of any item (a Bloom filter of the items'
+shingles, broadcast; a false positive only costs time) give no keys and need no windows;
+nor do windows none of whose minima are an item's (a second filter). Both filters grow with
+the items, up to a bound of 32 MB each; beyond it they let more through, and lose nothing.
+Keys meet the items' by (class, band, minimum). The shingles of the whole document that may
+be an item's meet those of its candidate items by (document, shingle), as bytes; their
+number decides the containment.
 """
 
 from __future__ import annotations
@@ -30,13 +33,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import in_batches, table, written
+from panelkit.llm.substring_dedup import edge_hashes
 
 SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS = 52
-#: log2 of the bits of each filter over the items: 8 MB, whatever the tables hold.
-FILTER_BITS = 26
+#: log2 of the bits of each filter over the items: 8 MB, and up to 32 MB for many items.
+FILTER_BITS, MOST_FILTER_BITS = 26, 28
 PROBES = 4
+#: Bytes of text that are hashed at once, and words of a text that is longer than that.
+HASH_BYTES, HASH_WORDS = 1 << 20, 1 << 17
 #: Shingles of a document that are worked on at once.
 PIECE = 1 << 14
 
@@ -52,15 +58,34 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def shingle_hashes(words: list[bytes], n: int = SHINGLE) -> np.ndarray:
-    """XXH64 of every shingle in order (one of all words if there are fewer than ``n``)."""
+    """A hash of every shingle in order (one of all words if there are fewer than ``n``)."""
     if not words:
         return np.zeros(0, np.uint64)
-    joined = memoryview(b" ".join(words))
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    span = min(n, len(words)) - 1
-    return np.array([xxhash.xxh64_intdigest(joined[a:b]) for a, b in
-                     zip(starts[:len(words) - span].tolist(), ends[span:].tolist())], np.uint64)
+    if len(words) < n:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words))], np.uint64)
+    return np.concatenate([edge_hashes([b" ".join(words[at:at + HASH_WORDS + n - 1])], n)[0].view(np.uint64)
+                           for at in range(0, len(words) - n + 1, HASH_WORDS)])
+
+
+def hashed_texts(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """(text index, hashes) of the lower-case texts that have words, many texts at a time."""
+    at = 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= HASH_BYTES):
+            size += len(texts[stop])
+            stop += 1
+        if size > HASH_BYTES:
+            yield at, shingle_hashes(texts[at].split())
+        else:
+            hashes, owner, _ = edge_hashes(texts[at:stop], SHINGLE)
+            edge = np.searchsorted(owner, np.arange(stop - at + 1))
+            for k in range(stop - at):
+                own = hashes[edge[k]:edge[k + 1]].view(np.uint64)
+                own = own if len(own) else shingle_hashes(texts[at + k].split())
+                if len(own):
+                    yield at + k, own
+        at = stop
 
 
 def shingles(words: list[bytes], n: int = SHINGLE) -> list[bytes]:
@@ -88,17 +113,18 @@ def item_keys(hashes: np.ndarray) -> np.ndarray:
     return _keys(_permuted(hashes).min(1, keepdims=True), size_class(len(np.unique(hashes))))[:, 0]
 
 
-def _places(keys: np.ndarray, probe: int) -> np.ndarray:
-    """Bit of the filter that ``probe`` looks at."""
+def _places(keys: np.ndarray, probe: int, log: int) -> np.ndarray:
+    """Bit of a filter of 2 ** ``log`` bits that ``probe`` looks at."""
     step = (keys >> np.uint64(32)) | np.uint64(1)
-    return (keys + np.uint64(probe) * step * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)
+    return (keys + np.uint64(probe) * step * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - log)
 
 
 def _in_filter(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     hit = np.arange(keys.size)
     flat = keys.ravel()
+    log = len(bits).bit_length() + 5
     for probe in range(PROBES):
-        at = _places(flat[hit], probe)
+        at = _places(flat[hit], probe, log)
         hit = hit[(bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
         if not len(hit):
             break
@@ -107,8 +133,10 @@ def _in_filter(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return found.reshape(keys.shape)
 
 
-def windows(hashes: np.ndarray, classes: list[int], bits: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first shingle, shingles, keys) of each window with a minimum that is in the filter."""
+def windows(hashes: np.ndarray, classes: list[int], bits: np.ndarray,
+            hits: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first shingle, shingles, keys) of each window with a minimum that is in the filter;
+    with ``hits`` (places of shingles, ascending) only from stretches that hold one."""
     strides = [max(1, (1 << c) // 2) for c in classes]
     if not len(hashes) or not classes:
         return
@@ -116,6 +144,8 @@ def windows(hashes: np.ndarray, classes: list[int], bits: np.ndarray) -> Iterato
     piece = max(1, PIECE // last) * last
     for begin in range(0, max(1, len(hashes) - 2 * last), piece):
         part = hashes[begin:begin + piece + 2 * last]
+        if hits is not None and np.searchsorted(hits, begin) == np.searchsorted(hits, begin + len(part)):
+            continue
         permuted = _permuted(part)
         for cls, stride in zip(classes, strides):
             # Classes double: coarser blocks are minima of the finer ones.
@@ -156,17 +186,20 @@ def distinct_items(items: DataFrame, id_col: str = "item_id", text_col: str = "t
 
 
 def _filter_words(keys: DataFrame) -> np.ndarray:
-    """The Bloom filter as 64-bit words, joined by Spark; at most 2**20 rows come back."""
+    """The Bloom filter of a column of keys as 64-bit words, joined by Spark; its size follows
+    from the number of keys, and at most 2**22 rows come back."""
+    log = int(np.clip((10 * keys.count()).bit_length(), FILTER_BITS, MOST_FILTER_BITS))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            at = np.concatenate([_places(k, probe) for probe in range(PROBES)])
+            at = np.concatenate([_places(k, probe, log) for probe in range(PROBES)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array((at >> np.uint64(6)).astype(np.int64)),
                  pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["word", "bit"])
 
     got = keys.mapInArrow(run, "word bigint, bit bigint").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits = np.zeros(1 << (log - 6), np.uint64)
     bits[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     return bits
 
@@ -197,18 +230,21 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = words_of(text.as_py())
-                hashes = shingle_hashes(words)
-                span = min(SHINGLE, len(words))
-                keys = [k for _, _, k in windows(hashes, classes, bits.value)]
+            ids = batch.column(0).to_pylist()
+            texts = [(t or "").lower().encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+            for k, hashes in hashed_texts(texts):
+                at = np.flatnonzero(_in_filter(hashes, parts.value))
+                if not len(at):
+                    continue
+                keys = [k for _, _, k in windows(hashes, classes, bits.value, at)]
                 if keys:
-                    rows.append({"id": i, "keys": np.unique(np.concatenate(keys)).view(np.int64), "shingles": []})
+                    rows.append({"id": ids[k], "keys": np.unique(np.concatenate(keys)).view(np.int64), "shingles": []})
                 # Of every row: rows of one id are one document, and may hold a piece each.
-                at = np.flatnonzero(_in_filter(hashes, parts.value)).tolist() if len(hashes) else []
-                for k in range(0, len(at), PIECE):
-                    rows.append({"id": i, "keys": [],
-                                 "shingles": list({b" ".join(words[j:j + span]) for j in at[k:k + PIECE]})})
+                words, at = texts[k].split(), at.tolist()
+                span = min(SHINGLE, len(words))
+                for p in range(0, len(at), PIECE):
+                    rows.append({"id": ids[k], "keys": [],
+                                 "shingles": list({b" ".join(words[j:j + span]) for j in at[p:p + PIECE]})})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                 [("id", batch.schema.field(0).type), ("keys", pa.list_(pa.int64())),
                  ("shingles", pa.list_(pa.binary()))]))

@@ -378,3 +378,34 @@ def test_decontamination_odd_rows(spark):
     none = spark.createDataFrame([], "item_id int, text string")
     assert decontaminate.contaminated(odd_docs(spark), none).count() == 0
     assert decontaminate.contaminated(empty_docs(spark), items).count() == 0
+
+
+def test_stretches_without_an_items_shingle_are_skipped():
+    rng = np.random.default_rng(8)
+    bits = np.full(1 << (decontaminate.FILTER_BITS - 6), ~np.uint64(0))
+    hashes = rng.integers(0, 1 << 63, 100_000, np.uint64)
+    hits = np.array([40_000])
+    some = list(decontaminate.windows(hashes, [3, 5], bits, hits))
+    every = {(a, n): k.tolist() for a, n, k in decontaminate.windows(hashes, [3, 5], bits)}
+    assert all(every[a, n] == k.tolist() for a, n, k in some) and len(some) < len(every) / 4
+    held = {(a, n) for a, n in every if a <= 40_000 < a + n}
+    assert held <= {(a, n) for a, n, _ in some}
+
+
+def test_hashes_of_many_texts_are_those_of_each(monkeypatch):
+    texts = [t.encode() for t in random_texts(31, 60)] + [b"", b" ", b"a b", "é  日本\x0bx y z".encode(), b"w " * 900]
+    want = {k: decontaminate.shingle_hashes(t.split()).tolist() for k, t in enumerate(texts) if t.split()}
+    for size in (100, 1_000, 1 << 20):
+        monkeypatch.setattr(decontaminate, "HASH_BYTES", size)
+        monkeypatch.setattr(decontaminate, "HASH_WORDS", size // 10)
+        assert {k: h.tolist() for k, h in decontaminate.hashed_texts(texts)} == want
+
+
+def test_filter_grows_with_the_items(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 10)
+    monkeypatch.setattr(decontaminate, "MOST_FILTER_BITS", 14)
+    for n, size in ((3, 1 << 4), (300, 1 << 6), (100_000, 1 << 8)):
+        keys = spark.range(n).select(F.xxhash64("id").alias("key"))
+        bits = decontaminate._filter_words(keys)
+        own = keys.toArrow()["key"].to_numpy().view(np.uint64)
+        assert len(bits) == size and decontaminate._in_filter(own, bits).all()
