@@ -11,9 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from panelkit.functions import cleaning as C
 from panelkit.functions.scalar import month_end, quarter_index, safe_ratio_growth, tobins_q
@@ -93,13 +92,14 @@ def semi_membership(df: DataFrame, kept: DataFrame, on: Sequence[str]) -> DataFr
     return df.join(kept, on=list(on), how="left_semi")
 
 
+#: Periods that one word of a calendar bitmap holds (a bigint without its upper bits).
+WORD = 60
+
+
 def initial_run_years(df: DataFrame, by: str = "permno", date_col: str = "public_date",
                       max_years: int = MAX_YEARS) -> DataFrame:
-    """Rows in the first unbroken run of calendar years of each firm, at most ``max_years``.
-
-    The window runs over distinct (firm, year) pairs, so a firm has at most one row per
-    calendar year there however many rows it has; the kept pairs are semi-joined back.
-    """
+    """Rows in the first unbroken run of calendar years of each firm, at most ``max_years``
+    (1 to 60). See :func:`first_run`."""
     return _initial_run(df, by, F.year(F.col(date_col)), max_years)
 
 
@@ -109,15 +109,44 @@ def initial_run_quarters(df: DataFrame, by: str = "permno", date_col: str = "pub
     return _initial_run(df, by, quarter_index(date_col), max_quarters)
 
 
+def first_run(df: DataFrame, by: str, period: Column, limit: int) -> DataFrame:
+    """(by, first, length): per key the first period and the length of the unbroken run that
+    begins there, at most ``limit`` periods.
+
+    Each key has a bitmap of its periods in words of 60: a hash aggregate that is combined on
+    the map side sets the bits, whatever the number of rows and the span of the periods. A run
+    of at most 60 periods lies in the first word that has a bit and the word after it, so a
+    second aggregate, over words, keeps those two; the run is the lowest set bits from the
+    first one on. Rows without a key or a period count nowhere.
+    """
+    if not 1 <= limit <= WORD:
+        raise ValueError(f"a run is limited to 1 to {WORD} periods")
+    per = period.cast("bigint")
+    word = F.floor(per / WORD).cast("bigint")
+    words = (df.select(F.col(by), word.alias("_w"), F.pmod(per, F.lit(WORD)).cast("int").alias("_b"))
+             .filter(F.col(by).isNotNull() & F.col("_w").isNotNull())
+             .groupBy(by, "_w").agg(F.bit_or(F.expr("shiftleft(1L, _b)")).alias("_bits")))
+    # Each word also stands as the upper half of the word before it.
+    nothing = F.lit(0).cast("bigint")
+    halves = words.select(by, F.inline(F.array(
+        F.struct(F.col("_w"), F.col("_bits").alias("_low"), nothing.alias("_high")),
+        F.struct((F.col("_w") - 1).alias("_w"), nothing.alias("_low"), F.col("_bits").alias("_high")))))
+    both = halves.groupBy(by, "_w").agg(F.bit_or("_low").alias("_low"), F.bit_or("_high").alias("_high"))
+    first = both.filter("_low <> 0").groupBy(by).agg(
+        F.min("_w").alias("_w"), F.min_by("_low", "_w").alias("_low"), F.min_by("_high", "_w").alias("_high"))
+    # Zeros below the lowest bit, then ones above it; no number here uses the sign bit.
+    first = first.withColumn("_z", F.expr("bit_count(~_low & (_low - 1))"))
+    ones = f"((shiftrightunsigned(_low, _z) | shiftleft(_high, {WORD} - _z)) & {(1 << WORD) - 1}L)"
+    length = F.expr(f"bit_count({ones} & ~({ones} + 1))")
+    return first.select(by, (F.col("_w") * WORD + F.col("_z")).alias("first"),
+                        F.least(length, F.lit(limit)).alias("length"))
+
+
 def _initial_run(df: DataFrame, by: str, period, limit: int) -> DataFrame:
-    tagged = df.withColumn("_per", period)
-    periods = tagged.select(by, "_per").filter(F.col("_per").isNotNull()).distinct()
-    w = W.partitionBy(by).orderBy("_per")
-    keep = (periods.withColumn("_dr", F.dense_rank().over(w))
-            .withColumn("_p0", F.min("_per").over(W.partitionBy(by)))
-            .filter((F.col("_per") - F.col("_p0") == F.col("_dr") - 1) & (F.col("_dr") <= limit))
-            .select(by, "_per"))
-    return semi_membership(tagged, keep, [by, "_per"]).drop("_per")
+    run = first_run(df, by, period, limit).withColumnRenamed(by, "_firm")
+    per = period.cast("bigint")
+    keep = (F.col(by) == F.col("_firm")) & (per >= F.col("first")) & (per < F.col("first") + F.col("length"))
+    return df.join(run, keep, "left_semi")
 
 
 def revenue_growth(df: DataFrame, by: str = "permno", order: str = "public_date",

@@ -2,8 +2,8 @@
 
 Interval joins are equi-joins on the firm or company key with a residual range
 predicate; Spark plans them as hash or sort-merge joins (AQE broadcasts a side that is
-small at run time and splits skewed keys); events and intervals also meet by calendar year,
-so a key with many of both forms no quadratic number of pairs. "First row per firm" is a
+small at run time and splits skewed keys); events and intervals meet in a dyadic index over
+days, so a key with many of both forms no quadratic number of pairs. "First row per firm" is a
 hash aggregate of the order column, then a rank among the rows that reach the extreme.
 """
 
@@ -18,9 +18,14 @@ from pyspark.sql.window import Window as W
 
 from panelkit.functions import cleaning as C
 from panelkit.functions.scalar import add_years, coalesce_pref
+from panelkit.operators.intervals import date_interval_join, days_of
 from panelkit.operators.ordered import _ORDERABLE
 
 
+#: First and last date that there is, and log2 of the days of a leaf for windows of years.
+DATES = ("0001-01-01", "9999-12-31")
+YEARS_LEAF = 8
+
 _PRIMITIVE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
@@ -82,15 +87,13 @@ def year_range(df: DataFrame, date_col: str) -> tuple[int, int] | None:
 
 
 def _validity_join(events, names, date_col, key, names_key, how, open_start, bucketed, years=None):
-    n = names
-    years = (years or year_range(events, date_col)) if bucketed else None
-    if years:
-        n = year_buckets(names, "namedt", "nameenddt", *years)
-    n = n.withColumnRenamed(names_key, "_nk")
+    if bucketed:
+        days = years and days_of(f"{years[0]:04d}-01-01", f"{years[1]:04d}-12-31")
+        return date_interval_join(events, names, date_col, key, names_key, "namedt", "nameenddt", how,
+                                  open_start, days)
+    n = names.withColumnRenamed(names_key, "_nk")
     cond = (F.col(key) == F.col("_nk")) & valid_on(n, F.col(date_col), open_start=open_start)
-    if years:
-        cond = cond & (F.year(F.col(date_col)) == F.col("_yb"))
-    return events.join(n, cond, how).drop("_nk", "_yb")
+    return events.join(n, cond, how).drop("_nk")
 
 
 def validity_join_left(events: DataFrame, names: DataFrame, date_col: str,
@@ -98,10 +101,10 @@ def validity_join_left(events: DataFrame, names: DataFrame, date_col: str,
                        bucketed: bool = True, years: tuple[int, int] | None = None) -> DataFrame:
     """Attach the names row valid on the event date (LEFT; namedt must be known).
 
-    ``bucketed`` adds the event's calendar year to the equi-join key (each interval is
-    repeated for the years it covers), so pairs are formed only within (key, year), also
-    for keys with many events *and* many intervals. ``years`` gives the events' first and
-    last year if they are known; otherwise one aggregate finds them. Same result without.
+    ``bucketed`` joins by the dyadic index of :mod:`panelkit.operators.intervals`, so pairs
+    are formed only where an interval holds a date, also for keys with many events *and* many
+    intervals. ``years`` gives the events' first and last year if they are known; otherwise
+    one aggregate finds them. Same result without.
     """
     return _validity_join(events, names, date_col, key, names_key, "left", False, bucketed, years)
 
@@ -159,14 +162,16 @@ def delist_within_years(ipo_df: DataFrame, delist_df: DataFrame, years: int = 5,
 
     Inner join on permno (no uniqueness enforced: trap T6); name and ticker prefer the
     IPO side; keep ipo <= delist <= ipo + years; ordered by ipo date, delist date, permno
-    (``ordered=False`` skips the global sort when the result only feeds a join).
+    (``ordered=False`` skips the global sort when the result only feeds a join). IPO windows
+    and delistings meet in the dyadic index, so a firm with many of both forms no pairs
+    beyond those that overlap (up to a leaf of 256 days).
     """
     i = C.standardize_ipo(ipo_df)
     d = C.standardize_delist(delist_df)
-    m = i.join(d, on="permno", how="inner")
-    m = m.filter(F.col("delist_date").isNotNull() & F.col("ipo_date").isNotNull()
-                 & (F.col("delist_date") >= F.col("ipo_date"))
-                 & (F.col("delist_date") <= add_years("ipo_date", years)))
+    i = i.filter(F.col("ipo_date").isNotNull()).withColumn("_last", add_years("ipo_date", years))
+    i = i.withColumnRenamed("permno", "_firm")
+    m = date_interval_join(d, i, "delist_date", "permno", "_firm", "ipo_date", "_last",
+                           days=days_of(*DATES), leaf=YEARS_LEAF, span=366 * years).drop("_last")
     out = [F.col("permno"), coalesce_pref("comnam", "comnam_delist").alias("comnam"),
            coalesce_pref("ticker", "ticker_delist").alias("ticker"), F.col("ipo_date"),
            F.col("delist_date")]
