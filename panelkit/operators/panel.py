@@ -19,6 +19,7 @@ from panelkit.functions.scalar import month_end, quarter_index, safe_ratio_growt
 from panelkit.operators.ordered import ordered_scan
 from panelkit.operators.universe import year_buckets, year_range
 from panelkit.session import cut_lineage
+from panelkit.sources.bucketed import FirmLayout, per_firm, stored
 from panelkit.sources.fallback import fallback_by_key
 
 # Days in the post-IPO window (5 x 365) and calendar years kept.
@@ -265,9 +266,8 @@ def panel_stages(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
     shares = fallback_by_key(
         [event_window_join(events, s.select("permno", F.col("date").alias("datadate"), "shrout"),
                            "datadate", days).drop("ipo_date") for s in src.shares], "permno")
-    m = month_end_left_join(st["years"], price, ["prcc_c", "pstk"])
-    m = month_end_left_join(m, liab, ["total_liabilities"])
-    st["month_end"] = month_end_left_join(m, shares, ["shrout"])
+    st.update(price=price, liab=liab, shares=shares)
+    st["month_end"] = join_month_end(st["years"], price, liab, shares)
     st["tobinq"] = add_tobins_q(st["month_end"])
     st["growth"] = growth_scan(st["tobinq"], "permno", "public_date",
                                revenue_out="revenue_growth",
@@ -301,6 +301,25 @@ def _fact_union(src: FactSources) -> DataFrame:
     return out
 
 
+def join_month_end(panel: DataFrame, price: DataFrame, liab: DataFrame, shares: DataFrame) -> DataFrame:
+    """J8 for all month-end facts. On tables written by firm no row is shuffled."""
+    m = month_end_left_join(panel, price, ["prcc_c", "pstk"])
+    m = month_end_left_join(m, liab, ["total_liabilities"])
+    return month_end_left_join(m, shares, ["shrout"])
+
+
+def join_facts(base: DataFrame, facts: DataFrame) -> DataFrame:
+    """The facts of each kind to the panel rows. On tables written by firm
+    (:mod:`panelkit.sources.bucketed`) none of the five joins shuffles a row."""
+    def kind(k, *cols):
+        return facts.filter(F.col("_kind") == k).select("permno", "datadate", *cols)
+
+    panel = exact_date_left_join(base, kind("assets", "total_assets"), ["total_assets"])
+    panel = exact_date_left_join(panel, kind("revenue", "revtq"), ["revtq"])
+    return join_month_end(panel, kind("price", "prcc_c", "pstk"), kind("liab", "total_liabilities"),
+                          kind("shares", "shrout"))
+
+
 def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
                 max_years: int = MAX_YEARS, fill: str = "pad") -> DataFrame:
     """The fetched monthly panel, planned for scale (same result as the step-by-step
@@ -308,11 +327,10 @@ def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
 
     * one firm-window table (link x IPO window) and ONE interval join for all statement
       facts of all kinds and sources, written once, then ONE per-(firm, kind) fallback;
+    * panel rows and chosen facts written once by firm, so that their joins shuffle nothing
+      (firms with very many rows beside the buckets);
     * the first unbroken run of years (W7) right after the window join -- left joins never
-      change the (firm, year) set, so the filter commutes with them;
-    * facts pre-joined per key (exact-date: assets x revenue; month-end: price x
-      liabilities x shares; full outer joins keep the per-key products of the reference's
-      sequential merges), so the large panel side takes two left joins instead of five.
+      change the (firm, year) set, so the filter commutes with them.
     """
     events = ipo.select("permno", "ipo_date")
     lk = src.link.filter(F.col("linktype").isin(*C.LINK_TYPES) & F.col("linkprim").isin(*C.LINK_PRIMS))
@@ -335,33 +353,17 @@ def build_panel(ipo: DataFrame, src: FactSources, days: int = WINDOW_DAYS,
         linked = linked.unionByName(rows.select("permno", "datadate", F.lit("shares").alias("_kind"),
                                                 F.lit(prio).alias("_prio"), F.col("shrout").cast("double")),
                                     allowMissingColumns=True)
-    # written once: the fallback reads it twice instead of joining twice, and the five kinds
-    # below read their part of the fallback's result
+    # written once: the fallback reads it twice instead of joining twice
     linked = cut_lineage(linked)
     chosen = linked.groupBy("permno", "_kind").agg(F.min("_prio").alias("_prio"))
-    facts = cut_lineage(semi_membership(linked, chosen, ["permno", "_kind", "_prio"]), partition_by=["_kind"])
-
-    def kind(k, cols):
-        return facts.filter(F.col("_kind") == k).select("permno", "datadate", *cols)
-
-    exact = kind("assets", ["total_assets"]).join(
-        kind("revenue", ["revtq"]), on=["permno", "datadate"], how="full_outer").withColumnRenamed(
-        "datadate", "public_date")
-    def by_month(df, cols):
-        return df.select("permno", month_end("datadate").alias("_mm"), *cols)
-
-    monthly = (by_month(kind("price", ["prcc_c", "pstk"]), ["prcc_c", "pstk"])
-               .join(by_month(kind("liab", ["total_liabilities"]), ["total_liabilities"]),
-                     on=["permno", "_mm"], how="full_outer")
-               .join(by_month(kind("shares", ["shrout"]), ["shrout"]), on=["permno", "_mm"], how="full_outer"))
-
+    facts = semi_membership(linked, chosen, ["permno", "_kind", "_prio"])
     base = initial_run_years(event_window_join(events, src.ratios, "public_date", days),
                              "permno", "public_date", max_years)
-    panel = base.join(exact, on=["permno", "public_date"], how="left")
-    panel = (panel.withColumn("_mm", month_end("public_date"))
-             .join(monthly, on=["permno", "_mm"], how="left").drop("_mm"))
+    # panel rows and facts once by firm: the five joins between them shuffle nothing
+    layout = FirmLayout.of([linked, src.ratios])
+    panel = per_firm(join_facts, layout.write(base, ["public_date"]), layout.write(facts.drop("_prio"), ["datadate"]))
     # the scan below reads its input more than once (bounds, rows, summaries)
-    panel = cut_lineage(add_tobins_q(panel))
+    panel = stored(add_tobins_q(panel), layout.spark)
     panel = growth_scan(panel, "permno", "public_date", revenue_out="revenue_growth",
                         pct={"total_asset_growth": "total_assets"}, fill=fill)
     return C.conform_columns(attach_event_attrs(panel, ipo))

@@ -8,7 +8,8 @@ from panelkit.functions import cleaning as C
 from panelkit.operators import features as FE
 from panelkit.operators.panel import semi_membership
 from panelkit.plans.q_labels import PANEL_COLS, lab_sql, labelled
-from panelkit.plans.registry import register
+from panelkit.plans.registry import fx, register
+from panelkit.sources.bucketed import FirmLayout, per_firm
 
 FEATS = [c for c in C.BASE_FEATURES if c in PANEL_COLS]
 STD = [c for c in C.STD_FEATURES if c in FEATS]
@@ -79,10 +80,18 @@ def q_stitch_aggregates(spark, d):
     return FE.stitch_aggregates(*FE.prepared(labelled(spark, d)))
 
 
+@fx.memo
+def prepared_by_firm(spark, d):
+    """The rows that the yearly aggregates read, written once by firm: every aggregate by
+    firm and year reads them without an exchange."""
+    rows = labelled(spark, d)
+    return FirmLayout.of([rows]).write(FE.prepared(rows)[0], ["public_year", "public_month"])
+
+
 def _agg_query(key, sql_cols, build):
     @register(key, lab_sql(f"SELECT permno, public_year, {sql_cols} FROM ystitched", _YEARLY))
     def q(spark, d):
-        return build(FE.prepared(labelled(spark, d))[0])
+        return per_firm(build, prepared_by_firm(spark, d))
     q.__name__ = f"q_{key}"
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelkit.functions import cleaning as C
 from panelkit.operators import panel as P
 from panelkit.plans.registry import W_, fx, register
+from panelkit.sources.bucketed import FirmLayout, per_firm
 from panelkit.sources.fallback import fallback_by_key
 
 
@@ -145,11 +146,26 @@ def _stage_query(key, stage):
 
 for _key, _stage in [("event_window_join", "window"), ("exact_date_left_join", "assets"),
                      ("quarter_left_join", "revenue"), ("initial_run_years", "years"),
-                     ("month_end_left_join", "month_end"), ("tobins_q", "tobinq"),
+                     ("tobins_q", "tobinq"),
                      ("attach_event_attrs", "attrs")]:
     _stage_query(_key, _stage)
 
 
+@fx.memo
+def month_end_tables(spark, d):
+    """Panel rows and month-end facts, written once by firm."""
+    st = stages(spark, d)
+    names = ["years", "price", "liab", "shares"]
+    layout = FirmLayout.of([fx.ratios(spark, d), fx.source_variants(spark, d)["msf_crspa"]])
+    return [layout.write(st[n], ["public_date" if n == "years" else "datadate"]) for n in names]
+
+
+@register("month_end_left_join", stage_sql("month_end"))
+def q_month_end_left_join(spark, d):
+    """J8 over tables written by firm: no exchange in the joins."""
+    return per_firm(P.join_month_end, *month_end_tables(spark, d))
+
+
 @register("panel_build", stage_sql("panel"))
 def q_panel_build(spark, d):
     """The whole fetch stage as planned for scale (one fact join, one fallback, two panel

@@ -60,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 #: Intermediate tables of this process, for :func:`drop_intermediates`.
 _WRITTEN: list[str] = []
+#: Those of them that are tables of the catalog: path -> name.
+_TABLES: dict[str, str] = {}
 
 
 def intermediate_path(spark: SparkSession) -> str:
@@ -69,6 +71,15 @@ def intermediate_path(spark: SparkSession) -> str:
     return _WRITTEN[-1]
 
 
+def intermediate_table(spark: SparkSession) -> tuple[str, str]:
+    """Name and path of a new table in the shared checkpoint folder, remembered likewise; the
+    catalog entry goes with the files."""
+    path = intermediate_path(spark)
+    name = f"panelkit_{path.rsplit('/', 1)[1]}"
+    _TABLES[path] = name
+    return name, path
+
+
 def cut_lineage(df, partition_by=()):
     """Cut the lineage by writing a table into the shared checkpoint folder.
 
@@ -97,6 +108,9 @@ def drop_intermediates(spark: SparkSession) -> int:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
     while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        place = _WRITTEN.pop()
+        if place in _TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop(place)}")
+        path = jvm.org.apache.hadoop.fs.Path(place)
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n
