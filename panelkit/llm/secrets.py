@@ -7,26 +7,27 @@ cheapest way to write a value as a row of dictionary words, dates, repeats, keyb
 and brute-force characters; the cost is the log10 of the guesses that an attacker who knows
 this way needs. Placeholders are cheap, keys and strong passwords are not.
 
-The dictionary is a short list of well-known placeholders and the corpus's own words; a
-word's rank is its cost. Spark counts in how many distinct texts a word stands outside of
-credential values, so neither a secret nor the copies of its text make it a word. Words of
-fewer than ``LEAST_TEXTS`` texts are left out, whatever the size of the table, and only the
-``DICTIONARY`` most frequent are kept and broadcast.
+The dictionary is a short list of well-known placeholders and the words of public tokenizer
+vocabularies, whose order is that of their frequency; a word's rank is its cost. It does not
+depend on the table, so a text has the same spans wherever it stands, and no secret of the
+corpus becomes a word by being copied.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import in_batches, table, written
+from panelkit.llm.byte_bpe import read_ranks
+from panelkit.llm.common import in_batches, table
 
 # Patterns and least lengths of the base secrets.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -41,9 +42,8 @@ URL = r"[a-z][a-z0-9+.-]*://[^\s/:@]*:([^\s/@]+)@"
 #: Guesses (log10) from which a value counts as a secret, and its least length.
 HARD = 10.0
 VALUE_LEAST = 8
-DICTIONARY = 20_000
-#: Distinct texts from which a word of the corpus counts as one.
-LEAST_TEXTS = 5
+#: Letters of a word at least, characters of a repeated unit at most, keys of a walk at least.
+WORD_LEAST, UNIT_MOST, WALK_LEAST = 3, 8, 3
 #: Values that stand for a secret in examples; known to everyone, so in any table.
 PLACEHOLDERS = ("password", "changeme", "secret", "example", "placeholder", "default", "change", "your", "here",
                 "token", "test", "sample", "dummy", "none", "null", "undefined", "redacted", "hidden", "admin",
@@ -58,9 +58,10 @@ _CONTEXT = re.compile(CONTEXT, re.IGNORECASE | re.ASCII)
 _URL = re.compile(URL, re.IGNORECASE | re.ASCII)
 _ASSIGN_HINTS = ("passw", "secret", "token", "api")
 _CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "key")
-_LETTERS = re.compile("[a-z]+")
-_DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
-                   r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+#: Year, month and day; day, month and year; a year.
+_DATES = (re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"),
+          re.compile(r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)\d\d"),
+          re.compile(r"(?:19|20)\d\d"))
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 #: Letters that a digit or sign often stands for.
 _LEET = str.maketrans("013457@$", "oieastas")
@@ -88,51 +89,82 @@ def _brute(char: str) -> float:
     return math.log10(33) if char.isascii() else 2.0
 
 
-def guess_cost(value: str, ranks: dict[str, int], longest: int = 24) -> float:
-    """log10 of the guesses for a value, by its cheapest segmentation; 0 for no value.
-
-    ``ranks`` gives words their rank. Every start offers: one brute-force character; words
-    of up to ``longest`` letters (also capitalised, or with digits for letters, for twice
-    the guesses); a date (365 days of 200 years, or 200 years); a unit of up to 8
-    characters repeated; a walk of 3 or more neighbouring keys. Each segment after the first
-    costs a further factor of 2 for where it begins.
-    """
-    n = len(value)
-    best = [0.0] + [math.inf] * n
-    kind = [""] * (n + 1)
-    lower = value.lower() if len(value.lower()) == n else value
-    plain = lower.translate(_LEET)
-
-    def offer(start: int, end: int, cost: float, name: str) -> None:
-        # Brute-force characters in a row are one segment.
-        cost += best[start]
-        if start and not (name == kind[start] == "brute"):
-            cost += math.log10(2)
-        if cost < best[end]:
-            best[end], kind[end] = cost, name
-
-    for i in range(n):
-        offer(i, i + 1, _brute(value[i]), "brute")
-        for j in range(i + 3, min(n, i + longest) + 1):
-            word = plain[i:j]
-            if rank := ranks.get(word):
-                twist = value[i:j] != word
-                offer(i, j, math.log10(rank) + (math.log10(2) if twist else 0), "word")
-        if m := _DATE.match(value, i):
-            offer(i, m.end(), math.log10(200 * (365 if m.end() - i > 4 else 1)), "date")
-        for unit in range(1, 9):
-            piece = value[i:i + unit]
-            j = i + unit
-            while len(piece) == unit and value.startswith(piece, j):
-                j += unit
-            if j > i + unit and j - i >= 3:
-                offer(i, j, sum(map(_brute, piece)) + math.log10((j - i) // unit), "repeat")
-        j = i + 1
-        while j < n and lower[j] in _NEAR.get(lower[j - 1], ""):
-            j += 1
-        if j - i >= 3:
-            offer(i, j, math.log10(len(_NEAR)) + (j - i - 1) * math.log10(2.5), "walk")
-    return best[n]
+class Guesses:
+    """Guess costs under one dictionary (word -> rank)."""
+
+    def __init__(self, ranks: dict[str, int]):
+        self.ranks = ranks
+        self.words = ahocorasick.Automaton()
+        for word, rank in ranks.items():
+            self.words.add_word(word, (len(word), math.log10(rank)))
+        self.words.make_automaton()
+
+    def cost(self, value: str) -> float:
+        """log10 of the guesses for a value, by its cheapest segmentation; 0 for no value.
+
+        Segments are brute-force characters in a row; words (also capitalised, or with digits
+        for letters, for twice the guesses); dates (365 days of 200 years, or 200 years); a
+        unit of up to 8 characters, repeated any number of times up to 3 characters or more
+        (that number is a guess, too: up to as often as the value has room); walks of 3 or
+        more neighbouring keys. Each segment after the first costs a further factor of 2 for
+        where it begins. Segments of any length are tried, in time linear in the value: the
+        cost of a repeat or walk that goes on follows from its cost one step before.
+        """
+        n = len(value)
+        if not n:
+            return 0.0
+        lower = value.lower() if len(value.lower()) == n else value
+        again, step = math.log10(2), math.log10(2.5)
+        guess = [_brute(c) for c in value]
+        offers: dict[int, list[tuple[int, float]]] = {}          # words and dates, by where they end
+        if len(self.words):
+            plain = lower.translate(_LEET)
+            for last, (size, cost) in self.words.iter(plain):
+                start = last + 1 - size
+                twist = value[start:last + 1] != plain[start:last + 1]
+                offers.setdefault(last + 1, []).append((start, cost + (again if twist else 0)))
+        for i in range(n):
+            if value[i].isdigit():
+                for date in _DATES:
+                    if m := date.match(value, i):
+                        years = math.log10(200 * (365 if m.end() - i > 4 else 1))
+                        offers.setdefault(m.end(), []).append((i, years))
+        begin = [0.0] + [math.inf] * n       # cost up to here, with the factor of a next segment
+        brute, walk, near = math.inf, math.inf, 1
+        run = [0] * (UNIT_MOST + 1)          # characters up to here that equal those a unit before
+        held = [[math.inf] * max(unit, 1) for unit in range(UNIT_MOST + 1)]     # of repeats, by place modulo unit
+        for i in range(1, n + 1):
+            char = value[i - 1]
+            brute = min(brute, begin[i - 1]) + guess[i - 1]
+            best = min([begin[start] + cost for start, cost in offers.get(i, ())], default=math.inf)
+            for unit in range(1, min(UNIT_MOST, i - 1) + 1):
+                if char != value[i - 1 - unit]:
+                    run[unit] = 0
+                    held[unit][i % unit] = math.inf
+                    continue
+                run[unit] += 1
+                before = held[unit][i % unit]
+                if run[unit] < unit:
+                    held[unit][i % unit] = math.inf
+                    continue
+                first = i - 2 * unit
+                cost = begin[first] + sum(guess[first:first + unit]) + math.log10(max(2, n // unit))
+                held[unit][i % unit] = min(cost, before)
+                best = min(best, held[unit][i % unit] if unit > 1 else before)
+            near = near + 1 if i > 1 and lower[i - 1] in _NEAR.get(lower[i - 2], "") else 1
+            if near >= WALK_LEAST:
+                start = begin[i - WALK_LEAST] + math.log10(len(_NEAR)) + (WALK_LEAST - 1) * step
+                walk = min(start, walk + step)
+                best = min(best, walk)
+            else:
+                walk = math.inf
+            begin[i] = min(brute, best) + again
+        return begin[n] - again
+
+
+def guess_cost(value: str, ranks: dict[str, int]) -> float:
+    """:meth:`Guesses.cost` under a dictionary."""
+    return Guesses(ranks).cost(value)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -158,109 +190,85 @@ def context_spans(text: str) -> set[tuple[int, int]]:
     return values
 
 
-def guess_spans(text: str, ranks: dict[str, int]) -> list[tuple[int, int, int]]:
+def guess_spans(text: str, guesses: Guesses) -> list[tuple[int, int, int]]:
     """(start, kind, end) of values in credential context that are hard to guess."""
     return sorted((a, 3, b) for a, b in context_spans(text)
-                  if b - a >= VALUE_LEAST and guess_cost(text[a:b], ranks) >= HARD)
-
-
-def open_words(text: str) -> set[str]:
-    """Words of 3 to 24 ASCII letters in a text, credential values left out."""
-    values = context_spans(text)
-    low = text.lower()
-    if any(hint in low for hint in _ASSIGN_HINTS):
-        values |= {m.span(2) for m in _ASSIGN.finditer(text)}
-    if values:
-        rest, at = [], 0
-        for a, b in sorted(values):
-            rest.append(text[at:max(at, a)])
-            at = max(at, b)
-        low = " ".join([*rest, text[at:]]).lower()
-    return {word for word in _LETTERS.findall(low) if 3 <= len(word) <= 24}
+                  if b - a >= VALUE_LEAST and guesses.cost(text[a:b]) >= HARD)
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def _distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row (words) per distinct text. Copies meet by a digest of 128 bits, so texts do
-    not travel; a text's words, once each, stand in one string."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = {}
-            for value in batch.column(0):
-                if text := value.as_py():
-                    key = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
-                    if key not in rows:
-                        rows[key] = " ".join(sorted(open_words(text)))
-            yield pa.RecordBatch.from_arrays([pa.array(rows.keys(), pa.binary()),
-                                              pa.array(rows.values(), pa.string())], ["key", "words"])
-
-    return (in_batches(docs.select(F.col(text_col).cast("string"))).mapInArrow(run, "key binary, words string")
-            .dropDuplicates(["key"]).select("words"))
-
-
-def word_ranks(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY, least: int = 1) -> dict[str, int]:
-    """Rank of the words of 3 to 24 ASCII letters that stand in most distinct texts, in
-    ``least`` at least, credential values left out; at most ``size``, as many as whole
-    classes of similar counts (eight to a doubling) allow.
-
-    The classes, a few hundred at most, say which count to stop at, so only words that stay
-    come to the driver.
-    """
-    words = _distinct_words(docs, text_col).select(F.explode(F.split("words", " ")).alias("word"))
-    counts = written(words.filter(F.length("word") > 0).groupBy("word").agg(F.count("*").alias("n"))
-                     .filter(F.col("n") >= least).withColumn("cls", F.floor(F.log2("n") * 8)))
-    kept, last = 0, None
-    for cls, n in sorted(map(tuple, counts.groupBy("cls").count().collect()), reverse=True):
-        if kept + n > size:
-            break
-        kept, last = kept + n, cls
-    if last is None:
-        return {}
-    top = counts.filter(F.col("cls") >= last).collect()
-    return {r.word: k for k, r in enumerate(sorted(top, key=lambda r: (-r.n, r.word)), 1)}
+def dictionary(word_vocabulary: str, byte_vocabulary: str) -> dict[str, int]:
+    """Ranks of the placeholders, then of the words of 3 letters or more that are tokens of
+    a vocabulary of words (JSON, with an end-of-word mark) or, after a blank, of a rank file
+    of bytes; a word's place is its better one of the two. Read on the driver; the size is
+    bounded by that of the files."""
+    with open(word_vocabulary, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    mark = model["end_of_word_suffix"]
+    lists = [[t[:-len(mark)] for t in sorted(model["vocab"], key=model["vocab"].get) if t.endswith(mark) and t.isascii()]]
+    with open(byte_vocabulary, "rb") as file:
+        ranks = read_ranks(file.read())
+    lists.append([t[1:].decode("utf-8", "replace") for t in sorted(ranks, key=ranks.get) if t.startswith(b" ")])
+    place: dict[str, int] = {}
+    for words in lists:
+        words = [w for w in words if w.isalpha() and len(w) >= WORD_LEAST and len(w.lower()) == len(w)]
+        for k, word in enumerate(dict.fromkeys(w.lower() for w in words)):
+            place[word] = min(place.get(word, k), k)
+    ordered = dict.fromkeys(PLACEHOLDERS) | dict.fromkeys(sorted(place, key=lambda w: (place[w], w)))
+    return {word: k for k, word in enumerate(ordered, 1)}
+
+
+_LOADED: dict[str, Guesses] = {}
 
 
-def dictionary(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
-    """Ranks of the placeholders, then of the words of the corpus."""
-    words = dict.fromkeys(PLACEHOLDERS) | dict.fromkeys(word_ranks(docs, text_col, least=LEAST_TEXTS))
-    return {word: k for k, word in enumerate(words, 1)}
+def _loaded(ranks: dict[str, int]) -> Guesses:
+    """The tables of a dictionary, built once per worker."""
+    key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = Guesses(ranks)
+    return _LOADED[key]
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_assign, n_access, n_hex, n_guess, base_sha256, spans.
+def scan(docs: DataFrame, ranks: dict[str, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_assign, n_access, n_hex, base_sha256, spans, n_guess.
 
     Spans are ``kind:start:end`` (code points, end exclusive) in order of start, then kind.
-    Null and empty texts have none; ids pass through, null or repeated; other columns are
-    ignored. Texts are scanned whole.
+    Null and empty texts have none; ids pass through, null or repeated; repeated rows give
+    repeated rows; other columns are ignored; an empty table gives an empty result. Texts
+    and values of any length are read whole. Of equally cheap segmentations the cost is one.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(dictionary(docs, text_col))
+    held = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guesses = _loaded(held.value)
         for batch in batches:
             counts: list[list[int]] = [[], [], [], []]
             digest, spans = [], []
             for value in batch.column(1):
                 text = value.as_py() or ""
                 base = base_spans(text)
-                hard = guess_spans(text, ranks.value)
+                hard = guess_spans(text, guesses)
                 for k in range(3):
                     counts[k].append(sum(s[1] == k for s in base))
                 counts[3].append(len(hard))
                 digest.append(hashlib.sha256(_joined(base).encode()).hexdigest())
                 spans.append(_joined(sorted(base + hard)))
+            columns = [pa.array(c, pa.int64()) for c in counts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in counts], pa.array(digest, pa.string()),
-                 pa.array(spans, pa.string())],
-                [id_col, "n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans"])
+                [batch.column(0), *columns[:3], pa.array(digest, pa.string()), pa.array(spans, pa.string()), columns[3]],
+                [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
 
     return in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
-        run, f"`{id_col}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_guess bigint, "
-             "base_sha256 string, spans string")
+        run, f"`{id_col}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, "
+             "spans string, n_guess bigint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    import public_tokenizers
+    ranks = dictionary(public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return scan(table(spark, sf_dir, "documents"), ranks)
