@@ -7,8 +7,10 @@ say nothing are near 0. Logistic regression on these values gives the weights. T
 decides nothing but the fit; a score is a function of the text alone.
 
 The fit takes a bounded sample of labelled rows (``per_class`` of each label, all if there
-are fewer): their features, at most a few kB each, are brought to the driver. Every row of
-the table is scored, in tasks, with the weights broadcast (one vector of 2**bits floats).
+are fewer). Spark counts in how many of them each bucket stands, by label; the counts (at
+most 2**bits rows) decide which buckets say something, and only those of each text are
+brought to the driver, however long the texts are. Every row of the table is scored, in
+tasks, with the weights broadcast (one vector of 2**bits floats).
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import bounded_sample, held_out, in_batches, table
+from panelkit.llm.common import bounded_sample, held_out, in_batches, table, written
 from panelkit.llm.features import letters_only, ngrams
 
 THRESHOLD = 0.3
@@ -59,22 +61,14 @@ def text_features_of_interest(text: str | None, weights: np.ndarray, bits: int)
     return np.unique(found[weights[found] != 0])
 
 
-def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smoothing: float = 1.0,
-        deviations: float = 4.0, ridge: float = 1e-4, steps: int = 400) -> Model:
-    """Log-count ratios, then logistic regression on them by accelerated gradient descent.
+def log_ratios(in_toxic: np.ndarray, in_clean: np.ndarray, positive: int, n: int, smoothing: float = 1.0,
+               deviations: float = 4.0) -> np.ndarray:
+    """Log-count ratio of each bucket from the number of toxic and clean texts that hold it.
 
     A ratio counts only where the labels of the texts with that feature differ from all texts'
     by ``deviations`` (the root of the likelihood ratio statistic); long texts would else
-    gather chance ratios of many rare n-grams. With one label only, or no rows, the
-    model says that label's share for every text (0 without rows).
+    gather chance ratios of many rare n-grams. It is 0 elsewhere.
     """
-    size, n = 1 << bits, len(labels)
-    positive = int(labels.sum())
-    if not n or positive in (0, n):
-        return Model(np.zeros(size, np.float32), 30.0 if positive else -30.0, bits)
-    in_toxic, in_clean = np.zeros(size), np.zeros(size)
-    for found, label in zip(features, labels.tolist()):
-        (in_toxic if label else in_clean)[found] += 1
     # Smoothed towards the classes' shares: a feature that was never seen has ratio 0.
     share = positive / n
     a, b = in_toxic + smoothing * share, in_clean + smoothing * (1 - share)
@@ -84,6 +78,26 @@ def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smooth
         g = 2 * (np.where(in_toxic > 0, in_toxic * np.log(in_toxic / (texts * share)), 0)
                  + np.where(in_clean > 0, in_clean * np.log(in_clean / (texts * (1 - share))), 0))
     ratio[(texts < MIN_TEXTS) | (g < deviations ** 2)] = 0
+    return ratio
+
+
+def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, ratio: np.ndarray | None = None,
+        ridge: float = 1e-4, steps: int = 400) -> Model:
+    """Logistic regression on the log-count ratios by accelerated gradient descent.
+
+    ``ratio`` are the ratios of all buckets; without them they come from ``features``. With
+    one label only, or no rows, the model says that label's share for every text (0 without
+    rows).
+    """
+    size, n = 1 << bits, len(labels)
+    positive = int(labels.sum())
+    if not n or positive in (0, n):
+        return Model(np.zeros(size, np.float32), 30.0 if positive else -30.0, bits)
+    if ratio is None:
+        counts = np.zeros((2, size))
+        for found, label in zip(features, labels.tolist()):
+            counts[label][found] += 1
+        ratio = log_ratios(counts[1], counts[0], positive, n)
     features = [found[ratio[found] != 0] for found in features]
     row = np.repeat(np.arange(n), [len(f) for f in features])
     kept, column = np.unique(np.concatenate(features), return_inverse=True)
@@ -110,27 +124,60 @@ def fit(features: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smooth
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           per_class: int = PER_CLASS, bits: int = BITS) -> Model:
-    """Fit on labelled rows that are not held out. Rows without a label or id don't count."""
+    """Fit on labelled rows that are not held out.
+
+    Rows without a label or id don't count; an id with both labels counts as toxic, and each
+    of several rows of one id is a text of its own. Null and empty texts have no features.
+    """
     marked = (labels.filter("toxic IN (0, 1)").groupBy(F.col(id_col).alias("_id"))
               .agg(F.max("toxic").alias("_y")).filter(~held_out("_id")))
     chosen = bounded_sample(marked, "_y", "_id", per_class)
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
             .join(F.broadcast(chosen), "_id").select("_text", "_y"))   # two classes of per_class rows
+    rows = in_batches(written(rows))
+    size = 1 << bits
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, texts = np.zeros((2, size), np.int64), np.zeros(2, np.int64)
+        for batch in batches:
+            for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
+                held[y][text_features(text.as_py(), bits)] += 1
+                texts[y] += 1
+        some = np.flatnonzero(held.any(0))
+        # The texts themselves stand in one more place.
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(some, size)), pa.array(np.append(held[0][some], texts[0])),
+             pa.array(np.append(held[1][some], texts[1]))], ["bucket", "clean", "toxic"])
+
+    got = (rows.mapInArrow(count, "bucket bigint, clean bigint, toxic bigint").groupBy("bucket")
+           .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow())
+    counts = np.zeros((2, size + 1))
+    for y, name in enumerate(("clean", "toxic")):
+        counts[y][got["bucket"].to_numpy()] = got[name].to_numpy()
+    clean, toxic = counts[:, size].astype(int).tolist()
+    if not clean or not toxic:
+        return fit([], np.array([int(toxic > 0)] * (clean + toxic), np.int64), bits)
+    ratio = log_ratios(counts[1][:size], counts[0][:size], toxic, clean + toxic)
+    kept = docs.sparkSession.sparkContext.broadcast(np.packbits(ratio != 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(kept.value)[:size].astype(bool)
         for batch in batches:
-            found = [text_features(t.as_py(), bits).astype("<u4").tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1).cast(pa.int32())],
-                                             ["features", "y"])
+            found = [text_features(t.as_py(), bits) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[wanted[f]].astype("<u4").tobytes() for f in found], pa.binary()),
+                 batch.column(1).cast(pa.int32())], ["features", "y"])
 
-    got = sorted((bytes(r.features), r.y) for r in in_batches(rows).mapInArrow(run, "features binary, y int").collect())
-    return fit([np.frombuffer(f, "<u4") for f, _ in got], np.array([y for _, y in got], np.int64), bits)
+    some = sorted((bytes(r.features), r.y) for r in rows.mapInArrow(run, "features binary, y int").collect())
+    return fit([np.frombuffer(f, "<u4") for f, _ in some], np.array([y for _, y in some], np.int64), bits, ratio)
 
 
 def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
                 threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, score, predicted. Null and empty texts get the score of a
-    text without features; ids pass through, null or repeated."""
+    text without features; texts are read whole, however long. Ids pass through, null or
+    repeated; other columns are ignored; an empty table gives an empty result. A score equal
+    to the threshold counts as toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]
 
@@ -148,7 +195,8 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
 def without_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) without the rows that the classifier calls toxic."""
+    """``docs`` (all columns) without the rows that the classifier calls toxic. Each row is
+    judged by its own text, null as empty; repeated rows and null ids stay or go alike."""
     model = train(labelled, labels, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)

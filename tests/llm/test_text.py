@@ -154,7 +154,7 @@ def test_guess_cost_of_long_values_is_linear(value):
     import time
     began = time.process_time()
     cost = secrets.guess_cost(value, {"password": 1, "word": 2, "pass": 3})
-    assert cost > 100_000 if value.startswith("x8") else cost < 10 or value.startswith("password")
+    assert cost > 100_000 if value.startswith("x8") else cost < 25
     assert time.process_time() - began < 60
 
 
@@ -268,6 +268,66 @@ def test_toxicity_ratios_ignore_unseen_and_rare_features():
     assert model.weights[2] > 0 > model.weights[3] and model.weights[7] == 0 and model.weights[9] == 0
 
 
+def brute_toxicity(texts, labels, bits):
+    """Ratios, likelihood ratio test and score of each text, in plain Python."""
+    import math
+
+    def grams(text):
+        low = " " + "".join(c if c.isalpha() else " " for c in (text or "").lower()) + " "
+        while "  " in low:
+            low = low.replace("  ", " ")
+        codes = np.array([ord(c) for c in low], np.uint32)
+        return {int(b) for n in toxicity.SIZES for b in toxicity.ngrams(codes, n, bits)}
+    found = [grams(t) for t in texts]
+    positive, n = sum(labels), len(labels)
+    ratio = {}
+    for bucket in set().union(*found):
+        bad = sum(bucket in f and y for f, y in zip(found, labels))
+        good = sum(bucket in f for f in found) - bad
+        share = positive / n
+        g = 2 * sum(x * math.log(x / ((bad + good) * p)) for x, p in ((bad, share), (good, 1 - share)) if x)
+        if bad + good >= toxicity.MIN_TEXTS and g >= 16:
+            ratio[bucket] = math.log((bad + share) / positive) - math.log((good + 1 - share) / (n - positive))
+    return found, ratio
+
+
+def test_toxicity_against_a_plain_version(spark):
+    texts = random_texts(77, 260, vocabulary=90, length=60)
+    labels = [int(i % 3 == 0) for i in range(len(texts))]
+    texts = [t + " Wretched-foul!! thing" * (y and i % 5 > 0) for i, (t, y) in enumerate(zip(texts, labels))]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(900, None), (901, "")]
+    marks = spark.createDataFrame([(i, y) for i, y in enumerate(labels)] + [(900, 0), (901, 0)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs_of(spark, rows), marks, bits=14)
+    own = [(t, y) for (i, t), y in zip(rows, labels + [0, 0]) if zlib.crc32(str(i).encode()) % 4 != 2]
+    found, ratio = brute_toxicity([t for t, _ in own], [y for _, y in own], 14)
+    assert ratio and set(np.flatnonzero(model.weights).tolist()) <= set(ratio)
+    # the weights are those of a stationary point of the weighted, ridged loss on the ratios
+    y = np.array([y for _, y in own])
+    balance = np.where(y == 1, toxicity.PRIOR / y.sum(), (1 - toxicity.PRIOR) / (len(y) - y.sum()))
+    z = np.array([model.bias + sum(model.weights[b] for b in f) for f in found])
+    error = (1 / (1 + np.exp(-z)) - y) * balance
+    assert abs(error.sum()) < 1e-2
+    for bucket, r in ratio.items():
+        slope = r * sum(e for e, f in zip(error, found) if bucket in f) + 1e-4 * model.weights[bucket] / r
+        assert abs(slope) < 1e-2
+    for (text, _), value in zip(own, z):
+        assert model.score(text) == pytest.approx(1 / (1 + np.exp(-value)), abs=1e-6)
+
+
+def test_only_chosen_features_reach_the_driver(spark, monkeypatch):
+    """Texts of very many features: the sample that is fitted holds the few that say anything."""
+    rng = np.random.default_rng(3)
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda features, *a, **k: seen.append(features) or fit(features, *a, **k))
+    rows = [(i, " ".join("".join(map(chr, rng.integers(97, 123, 7))) for _ in range(4_000)) + " vilenasty" * (i % 2))
+            for i in range(60)]
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, toxic int")
+    model = toxicity.train(docs_of(spark, rows), marks)
+    assert np.count_nonzero(model.weights) > 0
+    assert max(map(len, seen[0])) < 200 < 10_000 < len(toxicity.text_features(rows[0][1]))
+
+
 def test_toxicity_degenerate_labels(spark):
     docs = odd_docs(spark)
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
