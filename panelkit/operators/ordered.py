@@ -329,6 +329,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
         *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], "n",
         *[F.when(whole, F.col("_min")).otherwise(F.col("_q")[2 * i]).alias(f"_lo{i}") for i in range(len(names))],
         *[F.when(whole, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias(f"_hi{i}") for i in range(len(names))]))
+    return quantiles_in_bands(data, bands, probs, by)
+
+
+def quantiles_in_bands(data: DataFrame, bands: DataFrame, probs: Mapping[str, float],
+                       by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles of ``_x`` per ``by`` group from bands of values around them.
+
+    ``bands`` has a row per group: the group's columns as ``_by0``, ..., its number of values
+    ``n`` and bounds ``_lo0``, ``_hi0``, ... per quantile. A quantile whose band does not hold
+    its neighbours in order comes out null.
+    """
+    by, names = list(by), list(probs)
     cond = F.lit(True)
     for i, b in enumerate(by):
         cond = cond & data[b].eqNullSafe(bands[f"_by{i}"])

@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions import cleaning as C
 from panelkit.functions.scalar import ROA_BIN_EDGES, bin_label, clip, cut_bins, map_label, percent_label
 from panelkit.operators.ordered import approx_quantiles, exact_quantiles
+from panelkit.session import cut_lineage
+from panelkit.sources.publish import counted, rows_of
 
 # Ratios of the correlation heat map, in order.
 CORR_COLUMNS = ["tobinq", "revtq", "bm", "roa", "roe", "de_ratio", "pe_op_basic"]
@@ -132,12 +134,38 @@ def boxplot_stats(df: DataFrame, value: str = "roa", label: str = "delist",
                       F.coalesce("_whi", "q3").alias("whisker_hi"), "n_outliers")
 
 
-def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Rows per named stage, as one small table (one count aggregate per stage)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-             for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+class StageCounts:
+    """Rows per named stage, counted by the stages' own runs.
+
+    ``watch`` gives a stage's rows an observed count; whatever action runs over them first
+    (a write, a cut of the lineage) fills it in, and no job is run for counting.
+    """
+
+    def __init__(self):
+        self._seen = {}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        out, self._seen[name] = counted(df, name)
+        return out
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """The stage written once to the shared folder and read back, its rows counted."""
+        return cut_lineage(self.watch(name, df))
 
+    def counts(self) -> dict[str, int]:
+        """Rows per stage, in order; every watched stage must have run."""
+        return {name: rows_of(seen) for name, seen in self._seen.items()}
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.counts().items()), "stage string, n_rows bigint")
+
+
+def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
+    """Rows per named stage, as one small table. Each stage is written once, which counts
+    it; use :class:`StageCounts` where a stage's own write does."""
+    seen = StageCounts()
+    spark = None
+    for name, df in stages.items():
+        spark = df.sparkSession
+        seen.write(name, df)
+    return seen.table(spark)

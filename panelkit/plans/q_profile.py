@@ -226,3 +226,17 @@ def q_coalesce_pref(spark, d):
     "SELECT permno, ipo_date, CAST(ipo_date + INTERVAL 5 YEAR AS DATE) AS horizon FROM ipo", "ipo"))
 def q_add_years(spark, d):
     return fx.ipo(spark, d).select("permno", "ipo_date", X.add_years("ipo_date", 5).alias("horizon"))
+
+
+@register("sketched_quantiles", lab_sql(
+    """SELECT CAST(COUNT(roa) AS BIGINT) AS n, QUANTILE_CONT(roa, 0.25) AS q1, QUANTILE_CONT(roa, 0.5) AS median,
+       QUANTILE_CONT(roa, 0.75) AS q3, delist FROM lab WHERE roa IS NOT NULL AND public_year IS NOT NULL
+       GROUP BY delist"""))
+def q_sketched_quantiles(spark, d):
+    """Exact quartiles by label from the sketches that are kept per year."""
+    from panelkit.operators.sketches import YearSketches
+    from panelkit.session import intermediate_path
+    lab = labelled(spark, d)
+    kept = YearSketches(spark, intermediate_path(spark), "roa", ["delist"])
+    kept.add(lab)
+    return kept.exact_quantiles(lab, {"q1": 0.25, "median": 0.5, "q3": 0.75})

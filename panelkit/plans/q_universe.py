@@ -217,3 +217,29 @@ def q_write_table(spark, d):
     path = f"{checkpoint_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}/ipo.parquet"
     written = io.write_table(fx.ipo(spark, d), path, partition_by=["exchcd"])
     return io.read_table(spark, written).select(*fx.ipo(spark, d).columns)
+
+
+_LINE = "CAST(permno AS VARCHAR) || ',' || comnam || ',' || CAST(ipo_date AS VARCHAR)"
+
+
+@register("quarantine_read", W_(
+    f"""SELECT CASE WHEN permno % 13 = 0 THEN CAST(permno AS VARCHAR) || ',' || comnam
+           WHEN permno % 17 = 0 THEN 'x' || {_LINE} ELSE {_LINE} END AS record,
+         CASE WHEN permno % 13 = 0 THEN 'not 3 fields'
+           WHEN permno % 17 = 0 THEN 'permno is not bigint: x' || CAST(permno AS VARCHAR) END AS reason
+       FROM ipo""", "ipo"))
+def q_quarantine_read(spark, d):
+    """A CSV table with damaged lines (a field missing, a firm that is no number): the rows
+    that can be read, and the quarantine table with the lines that cannot, as text."""
+    from panelkit.session import intermediate_path
+    from panelkit.sources.quarantine import read_quarantined
+    firm = F.col("permno").cast("string")
+    line = F.concat_ws(",", F.when(F.col("permno") % 13 == 0, firm).when(F.col("permno") % 17 == 0, F.concat(
+        F.lit("x"), firm)).otherwise(firm), "comnam", F.when(F.col("permno") % 13 != 0, F.col("ipo_date").cast("string")))
+    path = intermediate_path(spark) + ".csv"
+    fx.ipo(spark, d).select(line.alias("permno,comnam,ipo_date")).write.option("header", "true").option(
+        "quote", "").option("sep", "\x01").csv(path)
+    good, bad = read_quarantined(spark, path, {"permno": "bigint", "ipo_date": "date"})
+    kept = F.concat_ws(",", F.col("permno").cast("string"), "comnam", F.col("ipo_date").cast("string"))
+    return good.select(kept.alias("record"), F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select("record", "reason"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from panelkit.sources.publish import publish, recover
 from panelkit.sources.schemas import COLUMN_TYPES
 
 _READERS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc"}
@@ -62,6 +63,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.format(kind).load(path)
     except Exception as err:  # noqa: BLE001 - any read failure (footer, schema, permissions)
+        if _no_such_path(err) and recover(spark, path):      # a write died between its renames
+            return read_table(spark, path, schema, fmt)
         alt = _sibling_csv(path)
         if alt != path:
             try:
@@ -142,22 +145,18 @@ def write_table(df: DataFrame, path: str, fmt: str | None = None,
     """Write a result (many files per dataset); on failure fall back to CSV.
 
     Returns the path written. ``partition_by`` lays the output out for partition
-    pruning, e.g. ``["public_year"]`` for the panel.
+    pruning, e.g. ``["public_year"]`` for the panel. What the path held before stays until
+    the new table is whole (:mod:`panelkit.sources.publish`).
     """
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     kind = fmt or _READERS.get(ext, "parquet")
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    header = {"header": "true"}
     try:
-        if kind == "csv":
-            writer.option("header", "true").csv(path)
-        else:
-            writer.format(kind).save(path)
+        publish(df, path, kind, partition_by, header if kind == "csv" else None)
         return path
     except Exception:
         if kind == "csv":
             raise
-        alt = os.path.splitext(path.rstrip("/"))[0] + ".csv"
-        df.write.mode("overwrite").option("header", "true").csv(alt)
+        alt = _sibling_csv(path)
+        publish(df, alt, "csv", partition_by, header)
         return alt
