@@ -182,3 +182,16 @@ def q_semi_membership(spark, d):
     """Keep panel rows whose (firm, year) is in a kept set (here: the labelled firm-years)."""
     kept = yearly(spark, d).select("permno", "public_year")
     return semi_membership(labelled(spark, d), kept, ["permno", "public_year"])
+
+
+@register("yearly_incremental", lab_sql("SELECT * FROM yearly", _YEARLY))
+def q_yearly_incremental(spark, d):
+    """A1-A5, A7, W4 from stored firm-year partials to which the panel came in two parts: the
+    first half of every year, then the rest."""
+    from panelkit.operators.partials import FirmYearStore
+    from panelkit.session import intermediate_path
+    rows, feats = FE.prepared(labelled(spark, d))
+    store = FirmYearStore(spark, intermediate_path(spark), feats)
+    store.add(rows.filter("public_month <= 6"))
+    store.add(rows.filter("public_month > 6"))
+    return FE.next_year_label(store.features(), "first_label").drop("first_label")
