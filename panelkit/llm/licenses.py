@@ -1,36 +1,39 @@
-"""License scan: MinHash bands over overlapping windows retrieve license templates.
-
-Texts and templates are sequences of lower-case words (letters and digits); shingles are 5
-words. Templates of similar size form a group; for each group a text is read in windows of
-1.25 times that size that overlap by four fifths, so a template that lies in the text lies
-in a window, with a Jaccard similarity that has a lower bound. From that bound follow the
-bands: as many, of as few rows each, as give a collision probability of 0.999 (``bands_for``).
-A window that shares a band with a template is compared shingle by shingle, and the template
-is reported if at least 0.8 of its distinct shingles are in the window.
-
-The templates are a parameter, at most ``MAX_TEMPLATES``, and are broadcast; texts never
-move, and each is read whole.
+"""License scan: MinHash bands over overlapping windows, then exact shingle containment.
+
+Texts and templates are sequences of lower-case words (letters and digits) and their 5-word
+shingles. Templates are grouped by size (classes that double); for each class a text is
+searched by overlapping windows of up to three times the shingles of a template. Each of 52
+bands is the least shingle of a window under a permutation of its own. A template's least
+shingle is in a text that holds 0.8 of it with probability 0.8, and is then the least of a
+window around it with probability a quarter at least, in however many pieces the template
+stands. So a band retrieves it with probability 0.2, and all bands miss it with probability
+0.8 ** 52 = 1e-5 at most. Windows only retrieve: what decides is how many of the template's
+shingles, compared as words, stand anywhere in the whole text.
+
+A band's least shingle is one of the template's, so texts without a shingle of any template
+have no windows to search. Texts are hashed many at a time, in arrays.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import in_batches, table
+from panelkit.llm.decontaminate import hashed_texts, item_keys, shingle_hashes, shingles, size_class, windows
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-CERTAINTY = 0.999
-MAX_TEMPLATES = 2_000
-PIECE = 1 << 14
+#: Shingles of the templates of one broadcast index (about 50 bytes each); more templates take
+#: further indexes, each in a pass of its own.
+INDEX_SHINGLES = 1_000_000
+#: log2 of the places of the table that tells which hashes may be a template's.
+TABLE_BITS = 24
 
 # Public license notices by identifier.
 TEMPLATES = {
@@ -61,145 +64,118 @@ TEMPLATES = {
 }
 
 _WORD = re.compile(r"[^\W_]+")
-_RNG = np.random.default_rng(20_240_603)
-_ODD = _RNG.integers(0, 1 << 63, 512, np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 1 << 63, 512, np.uint64)
-
-
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
-
-
-def shingle_hashes(words: list[str]) -> np.ndarray:
-    if len(words) < SHINGLE:
-        return np.zeros(0, np.uint64)
-    data = [w.encode("utf-8", "surrogatepass") for w in words]
-    joined = memoryview(b" ".join(data))
-    ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    return np.array([xxhash.xxh64_intdigest(joined[a:b]) for a, b in
-                     zip(starts[:len(data) - SHINGLE + 1].tolist(), ends[SHINGLE - 1:].tolist())], np.uint64)
-
-
-def bands_for(jaccard: float, certainty: float = CERTAINTY) -> tuple[int, int]:
-    """(bands, rows): the most rows, with bands * rows at most 128, for which sets of this
-    similarity share a band with the given probability."""
-    best = None
-    for rows in range(1, 9):
-        chance = jaccard ** rows
-        bands = 1 if chance >= certainty else int(np.ceil(np.log(1 - certainty) / np.log(1 - chance)))
-        if best is None or bands * rows <= 128 and bands * rows <= 1.5 * best[0] * best[1]:
-            best = (bands, rows)
-    return best
-
-
-@dataclass
-class Group:
-    """Templates of up to ``size`` shingles and more than 0.8 of that."""
-    size: int
-    smallest: int
-    names: list[str]
-
-    def __post_init__(self):
-        self.stride = max(1, self.size // 4)
-        self.blocks = -(-(self.size + self.stride - 1) // self.stride)
-        window = self.blocks * self.stride
-        shared = CONTAINMENT * self.smallest
-        self.bands, self.rows = bands_for(shared / (window + self.smallest - shared))
-
-    def keys(self, minima: np.ndarray) -> np.ndarray:
-        """bands x windows keys from (bands * rows) x windows minima."""
-        h = np.zeros((self.bands, minima.shape[1]), np.uint64)
-        for r in range(self.rows):
-            h = (h ^ minima[r::self.rows][:self.bands]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        return h ^ (np.arange(self.bands, dtype=np.uint64) * _ODD[0])[:, None]
-
-
-def _permuted(hashes: np.ndarray, n: int) -> np.ndarray:
-    h = (hashes[None, :] ^ _ADD[:n, None]) * _ODD[:n, None]
-    return h ^ (h >> np.uint64(31))
+
+
+def normalised(text: str | None) -> bytes:
+    """The words of a text, joined by one blank."""
+    return " ".join(_WORD.findall((text or "").lower())).encode("utf-8", "surrogatepass")
 
 
 class Index:
-    """Groups of templates with their band keys."""
+    """Templates by the keys of their bands."""
 
     def __init__(self, templates: Mapping[str, str]):
-        if len(templates) > MAX_TEMPLATES:
-            raise ValueError(f"at most {MAX_TEMPLATES} templates")
-        sets = {name: set(shingle_hashes(words_of(text)).tolist()) for name, text in templates.items()}
-        if short := [name for name, s in sets.items() if not s]:
+        self.sets: dict[str, set[bytes]] = {}
+        self.owners: dict[int, list[str]] = {}
+        hashes, keys, short = [], [], []
+        for name, text in templates.items():
+            words = normalised(text).split()
+            if len(words) < SHINGLE:
+                short.append(name)
+                continue
+            self.sets[name] = set(shingles(words))
+            own = shingle_hashes(words)
+            hashes.append(own)
+            keys.append(item_keys(own))
+            for key in keys[-1].tolist():
+                self.owners.setdefault(key, []).append(name)
+        if short:
             raise ValueError(f"templates need {SHINGLE} words: {short}")
-        self.sets = sets
-        self.groups: list[Group] = []
-        for name in sorted(sets, key=lambda n: (-len(sets[n]), n)):
-            if self.groups and len(sets[name]) > 0.8 * self.groups[-1].size:
-                group = self.groups[-1]
-                self.groups[-1] = Group(group.size, len(sets[name]), [*group.names, name])
-            else:
-                self.groups.append(Group(len(sets[name]), len(sets[name]), [name]))
-        self.width = max((g.bands * g.rows for g in self.groups), default=0)
-        self.last = max((g.stride * g.blocks for g in self.groups), default=1)
-        self.keys: list[np.ndarray] = []
-        self.owners: list[dict[int, list[str]]] = []
-        for g in self.groups:
-            owner: dict[int, list[str]] = {}
-            for name in g.names:
-                least = _permuted(np.array(sorted(sets[name]), np.uint64), g.bands * g.rows).min(1, keepdims=True)
-                for key in g.keys(least)[:, 0].tolist():
-                    owner.setdefault(key, []).append(name)
-            self.keys.append(np.array(sorted(owner), np.uint64))
-            self.owners.append(owner)
-
-    def find(self, text: str | None) -> dict[str, tuple[float, int]]:
-        """Template -> (containment, first word of the window), the best and first window."""
-        hashes = shingle_hashes(words_of(text))
-        found: dict[str, tuple[float, int]] = {}
-        step = max(1, PIECE // self.last) * self.last
-        for begin in range(0, len(hashes), step):
-            part = hashes[begin:begin + step + self.last]
-            permuted = _permuted(part, self.width)
-            for g, keys, owner in zip(self.groups, self.keys, self.owners):
-                block = np.minimum.reduceat(permuted[:g.bands * g.rows], np.arange(0, len(part), g.stride), axis=1)
-                least = block.copy()
-                for k in range(1, min(g.blocks, block.shape[1])):
-                    np.minimum(least[:, :-k], block[:, k:], out=least[:, :-k])
-                made = g.keys(least)
-                place = np.minimum(np.searchsorted(keys, made), len(keys) - 1)
-                band, window = np.nonzero(keys[place] == made)
-                pairs = {(int(w), name) for b, w in zip(band, window) for name in owner[int(made[b, w])]}
-                for w, name in sorted(pairs):
-                    at = w * g.stride
-                    there = set(part[at:at + g.blocks * g.stride].tolist())
-                    share = len(self.sets[name] & there) / len(self.sets[name])
-                    if share >= CONTAINMENT and share > found.get(name, (0.0, 0))[0]:
-                        found[name] = (share, begin + at)
+        none = np.zeros(0, np.uint64)
+        self.hashes = np.unique(np.concatenate([none, *hashes]))
+        self.keys = np.unique(np.concatenate([none, *keys]))
+        self.classes = sorted({size_class(len(s)) for s in self.sets.values()})
+        self.places = np.zeros(1 << TABLE_BITS, bool)
+        self.places[self.hashes >> np.uint64(64 - TABLE_BITS)] = True
+        # Every key passes; those that are no template's are looked up and not found.
+        self.all_keys = np.full(1, ~np.uint64(0))
+
+    def hits(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the shingles that a template has."""
+        at = np.flatnonzero(self.places[hashes >> np.uint64(64 - TABLE_BITS)])
+        where = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
+        return at[self.hashes[where] == hashes[at]] if len(at) else at
+
+    def find(self, words: list[bytes], hashes: np.ndarray) -> dict[str, tuple[float, int]]:
+        """Template -> (containment, first word of its first shingle), over the whole text."""
+        at = self.hits(hashes)
+        if not len(at):
+            return {}
+        names = set()
+        for _, _, keys in windows(hashes, self.classes, self.all_keys, at):
+            where = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            for key in keys[self.keys[where] == keys].tolist():
+                names.update(self.owners[key])
+        first: dict[bytes, int] = {}
+        for j in at.tolist():
+            first.setdefault(b" ".join(words[j:j + SHINGLE]), j)
+        found = {}
+        for name in sorted(names):
+            there = self.sets[name] & first.keys()
+            if len(there) >= CONTAINMENT * len(self.sets[name]):
+                found[name] = (len(there) / len(self.sets[name]), min(first[s] for s in there))
         return found
 
 
+def indexes(templates: Mapping[str, str]) -> Iterator[Index]:
+    """Indexes of bounded size that hold all templates between them."""
+    part, size = {}, 0
+    for name, text in templates.items():
+        n = len(normalised(text).split())
+        if part and size + n > INDEX_SHINGLES:
+            yield Index(part)
+            part, size = {}, 0
+        part[name] = text
+        size += n
+    if part:
+        yield Index(part)
+
+
 def find_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """(id, license, containment, word): one row per input row and template found in it.
-
-    Null and empty texts, and texts under 5 words, match nothing. Ties between windows go to
-    the first. Ids pass through; repeated rows give repeated results; other columns are
-    ignored; an empty table gives an empty result.
+    """(id, license, containment, word): one row per input row and template of which the whole
+    text holds 0.8 of the shingles, in one piece or several; ``word`` is where the first of
+    them begins.
+
+    Null and empty texts, and texts under 5 words, match nothing. Texts of any length are
+    read whole. Ids pass through; repeated rows give repeated results; templates of equal
+    words are each reported; other columns are ignored; an empty table, or no templates, give
+    an empty result. A template of fewer than 5 words is an error.
     """
-    index = docs.sparkSession.sparkContext.broadcast(Index(templates))
     kind = dict(docs.dtypes)[id_col]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(i, name, share, at) for i, text in zip(batch.column(0).to_pylist(), batch.column(1))
-                    for name, (share, at) in sorted(index.value.find(text.as_py()).items())]
-            columns = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], pa.string()),
-                 pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64())],
-                [id_col, "license", "containment", "word"])
-
-    return in_batches(docs.select(id_col, F.col(text_col).cast("string"))).mapInArrow(
-        run, f"`{id_col}` {kind}, license string, containment double, word bigint")
+    schema = f"`{id_col}` {kind}, license string, containment double, word bigint"
+    texts = in_batches(docs.select(id_col, F.col(text_col).cast("string")))
+    out = None
+    for own in indexes(templates):
+        index = docs.sparkSession.sparkContext.broadcast(own)
+
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids, rows = batch.column(0).to_pylist(), []
+                clean = [normalised(t) for t in batch.column(1).to_pylist()]
+                for k, hashes in hashed_texts(clean):
+                    if len(index.value.hits(hashes)):
+                        found = index.value.find(clean[k].split(), hashes)
+                        rows += [(ids[k], name, share, at) for name, (share, at) in found.items()]
+                columns = list(zip(*rows)) or [(), (), (), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], pa.string()),
+                     pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64())],
+                    [id_col, "license", "containment", "word"])
+
+        part = texts.mapInArrow(run, schema)
+        out = part if out is None else out.unionByName(part)
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

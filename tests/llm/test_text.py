@@ -339,10 +339,45 @@ def test_toxicity_degenerate_labels(spark):
 
 # -- licenses ---------------------------------------------------------------------------
 
-@pytest.mark.parametrize("similarity", [0.2, 0.45, 0.7, 0.95, 1.0])
-def test_bands_keep_their_promise(similarity):
-    bands, rows = licenses.bands_for(similarity)
-    assert 1 - (1 - similarity ** rows) ** bands >= licenses.CERTAINTY
+def license_shingles(text):
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+
+
+@pytest.mark.parametrize("pieces,between", [(2, 15), (2, 60), (2, 400), (4, 15), (4, 60), (4, 400)])
+def test_licenses_in_pieces_are_found_as_brute_force_finds_them(pieces, between):
+    rng = np.random.default_rng(10 * pieces + between)
+    templates = licenses.TEMPLATES | {f"long{n}": " ".join(f"term{n}x{k}" for k in range(n)) for n in (90, 150, 700)}
+    index, wanted, lost = licenses.Index(templates), 0, 0
+    for template in templates.values():
+        words = template.split()
+        if len(words) < 30:
+            continue
+        for _ in range(20):
+            text = [f"w{k}" for k in rng.integers(0, 9_000, 200)]
+            for part in np.array_split(np.array(words), pieces):
+                text += [*part.tolist(), *[f"w{k}" for k in rng.integers(0, 9_000, between)]]
+            clean = licenses.normalised(" ".join(text))
+            found = index.find(clean.split(), licenses.shingle_hashes(clean.split()))
+            there = license_shingles(" ".join(text))
+            want = {n for n, t in templates.items()
+                    if len(license_shingles(t) & there) >= 0.8 * len(license_shingles(t))}
+            assert found.keys() <= want
+            wanted, lost = wanted + len(want), lost + len(want - found.keys())
+    assert wanted >= (100 if pieces == 2 else 60) and lost == 0
+
+
+def test_templates_beyond_one_index_take_another(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "INDEX_SHINGLES", 40)
+    assert len(list(licenses.indexes(licenses.TEMPLATES))) > 5
+    docs = docs_of(spark, list(enumerate(licenses.TEMPLATES.values())))
+    got = {tuple(r) for r in licenses.find_licenses(docs).collect()}
+    monkeypatch.undo()
+    assert got == {tuple(r) for r in licenses.find_licenses(docs).collect()} and len(got) >= len(licenses.TEMPLATES)
+    assert licenses.find_licenses(docs, {}).count() == 0
+    many = {f"t{i}": f"notice number {i} of a very long list of notices kept under rule {i}" for i in range(2_500)}
+    found = licenses.find_licenses(docs_of(spark, [(1, many["t77"]), (2, many["t2400"])]), many).collect()
+    assert {(r.doc_id, r.license) for r in found if r.containment == 1} == {(1, "t77"), (2, "t2400")}
 
 
 def test_licenses_against_brute_force(spark):
@@ -354,9 +389,7 @@ def test_licenses_against_brute_force(spark):
     rows += [(9998, None), (9999, "")]
     got = {(r.doc_id, r.license) for r in licenses.find_licenses(docs_of(spark, rows)).collect()}
 
-    def shingles(text):
-        w = re.findall(r"[^\W_]+", (text or "").lower())
-        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    shingles = license_shingles
     want = {(i, name) for i, text in rows for name, template in licenses.TEMPLATES.items()
             if len(shingles(template) & shingles(text)) >= 0.8 * len(shingles(template))}
     assert got == want
