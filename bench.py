@@ -53,7 +53,7 @@ def main() -> None:
     # once and store them as parquet, as the real inputs would be; warms the JVM too.
     t0 = time.perf_counter()
     for build in (fx.ipo, fx.delist, fx.names, fx.link, fx.company, fx.panel, fx.funda,
-                  fx.ccmfunda, fx.fundq, fx.msf):
+                  fx.annual_linked, fx.fundq, fx.msf):
         build(spark, sf_dir)
     setup = round(time.perf_counter() - t0, 3)
 

@@ -5,7 +5,7 @@
     python -m panelkit.plans.cli delists  --events D [D ...] --names N [N ...] --start S --end E \
                                           [--exchange X] --out O
     python -m panelkit.plans.cli panel    --ipo I --ratios R [R ...] --link L --funda F [F ...] \
-                                          --fundq Q [Q ...] [--ccmfunda M] --msf S [S ...] --out O
+                                          --fundq Q [Q ...] [--annual_linked M] --msf S [S ...] --out O
     python -m panelkit.plans.cli match    --ipo I --delist D [--years 5] --out O
     python -m panelkit.plans.cli clean    --panel P [P ...] --matched M --out O
     python -m panelkit.plans.cli train    --data D [--cutoff-month M] [--C 1.0] [--max-iter 1000] \
@@ -54,7 +54,7 @@ def _parser() -> argparse.ArgumentParser:
         a.add_argument(f"--{k}", nargs="+", required=True)
     for k in ("ipo", "link", "out"):
         a.add_argument(f"--{k}", required=True)
-    a.add_argument("--ccmfunda")
+    a.add_argument("--annual_linked")
     a = sub.add_parser("match")
     for k in ("ipo", "delist", "out"):
         a.add_argument(f"--{k}", required=True)
@@ -118,7 +118,7 @@ def run(argv: list[str], spark=None) -> str:
             ratios=ratios, link=rd(args.link), assets=funda,
             revenue=[rd(p) for p in args.fundq], liabilities=funda,
             shares=[rd(p) for p in args.msf],
-            price=([(rd(args.ccmfunda), False)] if args.ccmfunda else []) + [(f, True) for f in funda])
+            price=([(rd(args.annual_linked), False)] if args.annual_linked else []) + [(f, True) for f in funda])
         df = stages.fetch_panel(rd(args.ipo), src)
     elif args.cmd == "match":
         df = stages.match_delistings(rd(args.ipo), rd(args.delist), args.years)

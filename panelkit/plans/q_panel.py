@@ -17,11 +17,11 @@ def sources(spark, d) -> P.FactSources:
     v = fx.source_variants(spark, d)
     return P.FactSources(
         ratios=fx.ratios(spark, d), link=fx.link(spark, d),
-        assets=[v["funda_comp"], v["funda_na"]],
-        revenue=[v["fundq_compd"], v["fundq_comp"]],
-        liabilities=[v["funda_compd"], v["funda_comp"]],
-        shares=[v["msf_crsp"], v["msf_crspa"]],
-        price=[(v["ccmfunda"], False), (v["funda_compd"], True), (v["funda_comp"], True)])
+        assets=[v["annual_b"], v["annual_c"]],
+        revenue=[v["quarter_a"], v["quarter_b"]],
+        liabilities=[v["annual_a"], v["annual_b"]],
+        shares=[v["shares_a"], v["shares_b"]],
+        price=[(v["annual_linked"], False), (v["annual_a"], True), (v["annual_b"], True)])
 
 
 @fx.memo
@@ -87,21 +87,21 @@ def _stage_ctes():
                    "WHERE linktype IN ('LU', 'LC') AND linkprim IN ('P', 'C')"),
             ("st_window", "SELECT r.*, e.ipo_date FROM ratios r JOIN ev e ON r.permno = e.permno "
                           f"AND {_WIN.format(d='r.public_date')}")]
-    ctes += _facts("assets", [("funda_comp", True), ("funda_na", True)], {"total_assets": "at"}, "at")
+    ctes += _facts("assets", [("annual_b", True), ("annual_c", True)], {"total_assets": "at"}, "at")
     ctes.append(("st_assets", "SELECT w.*, a.total_assets FROM st_window w LEFT JOIN assets a "
                               "ON w.permno = a.permno AND w.public_date = a.datadate"))
-    ctes += _facts("revenue", [("fundq_compd", True), ("fundq_comp", True)], {"revtq": "revtq"}, "revtq")
+    ctes += _facts("revenue", [("quarter_a", True), ("quarter_b", True)], {"revtq": "revtq"}, "revtq")
     ctes.append(("st_revenue", "SELECT s.*, q.revtq FROM st_assets s LEFT JOIN revenue q "
                                "ON s.permno = q.permno AND s.public_date = q.datadate"))
     ctes.append(("st_years", _initial_run_sql("st_revenue", _YEAR).format(limit=5)))
-    ctes += _facts("price", [("ccmfunda", False), ("funda_compd", True), ("funda_comp", True)],
+    ctes += _facts("price", [("annual_linked", False), ("annual_a", True), ("annual_b", True)],
                    {"prcc_c": "prcc_c", "pstk": "pstk"})
-    ctes += _facts("liab", [("funda_compd", True), ("funda_comp", True)],
+    ctes += _facts("liab", [("annual_a", True), ("annual_b", True)],
                    {"total_liabilities": "lt"}, "lt")
     sh = " UNION ALL ".join(
         f"SELECT m.permno, m.date AS datadate, m.shrout, {i} AS prio FROM {t} m JOIN ev e "
         f"ON m.permno = e.permno AND {_WIN.format(d='m.date')}"
-        for i, t in enumerate(["msf_crsp", "msf_crspa"]))
+        for i, t in enumerate(["shares_a", "shares_b"]))
     ctes += _fallback("shares", sh)
     ctes.append(("st_month_end", """SELECT s.*, p.prcc_c, p.pstk, l.total_liabilities, h.shrout
         FROM st_years s
@@ -128,8 +128,8 @@ def _stage_ctes():
     return ctes
 
 
-_PROXIES = ("ipo", "link", "ratios", "funda_comp", "funda_na", "funda_compd", "fundq_compd",
-            "fundq_comp", "ccmfunda", "msf_crsp", "msf_crspa")
+_PROXIES = ("ipo", "link", "ratios", "annual_b", "annual_c", "annual_a", "quarter_a",
+            "quarter_b", "annual_linked", "shares_a", "shares_b")
 
 
 def stage_sql(stage: str) -> str:
@@ -156,7 +156,7 @@ def month_end_tables(spark, d):
     """Panel rows and month-end facts, written once by firm."""
     st = stages(spark, d)
     names = ["years", "price", "liab", "shares"]
-    layout = FirmLayout.of([fx.ratios(spark, d), fx.source_variants(spark, d)["msf_crspa"]])
+    layout = FirmLayout.of([fx.ratios(spark, d), fx.source_variants(spark, d)["shares_b"]])
     return [layout.write(st[n], ["public_date" if n == "years" else "datadate"]) for n in names]
 
 

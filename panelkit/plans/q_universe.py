@@ -26,11 +26,11 @@ def q_require_columns(spark, d):
     return io.require_columns(fx.ipo(spark, d), ["permno", "ipo_date"], "IPO file")
 
 
-@register("first_nonempty_source", W_("SELECT *, 'comp.company' AS source_name FROM ipo", "ipo"))
+@register("first_nonempty_source", W_("SELECT *, 'firms_c' AS source_name FROM ipo", "ipo"))
 def q_first_nonempty_source(spark, d):
-    ranked = [("crspa.missing", f"{d}/no_such_table.parquet"),
-              ("crsp.empty", lambda: fx.ipo(spark, d).filter(F.year("ipo_date") < 1900)),
-              ("comp.company", lambda: fx.ipo(spark, d))]
+    ranked = [("names_a", f"{d}/no_such_table.parquet"),
+              ("names_b", lambda: fx.ipo(spark, d).filter(F.year("ipo_date") < 1900)),
+              ("firms_c", lambda: fx.ipo(spark, d))]
     df, name = io.first_nonempty_source(spark, ranked)
     return df.withColumn("source_name", F.lit(name))
 
@@ -48,13 +48,13 @@ _W2_SQL = f"""SELECT permno, comnam, ticker, delist_date, exchcd, shrcd, dlstcd
 
 
 @register("first_nonempty_pair", W_(
-    f"SELECT *, 'crspa.msedelist' AS delist_source, 'crsp.stocknames' AS names_source "
+    f"SELECT *, 'exits_b' AS delist_source, 'names_b' AS names_source "
     f"FROM ({_W2_SQL}) w", "dlst", "names"))
 def q_first_nonempty_pair(spark, d):
-    delists = [("crspa.dsedelist", lambda: fx.delist_events(spark, d).filter(F.lit(False))),
-               ("crspa.msedelist", lambda: fx.delist_events(spark, d))]
-    names = [("crspa.dsenames", f"{d}/no_such_names.parquet"),
-             ("crsp.stocknames", lambda: fx.names(spark, d))]
+    delists = [("exits_a", lambda: fx.delist_events(spark, d).filter(F.lit(False))),
+               ("exits_b", lambda: fx.delist_events(spark, d))]
+    names = [("names_a", f"{d}/no_such_names.parquet"),
+             ("names_b", lambda: fx.names(spark, d))]
     df, (dn, nn) = io.first_nonempty_pair(
         spark, delists, names, lambda de, na: U.delist_latest(de, na, EXCHANGE, START, END))
     return df.withColumn("delist_source", F.lit(dn)).withColumn("names_source", F.lit(nn))

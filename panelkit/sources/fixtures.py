@@ -217,7 +217,7 @@ def funda(spark: SparkSession, d: str) -> DataFrame:
 
 
 @materialized
-def ccmfunda(spark: SparkSession, d: str) -> DataFrame:
+def annual_linked(spark: SparkSession, d: str) -> DataFrame:
     """Merged annual price table; covers three firms in four."""
     y = _year_stats(spark, d).filter(F.col("cust") % 4 != 0)
     k, mx, mn = F.col("k"), F.col("mx"), F.col("mn")
@@ -264,16 +264,16 @@ def source_variants(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     fq = fundq(spark, d)
     ms = msf(spark, d)
     return {
-        "funda_compd": fa.filter(_cust_of() % 4 != 1).select(
+        "annual_a": fa.filter(_cust_of() % 4 != 1).select(
             "gvkey", "datadate", (F.col("at") * 1.1).alias("at"), (F.col("lt") * 1.1).alias("lt"),
             (F.col("prcc_c") * 1.1).alias("prcc_c"), "pstk", "indfmt", "datafmt", "popsrc", "consol"),
-        "funda_comp": fa,
-        "funda_na": fa.withColumn("at", F.col("at") * 1.2),
-        "fundq_compd": fq.filter(_cust_of() % 3 != 1).withColumn("revtq", F.col("revtq") * 1.1),
-        "fundq_comp": fq,
-        "msf_crsp": ms.filter(F.col("permno") % 5 != 0),
-        "msf_crspa": ms.withColumn("shrout", F.col("shrout") * 2),
-        "ccmfunda": ccmfunda(spark, d),
+        "annual_b": fa,
+        "annual_c": fa.withColumn("at", F.col("at") * 1.2),
+        "quarter_a": fq.filter(_cust_of() % 3 != 1).withColumn("revtq", F.col("revtq") * 1.1),
+        "quarter_b": fq,
+        "shares_a": ms.filter(F.col("permno") % 5 != 0),
+        "shares_b": ms.withColumn("shrout", F.col("shrout") * 2),
+        "annual_linked": annual_linked(spark, d),
     }
 
 
@@ -340,7 +340,7 @@ PROXY_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         CASE WHEN k % 4 = 0 THEN NULL ELSE mn / 100003 END AS pstk,
         CASE WHEN k % 9 = 0 THEN 'FS' ELSE 'INDL' END AS indfmt,
         'STD' AS datafmt, 'D' AS popsrc, 'C' AS consol FROM fy"""),
-    "ccmfunda": (("fy",), """SELECT 'g' || CAST(cust AS VARCHAR) AS gvkey, LAST_DAY(d) AS datadate,
+    "annual_linked": (("fy",), """SELECT 'g' || CAST(cust AS VARCHAR) AS gvkey, LAST_DAY(d) AS datadate,
         CASE WHEN k % 7 = 0 THEN NULL ELSE mx / 12007 END AS prcc_c,
         CASE WHEN k % 4 = 0 THEN NULL ELSE mn / 120011 END AS pstk FROM fy WHERE cust % 4 <> 0"""),
     "fundq": (("od",), """SELECT 'g' || CAST(cust AS VARCHAR) AS gvkey, LAST_DAY(d) AS datadate,
@@ -351,17 +351,17 @@ PROXY_SQL: dict[str, tuple[tuple[str, ...], str]] = {
               MIN(o_orderkey) AS k, SUM(o_totalprice) AS s FROM od GROUP BY 1, 2, 3) t"""),
     "msf": (("pm",), """SELECT permno, public_date AS date,
         CAST(n * 1000 + permno % 100 AS DOUBLE) AS shrout FROM pm"""),
-    "funda_compd": (("funda",), """SELECT gvkey, datadate, "at" * 1.1 AS "at", lt * 1.1 AS lt,
+    "annual_a": (("funda",), """SELECT gvkey, datadate, "at" * 1.1 AS "at", lt * 1.1 AS lt,
         prcc_c * 1.1 AS prcc_c, pstk, indfmt, datafmt, popsrc, consol FROM funda
         WHERE CAST(SUBSTR(gvkey, 2) AS BIGINT) % 4 <> 1"""),
-    "funda_comp": (("funda",), "SELECT * FROM funda"),
-    "funda_na": (("funda",), """SELECT gvkey, datadate, "at" * 1.2 AS "at", lt, prcc_c, pstk, indfmt,
+    "annual_b": (("funda",), "SELECT * FROM funda"),
+    "annual_c": (("funda",), """SELECT gvkey, datadate, "at" * 1.2 AS "at", lt, prcc_c, pstk, indfmt,
         datafmt, popsrc, consol FROM funda"""),
-    "fundq_compd": (("fundq",), """SELECT gvkey, datadate, revtq * 1.1 AS revtq, indfmt, datafmt,
+    "quarter_a": (("fundq",), """SELECT gvkey, datadate, revtq * 1.1 AS revtq, indfmt, datafmt,
         popsrc, consol FROM fundq WHERE CAST(SUBSTR(gvkey, 2) AS BIGINT) % 3 <> 1"""),
-    "fundq_comp": (("fundq",), "SELECT * FROM fundq"),
-    "msf_crsp": (("msf",), "SELECT * FROM msf WHERE permno % 5 <> 0"),
-    "msf_crspa": (("msf",), "SELECT permno, date, shrout * 2 AS shrout FROM msf"),
+    "quarter_b": (("fundq",), "SELECT * FROM fundq"),
+    "shares_a": (("msf",), "SELECT * FROM msf WHERE permno % 5 <> 0"),
+    "shares_b": (("msf",), "SELECT permno, date, shrout * 2 AS shrout FROM msf"),
     "facts_src": (("panel",), """
         SELECT *, 1 AS src FROM panel WHERE permno % 3 = 0
         UNION ALL SELECT permno, public_date, revtq, roa + 1, roe, npm, tobinq, quick_ratio, de_ratio, 2

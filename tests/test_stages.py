@@ -57,7 +57,7 @@ def test_cli_runs_the_stages_over_files(spark, tmpdir_session):
                      "link": fx.link(spark, d), "events": fx.delist_events(spark, d),
                      "ratios": fx.ratios(spark, d), "funda": fx.funda(spark, d),
                      "fundq": fx.fundq(spark, d), "msf": fx.msf(spark, d),
-                     "ccmfunda": fx.ccmfunda(spark, d)}.items():
+                     "annual_linked": fx.annual_linked(spark, d)}.items():
         paths[name] = write_table(df, os.path.join(base, f"{name}.parquet"))
     rng = ["--start", "1995-01-01", "--end", "2001-12-31", "--exchange", ""]
     corrupt = os.path.join(base, "corrupt.parquet")
@@ -70,7 +70,7 @@ def test_cli_runs_the_stages_over_files(spark, tmpdir_session):
                   "--out", os.path.join(base, "delist.parquet")], spark)
     panel = cli.run(["panel", "--ipo", ipo, "--ratios", corrupt, paths["ratios"], "--link", paths["link"],
                      "--funda", paths["funda"], "--fundq", paths["fundq"], "--msf", paths["msf"],
-                     "--ccmfunda", paths["ccmfunda"], "--out", os.path.join(base, "panel.parquet")], spark)
+                     "--annual_linked", paths["annual_linked"], "--out", os.path.join(base, "panel.parquet")], spark)
     matched = cli.run(["match", "--ipo", ipo, "--delist", dl,
                        "--out", os.path.join(base, "matched.csv")], spark)
     merged = cli.run(["clean", "--panel", panel, "--matched", matched,
