@@ -74,8 +74,9 @@ def assign_shards(docs: DataFrame, key_col: str = "doc_id", shards: Sequence[str
     """``docs`` with the columns ``slot`` and ``shard`` (replaced where they exist).
 
     The table has ``size`` rows whatever the data, so it is broadcast; rows never move.
-    Equal keys share a shard; a null key is placed as the empty text. Empty tables give
-    empty results, long texts are not read.
+    Equal keys share a shard; a null key is placed as the empty text. All other columns come
+    along as they are, whatever their names and length; repeated rows stay. Empty tables give
+    empty results.
     """
     rows = docs.select(*[docs[c] for c in docs.columns if c not in ("slot", "shard")],
                        slot_of(docs[key_col], size).alias("slot"))
@@ -84,22 +85,23 @@ def assign_shards(docs: DataFrame, key_col: str = "doc_id", shards: Sequence[str
 
 
 def write_shards(docs: DataFrame, path: str, files_per_shard: int = 1, **options) -> None:
-    """Write one folder per shard; each shard is cut into ``files_per_shard`` files by slot."""
+    """Write one folder per shard; each shard is cut into ``files_per_shard`` files by slot, each
+    written by one task, so choose them by the size of a shard. Rows of a null key and empty
+    texts are written like others; an empty table gives an empty folder."""
     out = assign_shards(docs, **options)
     part = F.pmod(F.col("slot"), F.lit(files_per_shard))
     out.repartition("shard", part).drop("slot").write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_shards(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"))
+    return assign_shards(table(spark, sf_dir, "documents"))
 
 
 def oracle() -> str:
     owners = " ".join(map(str, fill_table(SHARDS)))
     return f"""
 WITH lookup AS (SELECT str_split('{owners}', ' ') AS owner, str_split('{" ".join(SHARDS)}', ' ') AS name),
-d AS (SELECT doc_id, source, n_chars,
-             (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT % {TABLE_SIZE})::INTEGER AS slot
+d AS (SELECT *, (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT % {TABLE_SIZE})::INTEGER AS slot
       FROM documents)
-SELECT doc_id, source, n_chars, slot, name[owner[slot + 1]::INTEGER + 1] AS shard FROM d, lookup
+SELECT d.*, name[owner[slot + 1]::INTEGER + 1] AS shard FROM d, lookup
 """
