@@ -1,7 +1,7 @@
-"""Substring dedup on a De Bruijn graph of the corpus.
+"""Substring dedup by source coordinates of repeated edges.
 
-Every ``k`` consecutive words of a document are an edge of the graph, from the node of its
-first k-1 words to that of its last k-1. An edge is repeated if it also starts in a
+Every ``k`` consecutive words of a document are an edge (as in a De Bruijn graph; its nodes,
+their degrees and branches are not computed). An edge is repeated if it also starts in a
 document with a smaller id; one such place is its source coordinate (document, word).
 
 1. *Edges.* Each batch of documents hashes its edges (64 bits) and finds, in itself, the
@@ -10,10 +10,9 @@ document with a smaller id; one such place is its source coordinate (document, w
    batch share the edge.
 2. *Join by edge.* What is left of the batches' edges meets by hash. Every place whose edge has a
    place of smaller id gets it as its source.
-3. *Paths.* Consecutive edges of a document whose sources are consecutive too are one
-   nonbranching path of the source's walk through the graph; such runs compact to (document,
-   first word, edges, source document, source word). A join of the paths with the paths at
-   their sources leads them on to the walk's first document, and they compact once more.
+3. *Paths.* Consecutive edges of a document whose sources are consecutive too compact to one
+   path (document, first word, edges, source document, source word). A join of the paths with
+   the paths at their sources leads them on to an earlier document, and they compact once more.
 4. *Verification.* The paths are joined to the texts on both coordinates; a path counts
    only if the words at its source are its words. The same pass over the texts removes the
    words that paths cover.
