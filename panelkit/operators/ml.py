@@ -252,6 +252,9 @@ def fit(train: DataFrame, features: Sequence[str], label: str,
                                  standardization=False, maxIter=cfg.max_iter, tol=cfg.tol,
                                  fitIntercept=True, family="binomial")]
     model = Pipeline(stages=stages).fit(data)
+    # The training summary holds the session, which cannot be sent to tasks once it has
+    # observed a count; scoring needs only the coefficients.
+    model.stages[-1]._java_obj.setSummary(data.sparkSession.sparkContext._jvm.scala.Option.empty())
     return FittedModel(cfg, feats, model, med, st)
 
 

@@ -98,6 +98,16 @@ def test_counts_of_empty_and_repeated_stages(spark):
     assert [tuple(r) for r in out.collect()] == [("all", 10), ("none", 0), ("no rows", 0), ("again", 20)]
 
 
+def test_a_model_is_fitted_and_scores_after_an_observed_count(spark):
+    """An observed session cannot be serialized; the model must not carry it into tasks."""
+    from panelkit.operators import ml
+    PR.row_counts({"some": spark.range(5)})
+    rows = spark.range(200).select((F.col("id") % 7).cast("double").alias("roa"), (F.col("id") % 2).cast("int").alias("y"))
+    model = ml.fit(rows, ["roa"], "y")
+    scored = ml.evaluate(model.predict(rows), "y")
+    assert scored.count() == 1 and ml.roc_auc(model.predict(rows), "y").count() == 1
+
+
 # -- quarantine ---------------------------------------------------------------------------
 
 def test_bad_csv_lines_go_to_the_quarantine(spark, tmp_path):
