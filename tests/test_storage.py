@@ -105,7 +105,7 @@ def test_a_model_is_fitted_and_scores_after_an_observed_count(spark):
     rows = spark.range(200).select((F.col("id") % 7).cast("double").alias("roa"), (F.col("id") % 2).cast("int").alias("y"))
     model = ml.fit(rows, ["roa"], "y")
     scored = ml.evaluate(model.predict(rows), "y")
-    assert scored.count() == 1 and ml.roc_auc(model.predict(rows), "y").count() == 1
+    assert scored.count() == 1 and ml.roc_auc(model.predict(rows), "y", "proba").count() == 1
 
 
 # -- quarantine ---------------------------------------------------------------------------
