@@ -1,21 +1,27 @@
-"""Substring dedup by source coordinates of repeated edges.
+"""Substring dedup by compaction of a De Bruijn graph, verified at source coordinates.
 
-Every ``k`` consecutive words of a document are an edge (as in a De Bruijn graph; its nodes,
-their degrees and branches are not computed). An edge is repeated if it also starts in a
-document with a smaller id; one such place is its source coordinate (document, word).
+Every ``k`` consecutive words of a document are an edge of a De Bruijn graph; its nodes are
+the ``k`` - 1 words that consecutive edges share. The graph is that of the repeated edges, those
+that also start in a document with a smaller id; the first place of an edge over all
+documents is its source coordinate (document, word), and stands for the edge.
 
 1. *Edges.* Each batch of documents hashes its edges (64 bits) and finds, in itself, the
    place with the smallest id of each edge. Repeats inside the batch get that source at
    once; only places in that first document leave the batch, however many documents of the
-   batch share the edge.
-2. *Join by edge.* What is left of the batches' edges meets by hash. Every place whose edge has a
-   place of smaller id gets it as its source.
-3. *Paths.* Consecutive edges of a document whose sources are consecutive too compact to one
-   path (document, first word, edges, source document, source word). A join of the paths with
-   the paths at their sources leads them on to an earlier document, and they compact once more.
-4. *Verification.* The paths are joined to the texts on both coordinates; a path counts
-   only if the words at its source are its words. The same pass over the texts removes the
-   words that paths cover.
+   batch share the edge. What is left meets by hash, where every place whose edge has a place
+   of smaller id gets it as its source. Runs of places with consecutive sources travel as one
+   row; a join of the runs with the runs at their sources leads them on to the first place.
+2. *Nodes.* Each repeated edge gives its two nodes one row, at its source coordinate. An
+   aggregate by node counts the edges that come in and go out. A node with more than one of
+   either is a branch.
+3. *Compaction.* Runs of consecutive source coordinates are cut at branches into segments. A
+   node with one edge in and one out, in different documents, links two segments; the
+   components of these links, by star contraction, are the nonbranching paths.
+4. *Spans.* The runs of the documents are joined to the segments at their sources and cut as
+   those are; neighbours on one nonbranching path join to one repeated span. Its words are
+   removed.
+5. *Verification.* Pieces and sources are joined to the texts on both coordinates; a piece counts
+   only if the words at its source are its words.
 
 Edges travel as packed columns (one row per batch and hash range), about 9 bytes an edge;
 a set of documents is a few MB of text, and the number of sets grows with the table.
@@ -28,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import in_batches, table, written
+from panelkit.llm.components import components
 
 WINDOW = 13
 #: Bytes of text that a set of documents holds, and edges of a hash range, about.
@@ -69,7 +76,6 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int)
     np.multiply(values, _powers(base, n), out=total[1:])
     np.cumsum(total[1:], out=total[1:])
     sums = total[ends] - total[starts]
-    del total
     return _mixed(sums * _powers(pow(base, -1, 1 << 64), n)[starts])
 
 
@@ -223,7 +229,7 @@ def join_by_edge(packed: DataFrame, bits: int, sets: int) -> DataFrame:
         h, doc, at = np.concatenate(h), np.concatenate(doc), np.concatenate(at)
         found.append(_repeats(doc, at, _sources(h, doc, at)))
         paths = compact(np.concatenate(found))
-        part = np.mod(paths[:, 0], sets)
+        part = (_mixed(paths[:, 0].view(np.uint64)) % np.uint64(sets)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
         ends = [*cuts[1:], len(order)]
@@ -242,32 +248,232 @@ def compact_paths(packed: DataFrame) -> DataFrame:
     return packed.groupBy("part").applyInArrow(run, _PATH_TYPE)
 
 
+def _set_of(doc: Column, sets: int) -> Column:
+    """The set of documents that a document belongs to."""
+    return F.pmod(F.xxhash64(doc), F.lit(sets).cast("bigint"))
+
+
+def _blocks(start: Column, n: Column) -> Column:
+    """The blocks of words in which the edges start, start + 1, ..., start + n - 1 lie."""
+    return F.explode(F.sequence(F.floor(start / F.lit(BLOCK_WORDS)), F.floor((start + n - 1) / F.lit(BLOCK_WORDS))))
+
+
+def _at_sources(paths: DataFrame, marks: DataFrame, sets: int) -> DataFrame:
+    """Each path with each mark (_doc, _start, _n and more) that overlaps its source.
+
+    They meet by document and block of words, so AQE can split a source that many copy.
+    """
+    ahead = marks.withColumn("_block", _blocks(F.col("_start"), F.col("_n")))
+    here = paths.withColumn("_at_block", _blocks(F.col("src_start"), F.col("n")))
+    meet = ((F.col("src_doc") == F.col("_doc")) & (F.col("_at_block") == F.col("_block"))
+            & (F.col("src_start") < F.col("_start") + F.col("_n"))
+            & (F.col("_start") < F.col("src_start") + F.col("n")))
+    return here.join(ahead, meet, "left").drop("_block", "_at_block").withColumn("part", _set_of(F.col("doc"), sets))
+
+
+def _per_edge(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of :func:`_at_sources` the edges (doc, start, 1, src_doc, src_start), and for each
+    the row whose mark covers its source, or -1."""
+    rows = np.stack([group.column(c).to_numpy() for c in _PATH], axis=1).astype(np.int64)
+    order = np.lexsort(rows.T[::-1])
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[order[1:]] != rows[order[:-1]]).any(1)
+    path_of = np.empty(len(rows), np.int64)
+    path_of[order] = np.cumsum(new) - 1
+    paths = rows[order[new]]
+    first = np.cumsum(paths[:, 2]) - paths[:, 2]
+    edge = np.repeat(paths, paths[:, 2], axis=0)
+    step = np.arange(len(edge)) - np.repeat(first, paths[:, 2])
+    edge[:, 1] += step
+    edge[:, 4] += step
+    edge[:, 2] = 1
+    mark = np.full(len(edge), -1)
+    there = np.flatnonzero(group.column("_start").is_valid().to_numpy())
+    if len(there):
+        start = group.column("_start").fill_null(0).to_numpy()[there].astype(np.int64)
+        end = start + group.column("_n").fill_null(0).to_numpy()[there].astype(np.int64)
+        at, n = rows[there, 4], rows[there, 2]
+        low, high = np.maximum(start, at), np.minimum(end, at + n)
+        size = high - low
+        begin = first[path_of[there]] + low - at
+        mark[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())] = np.repeat(there, size)
+    return edge, mark
+
+
 def follow_sources(paths: DataFrame, sets: int) -> DataFrame:
-    """Paths whose source is itself repeated take over its source, and compact again.
+    """Paths whose sources are the first places of their edges.
 
-    A repeat that its own batch resolved leads to the batch's first document, and that
-    document's path leads on to the first of all batches. Joined on the source coordinate
-    (document and block of words), paths of one walk through the graph get one source, so
-    what batches had cut in two becomes one nonbranching path.
+    A repeat that its own batch resolved leads to the batch's first document. Where that
+    place is itself repeated its own source takes over; elsewhere it is the first of all.
     """
-    block = lambda c: F.floor(c / F.lit(BLOCK_WORDS))
     ahead = paths.select(F.col("doc").alias("_doc"), F.col("start").alias("_start"), F.col("n").alias("_n"),
-                         F.col("src_doc").alias("_src"), F.col("src_start").alias("_at"),
-                         F.explode(F.sequence(block(F.col("start")), block(F.col("start") + F.col("n") - 1)))
-                         .alias("_block"))
-    inside = ((F.col("src_doc") == F.col("_doc")) & (block(F.col("src_start")) == F.col("_block"))
-              & (F.col("_start") <= F.col("src_start"))
-              & (F.col("src_start") + F.col("n") <= F.col("_start") + F.col("_n")))
-    joined = paths.join(ahead, inside, "left").select(
-        "doc", "start", "n", F.coalesce("_src", "src_doc").alias("src_doc"),
-        F.coalesce(F.col("_at") + F.col("src_start") - F.col("_start"), F.col("src_start")).alias("src_start"),
-        F.pmod("doc", F.lit(sets)).alias("part"))
+                         F.col("src_doc").alias("_src"), F.col("src_start").alias("_at"))
 
     def run(group: pa.Table) -> pa.Table:
-        found = compact(np.stack([group.column(c).to_numpy() for c in _PATH], axis=1))
+        edge, mark = _per_edge(group)
+        on = np.flatnonzero(mark >= 0)
+        column = lambda c: group.column(c).fill_null(0).to_numpy()[mark[on]].astype(np.int64)
+        edge[on, 4] += column("_at") - column("_start")
+        edge[on, 3] = column("_src")
+        found = compact(edge)
         return pa.table({c: pa.array(found[:, k]) for k, c in enumerate(_PATH)})
 
-    return joined.groupBy("part").applyInArrow(run, _PATH_TYPE)
+    return _at_sources(paths, ahead, sets).groupBy("part").applyInArrow(run, _PATH_TYPE)
+
+
+# -- the graph --------------------------------------------------------------------------
+
+def repeated_edges(paths: DataFrame, sets: int) -> DataFrame:
+    """(doc, start, n): the longest runs of source coordinates. Each coordinate is one edge.
+
+    The aggregate leaves a document one row per word at most, however many copy it.
+    """
+    cover = (paths.groupBy("src_doc", "src_start").agg(F.max("n").alias("n"))
+             .withColumn("part", _set_of(F.col("src_doc"), sets)))
+
+    def run(group: pa.Table) -> pa.Table:
+        doc, start, n = (group.column(c).to_numpy() for c in ("src_doc", "src_start", "n"))
+        order = np.lexsort((start, doc))
+        doc, start, end = doc[order], start[order], (start + n)[order]
+        out = []
+        for lo, hi in _groups(doc):
+            reach = np.maximum.accumulate(end[lo:hi])
+            head = np.flatnonzero(np.concatenate([[True], start[lo + 1:hi] > reach[:-1]]))
+            last = np.append(head[1:], hi - lo) - 1
+            out.append(np.stack([doc[lo + head], start[lo + head], reach[last] - start[lo + head]], axis=1))
+        found = np.concatenate(out)
+        return pa.table({c: pa.array(found[:, k]) for k, c in enumerate(("doc", "start", "n"))})
+
+    return cover.groupBy("part").applyInArrow(run, "doc bigint, start bigint, n bigint")
+
+
+def _groups(sorted_values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, end) of each run of equal values."""
+    heads = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
+    return zip(heads.tolist(), np.append(heads[1:], len(sorted_values)).tolist())
+
+
+def graph_nodes(docs: DataFrame, runs: DataFrame, k: int, sets: int, seed: int = 0) -> DataFrame:
+    """(node, doc, at, comes, goes): the nodes of each run of edges. A node is the hash of the
+    ``k`` - 1 words at (doc, at); whether the run has an edge that comes in and one that goes out."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        spans = np.stack([right.column(c).to_numpy() for c in ("doc", "start", "n")], axis=1).astype(np.int64)
+        spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+        ids, texts, cut = [], [], []
+        for doc, text in zip(left.column("doc").to_pylist(), left.column("text")):
+            lo, hi = np.searchsorted(spans[:, 0], [doc, doc + 1])
+            if lo < hi:
+                ids.append(doc)
+                texts.append(text.as_py())
+                cut.append(spans[lo:hi])
+        h, owner, _ = edge_hashes(texts, k - 1, seed) if texts else (np.zeros(0, np.uint64), np.zeros(0, int), None)
+        begin = np.searchsorted(owner, np.arange(len(texts) + 1))
+        out = [np.zeros((0, 5), np.int64)]
+        for i, doc in enumerate(ids):
+            own = h[begin[i]:begin[i + 1]].view(np.int64)
+            for _, start, n in cut[i].tolist():
+                if start + n >= len(own):   # of another row with this id
+                    continue
+                node = np.empty((n + 1, 5), np.int64)
+                node[:, 0], node[:, 1], node[:, 2] = own[start:start + n + 1], doc, np.arange(start, start + n + 1)
+                node[:, 3:] = 1
+                node[0, 3] = node[n, 4] = 0
+                out.append(node)
+        found = np.concatenate(out)
+        return pa.table({"node": pa.array(found[:, 0]), "doc": pa.array(found[:, 1]), "at": pa.array(found[:, 2]),
+                         "comes": pa.array(found[:, 3].astype(np.int32)), "goes": pa.array(found[:, 4].astype(np.int32))})
+
+    texts = docs.filter("doc IS NOT NULL").withColumn("part", _set_of(F.col("doc"), sets))
+    asked = runs.withColumn("part", _set_of(F.col("doc"), sets))
+    return texts.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(
+        run, "node bigint, doc bigint, at bigint, comes int, goes int")
+
+
+def degrees(nodes: DataFrame) -> DataFrame:
+    """(node, n_in, n_out, in_doc, in_at, out_doc, out_at): the edges that come into and go out
+    of each node, and where it stands in those, told only of a node with one of each."""
+    one = lambda flag, c: F.max(F.when(F.col(flag) == 1, F.col(c)))
+    return nodes.groupBy("node").agg(
+        F.sum("comes").alias("n_in"), F.sum("goes").alias("n_out"), one("comes", "doc").alias("in_doc"),
+        one("comes", "at").alias("in_at"), one("goes", "doc").alias("out_doc"), one("goes", "at").alias("out_at"))
+
+
+def nonbranching(runs: DataFrame, nodes: DataFrame, sets: int) -> DataFrame:
+    """(doc, start, n, path): the runs of edges cut at branches, and the nonbranching path
+    that each segment lies on, named by one of its segments. A cycle is one path."""
+    degree = written(degrees(nodes).filter("n_in > 1 OR n_out > 1 OR (n_in = 1 AND n_out = 1 AND "
+                                           "(in_doc <> out_doc OR in_at <> out_at))"))
+    branch = degree.filter("n_in > 1 OR n_out > 1")
+    cuts = nodes.filter("comes = 1 AND goes = 1").join(branch, "node", "left_semi").select("doc", "at")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        whole = np.stack([left.column(c).to_numpy() for c in ("doc", "start", "n")], axis=1).astype(np.int64)
+        at = np.stack([right.column(c).to_numpy() for c in ("doc", "at")], axis=1).astype(np.int64)
+        # heads of runs and cuts in one order; a segment ends at the next cut or the run's end
+        doc = np.concatenate([whole[:, 0], at[:, 0]])
+        start = np.concatenate([whole[:, 1], at[:, 1]])
+        end = np.concatenate([whole[:, 1] + whole[:, 2], np.full(len(at), -1)])
+        order = np.lexsort((start, doc))
+        doc, start, end = doc[order], start[order], end[order]
+        if not len(doc):
+            return pa.table({c: pa.array([], pa.int64()) for c in ("doc", "start", "n")})
+        head = np.maximum.accumulate(np.where(end >= 0, np.arange(len(end)), 0))
+        stop = end[head]
+        more = np.flatnonzero(head[1:] == head[:-1])
+        stop[more] = start[more + 1]
+        keep = stop > start
+        return pa.table({"doc": pa.array(doc[keep]), "start": pa.array(start[keep]),
+                         "n": pa.array((stop - start)[keep])})
+
+    split = (runs.withColumn("part", _set_of(F.col("doc"), sets)).groupBy("part")
+             .cogroup(cuts.distinct().withColumn("part", _set_of(F.col("doc"), sets)).groupBy("part"))
+             .applyInArrow(run, "doc bigint, start bigint, n bigint"))
+    segments = written(split.withColumn("segment", F.monotonically_increasing_id()))
+    ends = segments.select(F.col("doc").alias("in_doc"), (F.col("start") + F.col("n")).alias("in_at"),
+                           F.col("segment").alias("a"))
+    starts = segments.select(F.col("doc").alias("out_doc"), F.col("start").alias("out_at"),
+                             F.col("segment").alias("b"))
+    links = (degree.filter("n_in = 1 AND n_out = 1").join(ends, ["in_doc", "in_at"])
+             .join(starts, ["out_doc", "out_at"]).select("a", "b"))
+    return (segments.join(components(links), F.col("segment") == F.col("node"), "left")
+            .select("doc", "start", "n", F.coalesce("root", "segment").alias("path")))
+
+
+_PIECE_TYPE = f"{_PATH_TYPE}, path bigint, span_start bigint, span_n bigint"
+
+
+def traverse(paths: DataFrame, segments: DataFrame, sets: int) -> DataFrame:
+    """Paths cut as the segments at their sources: _PATH, the nonbranching path of each
+    piece, and the span (span_start, span_n) of the document's pieces in a row on that path."""
+    marks = segments.select(F.col("doc").alias("_doc"), F.col("start").alias("_start"), F.col("n").alias("_n"),
+                            F.col("path").alias("_path"))
+
+    def run(group: pa.Table) -> pa.Table:
+        edge, mark = _per_edge(group)
+        order = np.lexsort((edge[:, 1], edge[:, 0]))
+        edge, mark = edge[order], mark[order]
+        again = np.concatenate([[False], (edge[1:, :2] == edge[:-1, :2]).all(1)])
+        edge, mark = edge[~again], mark[~again]
+        # an edge without a segment (of another row with the source's id) is a path of its own
+        label = np.where(mark >= 0, group.column("_path").fill_null(0).to_numpy()[mark].astype(np.int64),
+                         -1 - np.arange(len(mark)))
+        segment = np.where(mark >= 0, group.column("_start").fill_null(0).to_numpy()[mark].astype(np.int64), -1)
+        new = np.ones(len(edge), bool)
+        new[1:] = ((edge[1:, 0] != edge[:-1, 0]) | (edge[1:, 1] != edge[:-1, 1] + 1)
+                   | (label[1:] != label[:-1]))
+        piece = new.copy()
+        piece[1:] |= ((edge[1:, 3] != edge[:-1, 3]) | (edge[1:, 4] != edge[:-1, 4] + 1)
+                      | (segment[1:] != segment[:-1]))
+        head = np.flatnonzero(piece)
+        spans = np.flatnonzero(new)
+        of = np.cumsum(new)[head] - 1
+        out = {c: pa.array(edge[head, k]) for k, c in enumerate(_PATH)}
+        out["n"] = pa.array(np.diff(np.append(head, len(edge))))
+        out |= {"path": pa.array(label[head]), "span_start": pa.array(edge[spans, 1][of]),
+                "span_n": pa.array(np.diff(np.append(spans, len(edge)))[of])}
+        return pa.table(out)
+
+    return _at_sources(paths, marks, sets).groupBy("part").applyInArrow(run, _PIECE_TYPE)
 
 
 # -- the texts --------------------------------------------------------------------------
@@ -298,13 +504,15 @@ def _read_text(doc: int | None, text: bytes, spans: np.ndarray, k: int, with_tex
 
 
 def read_texts(docs: DataFrame, paths: DataFrame, k: int, sets: int, with_text: bool = False) -> DataFrame:
-    """Rows of _READ: a row per document without the words its paths cover (start null), and
-    a digest per asked span. Texts and spans meet by set of documents."""
-    own = paths.select("doc", "start", "n", F.lit(1).alias("own"))
-    asked = own.union(paths.select("src_doc", "src_start", "n", F.lit(0)))
+    """Rows of _READ: a row per document without the words of its spans (start null), and
+    a digest per piece and source. Texts and spans meet by set of documents."""
+    gone = ("span_start", "span_n") if "span_n" in paths.columns else ("start", "n")
+    asked = (paths.select("doc", "start", "n", F.lit(0).alias("own"))
+             .union(paths.select("src_doc", "src_start", "n", F.lit(0)))
+             .union(paths.select("doc", *gone, F.lit(1))))
     asked = (asked.groupBy("doc", "start", "n").agg(F.max("own").alias("own"))
-             .withColumn("part", F.pmod("doc", F.lit(sets))))
-    texts = docs.withColumn("part", F.coalesce(F.pmod("doc", F.lit(sets)), F.lit(0).cast("bigint")))
+             .withColumn("part", _set_of(F.col("doc"), sets)))
+    texts = docs.withColumn("part", _set_of(F.coalesce("doc", F.xxhash64("text")), sets))
     schema = pa.schema([("doc", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
                         ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
                         ("kept", pa.binary())])
@@ -347,12 +555,16 @@ def _solve(docs: DataFrame, id_col: str, text_col: str, k: int, hash_bits: int,
         packed = edges(rows.filter("doc IS NOT NULL"), k, bits, seed, hash_bits)
         return written(follow_sources(written(compact_paths(join_by_edge(packed, bits, sets))), sets))
 
-    paths = paths_of(0)
-    read = written(read_texts(rows, paths, k, sets, with_text))
+    found = paths_of(0)
+    runs = written(repeated_edges(found, sets))
+    nodes = written(graph_nodes(rows, runs, k, sets))
+    pieces = written(traverse(found, nonbranching(runs, nodes, sets), sets))
+    read = written(read_texts(rows, pieces, k, sets, with_text))
+    paths = pieces.select(*_PATH)
     false = written(_false_paths(paths, read))
     result = read.filter("start IS NULL")
     if false.isEmpty():
-        return result, paths
+        return result, pieces
     # Different windows with one hash. Another hash function tells, of the windows of these
     # paths, which are not repeated and which truly are, until none is in doubt.
     hit = written(false.select("doc").distinct())
@@ -365,7 +577,9 @@ def _solve(docs: DataFrame, id_col: str, text_col: str, k: int, hash_bits: int,
         true = written(true.union(found.join(false, _PATH, "left_anti")).distinct())
         doubt = written(doubt.join(_windows(false).distinct(), ["doc", "at"], "left_semi"))
     again = read_texts(rows.join(hit, "doc", "left_semi"), true.join(hit, "doc", "left_semi"), k, sets, with_text)
-    return result.join(hit, "doc", "left_anti").unionByName(again.filter("start IS NULL")), true
+    spans = true.select("*", F.lit(None).cast("bigint").alias("path"), F.col("start").alias("span_start"),
+                        F.col("n").alias("span_n"))
+    return result.join(hit, "doc", "left_anti").unionByName(again.filter("start IS NULL")), spans
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -376,8 +590,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Removed are the words of every window of ``k`` words that also starts in a document with
     a smaller id. Null and empty texts have no words; texts under ``k`` words lose none. A
     row without an id loses nothing and is no source. Rows repeated with one id and text get
-    equal results. Ids must be integers; other columns are ignored. ``hash_bits`` below 64
-    makes different windows meet, for tests.
+    equal results. An empty table gives an empty result. Ids must be integers, ``k`` 2 or more;
+    other columns are ignored. ``hash_bits`` below 64 makes different windows meet, for tests.
     """
     kind = dict(docs.dtypes)[id_col]
     result, _ = _solve(docs, id_col, text_col, k, hash_bits, with_text)
@@ -387,14 +601,25 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    k: int = WINDOW) -> DataFrame:
-    """The verified spans themselves: (id, first_word, n_words, source_id, source_word), each
-    a passage of ``k`` words or more that stands word for word in the source, a document
-    with a smaller id. Spans of one document may overlap by up to ``k`` - 1 words."""
+    """The verified pieces themselves: (id, first_word, n_words, source_id, source_word, path,
+    span_first, span_words).
+
+    A piece is a passage of ``k`` words or more that stands word for word in the source, a
+    document with a smaller id. ``path`` names the nonbranching path of its windows, with equal
+    windows in all documents on one path; the document's pieces in a row on one path are one
+    span, whose words are told with each of them. Neighbours overlap by up to ``k`` - 1 words.
+
+    Null and empty texts, texts under ``k`` words and rows without an id have no piece; rows
+    repeated with one id and text give their pieces once; an empty table gives none; other
+    columns are ignored. Where two windows had one hash, ``path`` is null and each piece its
+    own span.
+    """
     kind = dict(docs.dtypes)[id_col]
-    _, paths = _solve(docs, id_col, text_col, k, 64, False)
-    return paths.select(F.col("doc").cast(kind).alias(id_col), F.col("start").alias("first_word"),
-                        (F.col("n") + k - 1).alias("n_words"), F.col("src_doc").cast(kind).alias("source_id"),
-                        F.col("src_start").alias("source_word"))
+    _, pieces = _solve(docs, id_col, text_col, k, 64, False)
+    return pieces.select(F.col("doc").cast(kind).alias(id_col), F.col("start").alias("first_word"),
+                         (F.col("n") + k - 1).alias("n_words"), F.col("src_doc").cast(kind).alias("source_id"),
+                         F.col("src_start").alias("source_word"), "path", F.col("span_start").alias("span_first"),
+                         (F.col("span_n") + k - 1).alias("span_words"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

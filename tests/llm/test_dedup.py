@@ -77,6 +77,74 @@ def test_repeated_spans_stand_in_their_sources(spark):
     assert {i: len(c) for i, c in covered.items()} == want
 
 
+def brute_paths(rows, k):
+    """The repeated windows, as one set per nonbranching path of their De Bruijn graph."""
+    docs = {}
+    for i, t in rows:
+        w = words(t)
+        for p in range(len(w) - k + 1):
+            docs.setdefault(tuple(w[p:p + k]), set()).add(i)
+    edges = sorted(e for e in docs if len(docs[e]) > 1)
+    comes, goes = {}, {}
+    for e in edges:
+        comes.setdefault(e[1:], []).append(e)
+        goes.setdefault(e[:-1], []).append(e)
+    root = {e: e for e in edges}
+
+    def find(e):
+        while root[e] != e:
+            e = root[e]
+        return e
+    for node in comes:
+        if len(comes[node]) == 1 and len(goes.get(node, [])) == 1:
+            root[find(comes[node][0])] = find(goes[node][0])
+    paths = {}
+    for e in edges:
+        paths.setdefault(find(e), set()).add(e)
+    return sorted(map(sorted, paths.values()))
+
+
+def found_paths(texts, got, k):
+    paths = {}
+    for r in got:
+        for doc, at in ((r.doc_id, r.first_word), (r.source_id, r.source_word)):
+            w = words(texts[doc])
+            paths.setdefault(r.path, set()).update(
+                tuple(w[p:p + k]) for p in range(at, at + r.n_words - k + 1))
+    return sorted(map(sorted, paths.values()))
+
+
+@pytest.mark.parametrize("k,vocabulary", [(13, 60), (4, 6), (3, 3), (2, 4)])
+def test_paths_are_those_of_the_graph(spark, k, vocabulary):
+    """Branches end paths, nodes with one edge each way do not, wherever the edges stand first."""
+    texts = random_texts(k + 50, 60, vocabulary)
+    texts += ["p q r s t u v " * 9, "q r s t u v p " * 9, "z", None, ""]
+    got = substring.repeated_spans(docs_of(spark, enumerate(texts)), k=k).collect()
+    assert found_paths(texts, got, k) == brute_paths(list(enumerate(texts)), k)
+
+
+def test_spans_end_at_branches_and_cross_sources(spark):
+    w = [f"w{i}" for i in range(60)]
+    split = ["x", *w[:20], *[f"a{i}" for i in range(20)]], ["y", *w[:20], *[f"b{i}" for i in range(20)]]
+    halves = w[30:50], w[38:60], w[30:60]     # the third's path begins in one source, ends in another
+    texts = [" ".join(t) for t in (*split, *split, *halves)]
+    got = substring.repeated_spans(docs_of(spark, enumerate(texts))).collect()
+    assert found_paths(texts, got, 13) == brute_paths(list(enumerate(texts)), 13)
+    spans = {(r.doc_id, r.span_first, r.span_words) for r in got}
+    # of document 2 (x, common, a...): before the fork, the fork's common part, after it
+    assert {s for s in spans if s[0] == 2} == {(2, 0, 13), (2, 1, 20), (2, 9, 32)}
+    assert {s for s in spans if s[0] == 6} == {(6, 0, 30)}
+    assert len({r.source_id for r in got if r.doc_id == 6}) == 2
+
+
+def test_many_sources_of_one_document_meet_in_one_row_a_word(spark):
+    """A source that others copy in thousands of pieces gives the graph a row per word at most."""
+    rows = [(i + 1, s, 3 + i % 40, 0, s) for i in range(3000) for s in range(0, 50, 7)]
+    paths = spark.createDataFrame(rows, substring._PATH_TYPE)
+    runs = substring.repeated_edges(paths, 5).collect()
+    assert [tuple(r) for r in runs] == [(0, 0, 49 + 42)]
+
+
 def test_substring_dedup_odd_rows(spark):
     got = substring.substring_dedup(odd_docs(spark)).collect()
     assert len(got) == 11
@@ -84,6 +152,9 @@ def test_substring_dedup_odd_rows(spark):
     assert by[5].n_words == by[5].n_removed == 120_000
     assert by[4].n_removed < by[4].n_words and by[2].n_words == by[3].n_words == by[6].n_words == 0
     assert substring.substring_dedup(empty_docs(spark)).count() == 0
+    spans = substring.repeated_spans(odd_docs(spark)).collect()
+    assert {(r.doc_id, r.source_id) for r in spans} == {(5, 4)}
+    assert substring.repeated_spans(empty_docs(spark)).count() == 0
 
 
 def brute_links(values, bits):
