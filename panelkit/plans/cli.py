@@ -29,6 +29,7 @@ import sys
 from panelkit.operators import ml as ML
 from panelkit.operators.panel import FactSources
 from panelkit.plans import stages
+from panelkit.plans.resume import Resumable
 from panelkit.session import get_session
 from panelkit.sources.io import first_nonempty_source, read_table, write_table
 
@@ -73,6 +74,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--features")
     a.add_argument("--drop-zero-variance", action="store_true")
     a.add_argument("--save-model")
+    a.add_argument("--resume", metavar="FOLDER", help="keep finished stages there and go on from them")
     for k, v in (("train", 0.7), ("val", 0.15), ("test", 0.15)):
         a.add_argument(f"--{k}-ratio", type=float, default=v)
     a.add_argument("--no-next-year", action="store_true", help="train on the rows as they are")
@@ -134,7 +136,8 @@ def run(argv: list[str], spark=None) -> str:
                                         save_path=args.save_model,
                                         ratios=(args.train_ratio, args.val_ratio, args.test_ratio),
                                         predict_next_year=not args.no_next_year, label=args.label_col,
-                                        group=args.group_col, time=args.time_col)
+                                        group=args.group_col, time=args.time_col,
+                                        resume=Resumable(spark, args.resume, [args.data]) if args.resume else None)
         df = res.metrics
         write_table(res.class_distribution, _beside(args.out, "classes"))
         weights = res.model.weights() + [("intercept", res.model.intercept())]

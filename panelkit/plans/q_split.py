@@ -51,6 +51,23 @@ def q_firm_level_split(spark, d):
     return split_yearly(spark, d).select("permno", "public_year", "y_next_year", "split")
 
 
+@register("resumed_split", split_sql("SELECT permno, public_year, y_next_year, split FROM sp"))
+def q_resumed_split(spark, d):
+    """M9: the split table of a run that stopped after it, as the next run finds it."""
+    from panelkit.plans.resume import Resumable
+    from panelkit.session import intermediate_path
+
+    def split():
+        return S.firm_level_split(yearly(spark, d), "permno", None, "public_year", ratios)
+
+    ratios, inputs, folder = (R_TRAIN, R_VAL, R_TEST), [f"{d}/customer.parquet", f"{d}/orders.parquet"], intermediate_path(spark)
+    Resumable(spark, folder, inputs).table("split", split, ratios=ratios)
+    again = Resumable(spark, folder, inputs)
+    rows = again.table("split", split, ratios=ratios)
+    assert again.found == ["split"]
+    return rows.select("permno", "public_year", "y_next_year", "split")
+
+
 @register("map_split_back", split_sql("SELECT * FROM sp"))
 def q_map_split_back(spark, d):
     return split_yearly(spark, d)

@@ -24,6 +24,7 @@ from panelkit.operators import ml as ML
 from panelkit.operators import panel as P
 from panelkit.operators import split as S
 from panelkit.operators import universe as U
+from panelkit.plans.resume import Resumable
 from panelkit.session import cut_lineage
 from panelkit.sources.io import Source, first_nonempty_pair, first_nonempty_source, require_columns
 
@@ -108,11 +109,14 @@ def train_and_evaluate(panel: DataFrame, cfg: ML.ModelConfig | None = None,
                        save_path: str | None = None,
                        predict_next_year: bool = True, label: str | None = "delist",
                        group: str = "permno", time: str | None = "public_year",
-                       model: ML.FittedModel | None = None) -> TrainResult:
+                       model: ML.FittedModel | None = None,
+                       resume: Resumable | None = None) -> TrainResult:
     """M9: yearly features -> firm-level split -> class rescue -> fit -> val/test metrics.
 
     Without ``predict_next_year`` the rows are taken as they are, with the given label, time
     and group columns (None: inferred). A given ``model`` is scored instead of fitting one.
+    With ``resume`` the split table and the fitted model are kept in its folder, and a run goes
+    on from those that an earlier run finished on the same inputs with the same parameters.
     """
     cfg = cfg or ML.ModelConfig()
     if predict_next_year:
@@ -131,14 +135,21 @@ def train_and_evaluate(panel: DataFrame, cfg: ML.ModelConfig | None = None,
     # The split firm-year table is small next to the panel (one row per firm and year):
     # written once to the shared folder, it feeds the column checks, the class rescue, the
     # fit and the scoring without recomputing the panel aggregation.
-    data = cut_lineage(S.firm_level_split(X, group, ipo_col, time, ratios))
+    def split() -> DataFrame:
+        return S.firm_level_split(X, group, ipo_col, time, ratios)
+
+    data = cut_lineage(split()) if resume is None else resume.table(
+        "split", split, columns=X.columns, cutoff_month=cutoff_month, ratios=list(ratios), next_year=predict_next_year)
     dropped = C.all_null_columns(data, feats)
     if drop_zero_variance:
         dropped += C.constant_columns(data, [f for f in feats if f not in dropped])
     feats = [f for f in feats if f not in dropped]
     data, moved = S.ensure_two_classes(data, label, group)
     if model is None:
-        model = ML.fit(S.split_filter(data, S.TRAIN), feats, label, cfg, checkpoint=False)
+        def fit() -> ML.FittedModel:
+            return ML.fit(S.split_filter(data, S.TRAIN), feats, label, cfg, checkpoint=False)
+
+        model = fit() if resume is None else resume.model("model", fit, config=cfg.to_dict(), features=feats, label=label)
     held = data.filter(F.col("split").isin(S.VAL, S.TEST))
     pred = model.predict(held)
     metrics = ML.evaluate(pred, label, by=["split"]).join(

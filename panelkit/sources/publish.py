@@ -94,9 +94,9 @@ def recover(spark: SparkSession, path: str) -> bool:
 
 
 def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-            options: Mapping[str, str] | None = None) -> int:
+            options: Mapping[str, str] | None = None, notes: Mapping[str, object] | None = None) -> int:
     """Write ``df`` in place of what ``path`` holds; the rows written. On any failure the
-    earlier table stays (or comes back) and the new folder goes."""
+    earlier table stays (or comes back) and the new folder goes. ``notes`` join the manifest."""
     spark = df.sparkSession
     store = _Store(spark, path)
     recover(spark, path)
@@ -106,8 +106,8 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequen
         rows, seen = counted(df, "write")
         rows.write.options(**(options or {})).partitionBy(*partition_by).format(fmt).save(fresh)
         n = rows_of(seen)
-        store.write(f"{fresh}/{MANIFEST}", json.dumps(
-            {"rows": n, "format": fmt, "columns": df.columns, "partition_by": list(partition_by)}))
+        write_manifest(spark, fresh, {"rows": n, "format": fmt, "columns": df.columns,
+                                      "partition_by": list(partition_by), **(notes or {})})
         earlier = store.exists(path)
         if earlier:
             store.rename(path, aside)
@@ -125,6 +125,15 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequen
     return n
 
 
+def write_manifest(spark: SparkSession, path: str, notes: Mapping[str, object]) -> None:
+    _Store(spark, path).write(f"{path.rstrip('/')}/{MANIFEST}", json.dumps(dict(notes)))
+
+
+def drop_manifest(spark: SparkSession, path: str) -> None:
+    """From here on nothing is said about what the path holds."""
+    _Store(spark, path).delete(f"{path.rstrip('/')}/{MANIFEST}")
+
+
 def manifest(spark: SparkSession, path: str) -> dict | None:
     """What the last write of a path says about it; None for tables written otherwise."""
     store = _Store(spark, path)
