@@ -10,7 +10,7 @@ from panelkit.functions import cleaning as C
 from panelkit.operators import panel as P
 from panelkit.plans.registry import W_, fx, register
 from panelkit.sources.bucketed import FirmLayout, per_firm
-from panelkit.sources.fallback import fallback_by_key
+from panelkit.sources.fallback import fallback_by_key, fallback_for_keys
 
 
 def sources(spark, d) -> P.FactSources:
@@ -193,6 +193,15 @@ def q_fallback_by_key(spark, d):
     return fallback_by_key(fx.facts_by_source(spark, d), "permno")
 
 
+@register("fallback_for_keys", W_(
+    """SELECT u.* FROM facts_src u JOIN (SELECT permno, MIN(src) AS p FROM facts_src
+    GROUP BY permno) m ON u.permno = m.permno AND u.src = m.p
+    WHERE u.permno IN (SELECT permno FROM ipo WHERE exchcd = 1)""", "facts_src", "ipo"))
+def q_fallback_for_keys(spark, d):
+    """S4 for the firms of one exchange, later sources read only for firms still without rows."""
+    return fallback_for_keys(fx.facts_by_source(spark, d), fx.ipo(spark, d).filter("exchcd = 1"), "permno")
+
+
 @register("growth_over_nonnull", W_(
     f"""SELECT * EXCLUDE (pv), {growth_sql('revtq', 'pv')} AS revenue_growth FROM (
     SELECT *, LAST_VALUE(revtq IGNORE NULLS) OVER (PARTITION BY permno ORDER BY public_date
