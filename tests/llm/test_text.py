@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 import zlib
 
@@ -231,10 +233,88 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
 
 
-def test_too_many_languages_are_an_error(spark):
-    docs = docs_of(spark, [(k, f"text {k}") for k in range(4 * language.MAX_LANGUAGES)])
-    with pytest.raises(ValueError, match="languages"):
-        language.train(docs.withColumn("lang", F.col("doc_id").cast("string")))
+def plain_language_model(rows, languages):
+    """Weights, and the decoding of a text, by loops; slopes, offsets and trust are given."""
+    code = language.codewords(len(languages)).tolist()
+    size = 1 << language.BITS
+    share = {}
+    for lang in languages:
+        counts = [0.5] * size
+        for i, text, own in rows:
+            if own == lang and zlib.crc32(str(i).encode()) % 4 != 2:
+                for bucket, n in enumerate(language.text_counts(text or "").tolist()):
+                    counts[bucket] += n
+        total = sum(counts)
+        share[lang] = [c / total for c in counts]
+
+    def mean(bit, value, bucket):
+        of = [share[lang][bucket] for lang, word in zip(languages, code) if word[bit] == value]
+        return sum(of) / len(of)
+
+    def weight(bit, bucket):
+        return math.log(mean(bit, 1, bucket)) - math.log(mean(bit, 0, bucket))
+
+    def decode(text, model):
+        counts = [(k, n) for k, n in enumerate(language.text_counts(text).tolist()) if n]
+        total = sum(n for _, n in counts)
+        losses = []
+        for word in code:
+            loss = 0.0
+            for bit, value in enumerate(word):
+                at = sum(n * weight(bit, k) for k, n in counts) / total
+                margin = model.slope[bit] * at + model.offset[bit]
+                loss += model.trust[bit] * math.log1p(math.exp(-margin if value else margin))
+            losses.append(loss)
+        best = min(range(len(losses)), key=lambda k: (losses[k], k))
+        return languages[best], 1 / sum(math.exp(losses[best] - x) for x in losses)
+    return weight, decode
+
+
+def test_language_equals_a_plain_version(spark):
+    rng = random.Random(4)
+    letters = {"aa": "abcde", "bb": "cdefg", "cc": "efghi", "dd": "ghijk"}
+    rows = [(i, " ".join("".join(rng.choices(letters[lang], k=4)) for _ in range(rng.randint(1, 6))), lang)
+            for i, lang in enumerate(list(letters) * 12)] + [(90, None, "aa"), (91, "", "bb"), (92, "abc", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    weight, decode = plain_language_model(rows, sorted(letters))
+    buckets = sorted({int(k) for _, t, _ in rows for k in np.flatnonzero(language.text_counts(t or ""))})
+    for bit in range(model.code.shape[1]):
+        assert np.allclose(model.weights[buckets, bit], [weight(bit, k) for k in buckets], rtol=1e-9)
+    got = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    for i, text, _ in rows:
+        if text:
+            lang, score = decode(text, model)
+            assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-9
+        else:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+
+
+def test_language_ties_go_to_the_first_name_and_are_ambiguous():
+    model = language.Model(["x", "y", "z"], language.codewords(3), np.zeros((1 << language.BITS, 3)),
+                           *[np.zeros(3) for _ in range(2)], np.ones(3))
+    assert model.predict("abc") == ("x", pytest.approx(1 / 3), True)
+
+
+def test_language_has_no_cap(spark, monkeypatch):
+    """More languages, and more margins, than are held at once give the same model."""
+    rows = [(k, f"{chr(97 + k // 26 % 26)}{chr(97 + k % 26)} " * 4, f"l{k % 300:03d}") for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, per_language=20)
+    assert len(model.languages) == 300 and model.code.shape[1] > 80
+    few = docs.filter("lang < 'l006'")
+    want = language.train(few)
+    monkeypatch.setattr(language, "AT_ONCE", 2)
+    monkeypatch.setattr(language, "MARGINS", 2 * 2_000 * 6)
+    got = language.train(few)
+    for name in ("weights", "slope", "offset", "trust"):
+        assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-9), name
+
+
+@pytest.mark.parametrize("n", [6, 40])
+def test_least_distance(n):
+    code = np.random.default_rng(n).integers(0, 2, (n, 25), np.int8)
+    assert language._least_distance(code, 7) == min((code[i] != code[j]).sum() for i in range(n) for j in range(i))
 
 
 def test_language_flags_mixed_texts(spark):
