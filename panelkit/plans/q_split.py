@@ -60,7 +60,8 @@ def q_resumed_split(spark, d):
     def split():
         return S.firm_level_split(yearly(spark, d), "permno", None, "public_year", ratios)
 
-    ratios, inputs, folder = (R_TRAIN, R_VAL, R_TEST), [f"{d}/customer.parquet", f"{d}/orders.parquet"], intermediate_path(spark)
+    ratios, folder = (R_TRAIN, R_VAL, R_TEST), intermediate_path(spark)
+    inputs = [f"{d}/customer.parquet", f"{d}/orders.parquet"]
     Resumable(spark, folder, inputs).table("split", split, ratios=ratios)
     again = Resumable(spark, folder, inputs)
     rows = again.table("split", split, ratios=ratios)
