@@ -4,6 +4,8 @@ Days are the leaves of a binary tree. An interval is stored at the nodes whose l
 it up, of which there are at most two per level; a date lies under one node per level. A
 date and an interval that holds it therefore share exactly one node, and an equi-join on
 (key, node) finds each pair once, without forming the pairs of a key that do not overlap.
+Repeated rows are sorted and merged, not broadcast: Spark sizes them as if they were not
+repeated, so a table just under its broadcast limit would fill the driver and the tasks.
 Rows per interval are bounded by twice the logarithm of its span, whether it covers a week
 or sixty years; a date is looked up once per level. Everything is a column expression.
 
@@ -117,7 +119,7 @@ def date_interval_join(dates: DataFrame, intervals: DataFrame, date_col: str, ke
         raise ValueError("how must be 'inner' or 'left'")
     days = days or day_range(dates, date_col) or (0, 0)
     own = intervals.withColumnRenamed(interval_key, "_ik")
-    own = indexed_intervals(own.filter(F.col("_ik").isNotNull()), start, end, days, leaf, span)
+    own = indexed_intervals(own.filter(F.col("_ik").isNotNull()), start, end, days, leaf, span).hint("merge")
     held = holds(F.col(date_col), F.col(start), F.col(end), open_start)
     if how == "inner":
         found = indexed_dates(dates, date_col, days, leaf, span).withColumnRenamed("_node", "_dn")

@@ -156,3 +156,25 @@ def test_runs_have_no_window_and_no_distinct(spark, run, limit):
         want += [(f, d) for g, d in rows if g == f and d and first <= period(d) < first + length]
     assert sorted(map(tuple, out.collect())) == sorted(want)
     assert run(df.limit(0)).count() == 0
+
+
+def test_repeated_rows_are_not_broadcast(spark):
+    """Their estimated size is that of the rows before they are repeated."""
+    day = F.expr("date_add(date'1995-01-01', cast(id % 900 as int))")
+    firms = spark.range(50).select(F.col("id").alias("permno"), day.alias("ipo_date"))
+    facts = spark.range(300).select((F.col("id") % 60).alias("permno"), day.alias("datadate"), F.col("id").alias("x"))
+    names = facts.select("permno", F.col("datadate").alias("namedt"), F.date_add("datadate", 40).alias("nameenddt"))
+    link = firms.select(F.col("permno").cast("string").alias("gvkey"), F.col("permno").alias("lpermno"), F.lit("LU").alias("linktype"),
+                        F.lit("P").alias("linkprim"), F.col("ipo_date").alias("linkdt"), F.lit(None).cast("date").alias("linkenddt"))
+    statements = facts.select(F.col("permno").cast("string").alias("gvkey"), "datadate", "x")
+    window = P.event_window_join(firms, facts, "datadate", 400)
+    linked = P.link_interval_join(statements, link)
+    valid = U.validity_join_left(firms, names, "ipo_date")
+    for out in (window, linked, valid, U.validity_join_inner(firms, names, "ipo_date")):
+        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+    late = F.col("datadate") >= F.col("ipo_date")
+    assert window.count() == facts.join(firms, "permno").filter(late & (F.col("datadate") <= F.date_add("ipo_date", 400))).count() > 0
+    assert linked.count() == facts.join(firms, "permno").filter(late).count() > 0
+    n = names.withColumnRenamed("permno", "firm")
+    want = firms.join(n, (F.col("permno") == F.col("firm")) & F.col("ipo_date").between(F.col("namedt"), F.col("nameenddt")), "left").drop("firm")
+    assert valid.exceptAll(want).count() == want.exceptAll(valid).count() == 0
