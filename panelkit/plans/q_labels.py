@@ -9,6 +9,7 @@ from panelkit.operators import labels as L
 from panelkit.operators import universe as U
 from panelkit.plans.q_universe import _J10_SQL
 from panelkit.plans.registry import W_, fx, register
+from panelkit.session import cut_lineage
 
 # The labelled monthly panel: panel proxy + matched delistings within 5 years.
 PANEL_COLS = ["revtq", "roa", "roe", "npm", "tobinq", "quick_ratio", "de_ratio"]
@@ -104,14 +105,14 @@ def q_dedupe_subset(spark, d):
 
 @register("backfill_then_forwardfill", lab_sql(fill_sql("parts", _FILL_COLS)))
 def q_backfill_then_forwardfill(spark, d):
-    u = L.union_by_name(parts(spark, d))
+    u = cut_lineage(L.union_by_name(parts(spark, d)))      # the fill reads its input more than once
     return L.fill_by_group(u, ["permno"], ["public_year", "public_month"])
 
 
 @register("forward_fill", lab_sql(fill_sql("parts", _FILL_COLS, both=False)))
 def q_forward_fill(spark, d):
     """W9 with ``direction="forward"`` (no look-ahead, trap T13)."""
-    u = L.union_by_name(parts(spark, d))
+    u = cut_lineage(L.union_by_name(parts(spark, d)))      # the fill reads its input more than once
     return L.fill_by_group(u, ["permno"], ["public_year", "public_month"], direction="forward")
 
 

@@ -237,3 +237,12 @@ def test_lossy_first_columns_keep_their_order(spark, kind):
     if kind != "timestamp":
         cut = df.filter("o IS NOT NULL").select(order_bucket(df, ["o", "x"], 64).alias("b"))
         assert cut.distinct().count() > 10
+
+
+def test_fill_queries_read_a_written_union(spark):
+    """The union is computed once, not for each pass of the scan."""
+    from conftest import SF_SMALL
+    from panelkit.plans.registry import queries
+    for key in ("forward_fill", "backfill_then_forwardfill"):
+        plan = queries()[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" not in plan and "delist_date" not in plan
