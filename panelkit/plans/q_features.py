@@ -9,7 +9,7 @@ from panelkit.operators import features as FE
 from panelkit.operators.panel import semi_membership
 from panelkit.plans.q_labels import PANEL_COLS, lab_sql, labelled
 from panelkit.plans.registry import fx, register
-from panelkit.sources.bucketed import FirmLayout, per_firm
+from panelkit.sources.bucketed import per_firm
 
 FEATS = [c for c in C.BASE_FEATURES if c in PANEL_COLS]
 STD = [c for c in C.STD_FEATURES if c in FEATS]
@@ -85,7 +85,7 @@ def prepared_by_firm(spark, d):
     """The rows that the yearly aggregates read, written once by firm: every aggregate by
     firm and year reads them without an exchange."""
     rows = labelled(spark, d)
-    return FirmLayout.of([rows]).write(FE.prepared(rows)[0], ["public_year", "public_month"])
+    return FE.by_firm(FE.prepared(rows)[0])
 
 
 def _agg_query(key, sql_cols, build):
@@ -191,6 +191,7 @@ def q_yearly_incremental(spark, d):
     from panelkit.operators.partials import FirmYearStore
     from panelkit.session import intermediate_path
     rows, feats = FE.prepared(labelled(spark, d))
+    rows = per_firm(lambda t: t, FE.by_firm(rows))      # both parts read it, without an exchange
     store = FirmYearStore(spark, intermediate_path(spark), feats)
     store.add(rows.filter("public_month <= 6"))
     store.add(rows.filter("public_month > 6"))

@@ -8,6 +8,7 @@ from panelkit.operators import split as S
 from panelkit.plans.q_features import _YEARLY, yearly
 from panelkit.plans.q_labels import lab_sql, labelled
 from panelkit.plans.registry import fx, register
+from panelkit.sources.bucketed import stored
 
 R_TRAIN, R_VAL, R_TEST = 0.7, 0.15, 0.15
 
@@ -36,9 +37,8 @@ def split_sql(body, extra=()):
 def split_yearly(spark, d):
     """The split firm-year table, checkpointed once per session (it feeds the class
     checks, the fit and the scoring)."""
-    from panelkit.session import cut_lineage
-    return cut_lineage(S.firm_level_split(yearly(spark, d), "permno", None, "public_year",
-                                          (R_TRAIN, R_VAL, R_TEST)))
+    return stored(S.firm_level_split(yearly(spark, d), "permno", None, "public_year",
+                                     (R_TRAIN, R_VAL, R_TEST)), spark)
 
 
 @register("earliest_key_per_firm", split_sql("SELECT permno, sk AS _sort_key FROM fk"))

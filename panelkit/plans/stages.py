@@ -25,7 +25,7 @@ from panelkit.operators import panel as P
 from panelkit.operators import split as S
 from panelkit.operators import universe as U
 from panelkit.plans.resume import Resumable
-from panelkit.session import cut_lineage
+from panelkit.sources.bucketed import stored
 from panelkit.sources.io import Source, first_nonempty_pair, first_nonempty_source, require_columns
 
 
@@ -138,7 +138,7 @@ def train_and_evaluate(panel: DataFrame, cfg: ML.ModelConfig | None = None,
     def split() -> DataFrame:
         return S.firm_level_split(X, group, ipo_col, time, ratios)
 
-    data = cut_lineage(split()) if resume is None else resume.table(
+    data = stored(split(), panel.sparkSession) if resume is None else resume.table(
         "split", split, columns=X.columns, cutoff_month=cutoff_month, ratios=list(ratios), next_year=predict_next_year)
     dropped = C.all_null_columns(data, feats)
     if drop_zero_variance:

@@ -119,3 +119,28 @@ def test_tables_go_with_the_intermediates(spark, monkeypatch):
     name = session._TABLES[session._WRITTEN[-1]]
     assert spark.catalog.tableExists(name)
     assert drop_intermediates(spark) == 1 and not spark.catalog.tableExists(name)
+
+
+def test_yearly_features_and_split_shuffle_no_rows(spark, no_broadcast):
+    """The aggregates, the joins between them, the next-year window and the tags of the firms:
+    of all tables only the tags are dealt out by firm."""
+    rows = spark.range(3_000).select(
+        (F.col("id") % 40).alias("permno"), (F.col("id") % 7 + 1990).cast("int").alias("public_year"),
+        (F.col("id") % 12 + 1).cast("int").alias("public_month"), (F.col("id") % 3 % 2).cast("int").alias("delist"),
+        F.when(F.col("id") % 5 > 0, F.col("id") / 7).alias("roa"), (F.col("id") % 11).cast("double").alias("tobinq"))
+    out = FE.yearly_features(rows)
+    assert "Exchange" not in plan_of(out)
+    d, feats = FE.prepared(rows)
+    lbl = FE.yearly_label(d).withColumnRenamed("delist", "_lbl")
+    want = FE.next_year_label(FE.stitch_aggregates(d, feats).join(lbl, ["permno", "public_year"]), "_lbl").drop("_lbl")
+    rounded = lambda df: df.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in df.dtypes])
+    assert out.columns == want.columns and out.count() == want.count() == 240
+    assert rounded(out).exceptAll(rounded(want)).count() == 0
+    tags = out.select("permno").distinct().withColumn("split", F.lit("train"))
+    assert "Exchange" not in plan_of(out.join(tags, "permno", "left"))
+
+
+def test_buckets_grow_in_number(spark):
+    rows = spark.range(1_000).select((F.col("id") % 90).alias("permno"))
+    assert B.FirmLayout.of([rows], buckets=4, rows_per_bucket=150).buckets == 7
+    assert B.FirmLayout.of([rows], buckets=8, rows_per_bucket=150).buckets == 8
