@@ -108,3 +108,14 @@ def test_customers_are_not_broadcast(spark, tmp_path):
     span = fx._cust_span(spark, str(tmp_path))
     assert "Broadcast" not in plan_of(span)
     assert [r.c_custkey for r in span.collect()] == [1]
+
+
+def test_month_end_buckets_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from panelkit.plans import q_panel
+    from panelkit.sources.bucketed import FirmLayout
+    made = []
+    monkeypatch.setattr(FirmLayout, "write", lambda self, df, sort_by=(): made.append(self.buckets))
+    monkeypatch.setattr(q_panel, "BUCKET_ROWS", 10, raising=False)
+    q_panel.month_end_tables.__wrapped__(spark, "/root/testdata/sf0.001")
+    rows = fx.ratios(spark, "/root/testdata/sf0.001").count()
+    assert set(made) == {-(-rows // 10)} and made[0] > 4
