@@ -21,6 +21,14 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def no_job_group_left(request):
+    """A job group that a test sets must not collect the jobs of the tests after it."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.fixture(scope="session")
 def tmpdir_session():
     return tempfile.mkdtemp(prefix="panelkit-test-")
